@@ -1,0 +1,25 @@
+"""Broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A catalog / dimension side is broadcast when it has at most this many rows.
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Hint ``df`` for broadcast if it holds at most ``max_rows`` rows, else return it as is.
+
+    The check is a ``limit(max_rows + 1).count()`` job, which stops reading once the
+    bound is exceeded, so it is cheap for small sides and bounded for big ones.
+    Beyond the bound the join is planned normally (sort-merge / shuffled hash, with
+    AQE free to re-plan at runtime).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
