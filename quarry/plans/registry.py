@@ -369,3 +369,199 @@ st AS (
 SELECT player, food, mood, is_dead, death_date FROM st QUALIFY rn = max(rn) OVER (PARTITION BY player)""", "in_pet_events"))
 def q_pet_replay(t):
     return lc.pet_replay(t.in_pet_events)
+
+
+# ---------------------------------------------------------------- retrieval
+from quarry.operators import retrieval as rv  # noqa: E402
+from quarry.sources.testdata import QUESTION_VEC_ID  # noqa: E402
+
+
+def _question_vector(t: TestTables):
+    # one vector (a bounded scalar) fetched for the query literal
+    row = t.in_embeddings.filter(F.col("embedding_id") == QUESTION_VEC_ID).select("embedding").first()
+    return list(row[0])
+
+
+def _r6(df: DataFrame, col: str = "distance") -> DataFrame:
+    return df.withColumn(col, F.round(F.col(col), 6))
+
+
+_QDIST = (f"round(list_distance(CAST(e.embedding AS DOUBLE[]), CAST((SELECT embedding FROM in_embeddings "
+          f"WHERE embedding_id = {QUESTION_VEC_ID}) AS DOUBLE[])), 6)")
+_TOPK_SQL = f"""matches AS (SELECT embedding_id, article_id, {_QDIST} AS distance FROM in_embeddings e
+  ORDER BY distance NULLS LAST, embedding_id LIMIT 10),
+scored AS (SELECT *, count(*) OVER (PARTITION BY article_id) AS score FROM matches),
+winners AS (SELECT * FROM scored ORDER BY score DESC, distance NULLS LAST, embedding_id LIMIT 3),
+ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, distance NULLS LAST, embedding_id) AS ref_no FROM winners),
+ctx AS (SELECT r.ref_no, a.title, e.chunk FROM in_embeddings e JOIN ranked r USING (embedding_id, article_id)
+  JOIN in_articles a USING (article_id)),
+refs AS (SELECT string_agg('Reference ' || ref_no || ' from ' || title || chr(10) || chr(10) || chunk || chr(10) || chr(10), ''
+  ORDER BY ref_no) AS refs FROM ctx)"""
+
+
+@query("vector_topk", W(f"WITH {_TOPK_SQL} SELECT embedding_id, article_id, distance FROM matches", "in_embeddings", "in_articles"))
+def q_vector_topk(t):
+    return _r6(rv.vector_topk(t.in_embeddings, _question_vector(t)))
+
+
+@query("article_score", W(f"WITH {_TOPK_SQL} SELECT embedding_id, article_id, distance, score FROM scored",
+                          "in_embeddings", "in_articles"))
+def q_article_score(t):
+    return rv.article_score(_r6(rv.vector_topk(t.in_embeddings, _question_vector(t))))
+
+
+@query("rerank_top3", W(f"WITH {_TOPK_SQL} SELECT embedding_id, article_id, distance, score FROM winners",
+                        "in_embeddings", "in_articles"))
+def q_rerank_top3(t):
+    return rv.rerank_top3(_r6(rv.vector_topk(t.in_embeddings, _question_vector(t))))
+
+
+def _context(t):
+    top = rv.rerank_top3(_r6(rv.vector_topk(t.in_embeddings, _question_vector(t))))
+    return rv.fetch_context(top, t.in_embeddings, t.in_articles)
+
+
+@query("fetch_context", W(f"WITH {_TOPK_SQL} SELECT ref_no, title, chunk FROM ctx", "in_embeddings", "in_articles"))
+def q_fetch_context(t):
+    return _context(t)
+
+
+@query("build_references", W(f"WITH {_TOPK_SQL} SELECT refs FROM refs", "in_embeddings", "in_articles"))
+def q_build_references(t):
+    return rv.build_references(_context(t))
+
+
+_HEAD, _REST = rv.PROMPT_TEMPLATE.split("{refs}")
+_MID, _TAIL = _REST.split("{q}")
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_PROMPT_SQL = (f"SELECT refs, {_sql_str(_HEAD)} || refs || {_sql_str(_MID)} || "
+               f"(SELECT chunk FROM in_embeddings WHERE embedding_id = {QUESTION_VEC_ID}) || {_sql_str(_TAIL)} AS prompt FROM refs")
+
+
+@query("build_prompt", W(f"WITH {_TOPK_SQL} {_PROMPT_SQL}", "in_embeddings", "in_articles"))
+def q_build_prompt(t):
+    question = t.in_embeddings.filter(F.col("embedding_id") == QUESTION_VEC_ID).select("chunk").first()[0]
+    return rv.build_prompt(rv.build_references(_context(t)), question)
+
+
+@query("retrieve", W(f"WITH {_TOPK_SQL} {_PROMPT_SQL}", "in_embeddings", "in_articles"))
+def q_retrieve(t):
+    question = t.in_embeddings.filter(F.col("embedding_id") == QUESTION_VEC_ID).select("chunk").first()[0]
+    emb = t.in_embeddings
+    return rv.retrieve(emb.withColumn("embedding", F.col("embedding")), t.in_articles, _question_vector(t), question)
+
+
+# every chunk vector is a question: its 10 nearest chunk vectors (whole table, exact)
+@query("vector_topk_batch", W("""
+SELECT * FROM (
+  SELECT q.embedding_id AS qid, e.embedding_id, e.article_id,
+         round(list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS distance,
+         row_number() OVER (PARTITION BY q.embedding_id ORDER BY list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), e.embedding_id) AS rank
+    FROM in_embeddings q, in_embeddings e) WHERE rank <= 10""", "in_embeddings"))
+def q_vector_topk_batch(t):
+    qs = t.in_embeddings.select(F.col("embedding_id").alias("qid"), F.col("embedding").alias("qvec"))
+    return _r6(rv.vector_topk_batch(t.in_embeddings, qs))
+
+
+@query("vector_topk_lsh")
+def q_vector_topk_lsh(t):
+    return rv.vector_topk_lsh(t.in_embeddings, _question_vector(t))
+
+
+@query("index_vectors")
+def q_index_vectors(t):
+    model, v = rv.index_vectors(t.in_embeddings)
+    return model.transform(v).select("embedding_id", F.size("hashes").alias("tables"))
+
+
+@query("chat_field", "SELECT event_id, props, json_extract_string(props, '$.k') AS k FROM events")
+def q_chat_field(t):
+    return rv.chat_field(t.base("events").select("event_id", "props"), "props", "k")
+
+
+# ---------------------------------------------------------------- corpus
+from quarry.operators import corpus as cp  # noqa: E402
+
+_FM_SQL = r"""fm AS (
+  SELECT path, regexp_split_to_array(regexp_replace(text, '\r\n?', chr(10), 'g'), '(?m)^[^\S\n]*---[^\S\n]*(?:\n|$)') AS pieces FROM in_markdown),
+parsed AS (
+  SELECT path, array_to_string(list_filter(pieces, lambda x, i: i % 2 = 1), '') AS content,
+         array_to_string(list_filter(pieces, lambda x, i: i % 2 = 0), '') AS header FROM fm),
+kv AS (
+  SELECT path, content, map_from_entries(list_transform(
+           list_filter(string_split(header, chr(10)), lambda l: trim(l) <> '' AND trim(regexp_extract(l, '^([^:]*):', 1)) <> ''),
+           lambda l: {'k': trim(regexp_extract(l, '^([^:]*):', 1)),
+                 'v': regexp_replace(trim(regexp_extract(l, '^[^:]*:(.*)$', 1)), '^"(.*)"$|^''(.*)''$', '\1\2')})) AS headers
+    FROM parsed)"""
+
+
+@query("parse_front_matter", W(f"""WITH {_FM_SQL}
+SELECT path, headers['author'] AS author, headers['title'] AS title, headers['date'] AS date, content FROM kv""", "in_markdown"))
+def q_parse_front_matter(t):
+    p = cp.parse_front_matter(t.in_markdown)
+    h = F.col("headers")
+    return p.select("path", h["author"].alias("author"), h["title"].alias("title"), h["date"].alias("date"), "content")
+
+
+_ARTICLES_SQL = """SELECT path, headers['author'] AS author, headers['title'] AS title, content,
+       CAST(timezone('UTC', CAST(headers['date'] AS TIMESTAMPTZ)) AS DATE) AS publish_date FROM kv"""
+
+
+@query("articles", W(f"WITH {_FM_SQL} {_ARTICLES_SQL}", "in_markdown"))
+def q_articles(t):
+    ok, _bad = cp.articles(cp.parse_front_matter(t.in_markdown))
+    return ok
+
+
+@query("assign_ids", W(f"WITH {_FM_SQL}, arts AS ({_ARTICLES_SQL}) SELECT row_number() OVER (ORDER BY path) AS article_id, path, title FROM arts",
+                       "in_markdown"))
+def q_assign_ids(t):
+    ok, _bad = cp.articles(cp.parse_front_matter(t.in_markdown))
+    return cp.assign_ids(ok.select("path", "title"), ["path"], col="article_id").select("article_id", "path", "title")
+
+
+@query("chunk_text")
+def q_chunk_text(t):
+    return cp.chunk_text(t.in_articles, "article_id", "content")
+
+
+@query("embed_chunks")
+def q_embed_chunks(t):
+    return cp.embed_chunks(cp.chunk_text(t.in_articles, "article_id", "content"), "chunk")
+
+
+@query("write_articles", W(f"WITH {_FM_SQL}, arts AS ({_ARTICLES_SQL}) SELECT row_number() OVER (ORDER BY path) AS article_id, path, author, title, content, publish_date FROM arts",
+                           "in_markdown"))
+def q_write_articles(t):
+    from quarry.session import scratch_path
+    from quarry.sources.corpus import write_articles
+
+    ok, _bad = cp.articles(cp.parse_front_matter(t.in_markdown))
+    out = scratch_path(t.spark, "articles")
+    write_articles(cp.assign_ids(ok, ["path"], col="article_id"), out)
+    return t.spark.read.parquet(out).select("article_id", "path", "author", "title", "content", "publish_date")
+
+
+@query("write_chunks")
+def q_write_chunks(t):
+    from quarry.session import scratch_path
+    from quarry.sources.corpus import write_chunks
+
+    out = scratch_path(t.spark, "chunks")
+    write_chunks(cp.chunk_text(t.in_articles, "article_id", "content"), out)
+    return t.spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- sensor log
+from quarry.operators import sensor as sn  # noqa: E402
+
+
+@query("log_lookup", W(f"SELECT id, location, reading, reading_date FROM in_sensor_log WHERE location = '{SENSOR}' ORDER BY reading_date, id",
+                       "in_sensor_log"))
+def q_log_lookup(t):
+    return sn.log_lookup(t.in_sensor_log, SENSOR)
