@@ -565,3 +565,59 @@ from quarry.operators import sensor as sn  # noqa: E402
                        "in_sensor_log"))
 def q_log_lookup(t):
     return sn.log_lookup(t.in_sensor_log, SENSOR)
+
+
+# ---------------------------------------------------------------- streaming
+from quarry.streaming import jobs as sj  # noqa: E402
+
+
+def _streamed(t: TestTables, name: str) -> TestTables:
+    return TestTables(t.spark, t.sf_dir, overrides={name: t.stream(name)})
+
+
+def _run(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+@query("append_log", ORACLE_SENSOR := W("SELECT id, location, reading, reading_date FROM in_sensor_log", "in_sensor_log"))
+def q_append_log(t):
+    from quarry.session import scratch_path
+
+    readings = _streamed(t, "events").in_sensor_log
+    sink, ckpt = scratch_path(t.spark, "sensor-log"), scratch_path(t.spark, "sensor-log-ckpt")
+    _run(sj.start_append_log(readings, sink, ckpt))
+    return t.spark.read.parquet(sink).select("id", "location", "reading", "reading_date")
+
+
+@query("auth_audit", W(f"""SELECT c_name AS username, c_name IN ({_MEMBERS_SQL} AND NOT u.rolsuper) AS allowed FROM customer""",
+                       "in_authid", "in_auth_members"))
+def q_auth_audit(t):
+    from quarry.session import scratch_path
+
+    requests = t.stream("customer").select(F.col("c_name").alias("username"))
+    allowed = ax.role_members_nosuper(t.in_authid, t.in_auth_members, PROXY_ROLE)
+    sink, ckpt = scratch_path(t.spark, "auth-audit"), scratch_path(t.spark, "auth-audit-ckpt")
+    _run(sj.start_auth_audit(requests, allowed, sink, ckpt))
+    return t.spark.read.parquet(sink)
+
+
+@query("embed_incremental")
+def q_embed_incremental(t):
+    from quarry.session import scratch_path
+
+    chunks = _streamed(t, "documents").in_chunks
+    sink, ckpt = scratch_path(t.spark, "embeddings"), scratch_path(t.spark, "embeddings-ckpt")
+    _run(sj.start_embed_incremental(chunks, sink, ckpt))
+    return sj.read_embeddings(t.spark, sink)
+
+
+@query("pet_replay_stream", ORACLE["pet_replay"])
+def q_pet_replay_stream(t):
+    from quarry.session import scratch_path
+
+    events = _streamed(t, "events").in_pet_events
+    sink, ckpt = scratch_path(t.spark, "pets"), scratch_path(t.spark, "pets-ckpt")
+    _run(sj.start_pet_replay(events, sink, ckpt))
+    return sj.read_pet_states(t.spark, sink)

@@ -40,10 +40,17 @@ def ntz(s: str):
 class TestTables:
     """Lazily loads base tables of one scale-factor folder and derives operator inputs."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, overrides: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self._cache: dict[str, DataFrame] = {}
+        # base tables can be replaced, e.g. by a streaming DataFrame over the same files
+        self._cache: dict[str, DataFrame] = dict(overrides or {})
+
+    def stream(self, name: str, max_files: int = 1) -> DataFrame:
+        """A base table as a file stream (same schema, files picked up as they appear)."""
+        schema = self.base(name).schema
+        return (self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+                .option("maxFilesPerTrigger", max_files).parquet(self.sf_dir))
 
     def base(self, name: str) -> DataFrame:
         if name not in self._cache:
