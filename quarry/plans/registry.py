@@ -621,3 +621,25 @@ def q_pet_replay_stream(t):
     sink, ckpt = scratch_path(t.spark, "pets"), scratch_path(t.spark, "pets-ckpt")
     _run(sj.start_pet_replay(events, sink, ckpt))
     return sj.read_pet_states(t.spark, sink)
+
+
+# ---------------------------------------------------------------- sources
+@query("scan_snapshot", W("SELECT * FROM in_class", "in_class"))
+def q_scan_snapshot(t):
+    from quarry.session import scratch_path
+    from quarry.sources.logs import scan_snapshot
+
+    path = scratch_path(t.spark, "pg_class")
+    t.in_class.write.parquet(path)
+    return scan_snapshot(t.spark, path)
+
+
+@query("scan_corpus", W("SELECT path, text FROM in_markdown", "in_markdown"))
+def q_scan_corpus(t):
+    """Export every mapped document as its own Markdown file, then scan the folder."""
+    from quarry.session import scratch_path
+    from quarry.sources.corpus import export_markdown, scan_corpus
+
+    root = scratch_path(t.spark, "corpus")
+    export_markdown(t.in_markdown, root)
+    return scan_corpus(t.spark, root, glob="part-*", recursive=True, logical_names=True)

@@ -6,18 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scan_corpus(spark: SparkSession, path: str, glob: str = "*.md", recursive: bool = False) -> DataFrame:
+def scan_corpus(spark: SparkSession, path: str, glob: str = "*.md", recursive: bool = False,
+                logical_names: bool = False) -> DataFrame:
     """Every Markdown file under ``path`` as (path, text); one row per file, whole text.
 
     ``wholetext`` keeps each file in one row; files are spread over tasks by the file
-    source.  Line endings are normalised to ``\\n``.
+    source.  Line endings are normalised to ``\\n``.  With ``logical_names`` the path is
+    the document name recorded by ``export_markdown`` instead of the file location.
     """
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", glob)
+    reader = spark.read.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    df = reader.text(path)
-    return df.select(F.col("_metadata.file_path").alias("path"),
-                     F.regexp_replace(F.col("value"), r"\r\n?", "\n").alias("text"))
+    df = reader.text(path, wholetext=True)
+    file_path = F.col("_metadata.file_path")
+    text = F.regexp_replace(F.col("value"), r"\r\n?", "\n")
+    if logical_names:
+        # an exported document: name from its folder, minus the line end the writer added
+        name = F.unhex(F.regexp_extract(file_path, r"/doc=([0-9A-F]+)/[^/]*$", 1)).cast("string")
+        return df.select(name.alias("path"), F.regexp_replace(text, r"\n\z", "").alias("text"))
+    return df.select(file_path.alias("path"), text.alias("text"))
+
+
+def export_markdown(docs: DataFrame, root: str) -> None:
+    """Write each (path, text) document as its own text file ``root/doc=<hex(path)>/part-*.txt``.
+
+    ``partitionBy`` on the document name gives one folder per document; the text
+    writer ends each text with one ``\\n``, which ``scan_corpus(logical_names=True)`` drops.
+    """
+    (docs.select(F.hex(F.col("path")).alias("doc"), "text").repartition("doc")
+     .write.partitionBy("doc").option("compression", "none")
+     .mode("overwrite").format("text").save(root))
 
 
 def write_articles(articles: DataFrame, path: str, mode: str = "append") -> None:
