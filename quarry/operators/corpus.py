@@ -33,20 +33,23 @@ def parse_front_matter(df: DataFrame, text_col: str = "text") -> DataFrame:
     removed, the last of repeated keys wins).  ``\\r\\n`` / ``\\r`` become ``\\n``.
     """
     text = F.regexp_replace(F.col(text_col), r"\r\n?", "\n")
-    pieces = F.split(text, _FENCE, -1)
-    content = F.array_join(F.filter(pieces, lambda x, i: i % 2 == 0), "")
-    header = F.array_join(F.filter(pieces, lambda x, i: i % 2 == 1), "")
-    lines = F.filter(F.split(header, "\n"), lambda l: F.trim(l) != "")
+    # staged projections: each step is computed once per row (the split is not repeated
+    # inside the lambdas that read it)
+    step = df.select("*", F.split(text, _FENCE, -1).alias("_pieces"))
+    step = step.select("*", F.array_join(F.filter("_pieces", lambda x, i: i % 2 == 0), "").alias("content"),
+                       F.array_join(F.filter("_pieces", lambda x, i: i % 2 == 1), "").alias("_header")).drop("_pieces")
+    lines = F.filter(F.split("_header", "\n"), lambda l: F.trim(l) != "")
     kv = F.filter(F.transform(lines, lambda l: F.struct(
         F.trim(F.regexp_extract(l, r"^([^:]*):", 1)).alias("k"),
         F.regexp_replace(F.trim(F.regexp_extract(l, r"^[^:]*:(.*)$", 1)), r"""^(["'])(.*)\1$""", "$2").alias("v"))),
         lambda e: e["k"] != "")
-    keys = F.transform(kv, lambda e: e["k"])
+    step = step.select("*", kv.alias("_kv")).drop("_header")
+    step = step.select("*", F.transform("_kv", lambda e: e["k"]).alias("_keys"))
     # keep the last occurrence of each key
-    last = F.filter(kv, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(1))), e["k"])
-                    | (i == F.size(keys) - 1))
-    headers = F.map_from_entries(last)
-    return df.select("*", headers.alias("headers"), content.alias("content"))
+    last = F.filter("_kv", lambda e, i: (i == F.size("_keys") - 1)
+                    | ~F.array_contains(F.slice("_keys", i + 2, F.greatest(F.size("_keys") - i - 1, F.lit(1))), e["k"]))
+    out = step.select("*", F.map_from_entries(last).alias("headers")).drop("_kv", "_keys")
+    return out.select(*df.columns, "headers", "content")
 
 
 def articles(parsed: DataFrame, path_col: str = "path") -> tuple[DataFrame, DataFrame]:
@@ -56,7 +59,10 @@ def articles(parsed: DataFrame, path_col: str = "path") -> tuple[DataFrame, Data
     Documents without front matter or without a required key are rejected with a reason.
     """
     h = F.col("headers")
-    missing = F.filter(F.array(*[F.when(h.getItem(k).isNull(), F.lit(k)) for k in REQUIRED_KEYS]), lambda x: x.isNotNull())
+    # one reference to the header map: the reject filter is pushed below the parse
+    # projections and inlines whatever it reads
+    missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]),
+                             F.map_keys(F.map_filter(h, lambda k, v: v.isNotNull())))
     ts = h.getItem("date").try_cast("timestamp")
     date = F.to_date(F.to_utc_timestamp(ts, F.current_timezone()))
     t = parsed.select(path_col, h.getItem("author").alias("author"), h.getItem("title").alias("title"),
@@ -109,7 +115,7 @@ def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
     The first separator present cuts the text (kept at the start of the next piece);
     pieces shorter than ``size`` are merged up to ``size`` characters with up to
     ``overlap`` characters carried over; longer pieces are split again with the
-    remaining separators, or kept whole when none is left.
+    remaining separators, or kept whole - exactly as cut, not stripped - when none is left.
     """
     sep, rest = separators[-1], []
     for i, s in enumerate(separators):
