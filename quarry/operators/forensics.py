@@ -30,6 +30,13 @@ VACUUM_ALERT_RATIO = 0.9
 BLOCK_BYTES = 8192
 
 
+def _spread(df: DataFrame):
+    """Final sort tiebreak: a hash of the whole row.  The range partitioner of a global
+    sort keeps equal keys together; rows tied on the sort key (unordered in the
+    original) are spread over tasks by it instead of landing in one."""
+    return F.xxhash64(*[F.col(c) for c in df.columns])
+
+
 def _now(now):
     if now is None:
         return F.localtimestamp()
@@ -110,14 +117,14 @@ def needs_vacuum(pg_class: DataFrame, max_age: int, ratio: float = VACUUM_ALERT_
     out = (c.join(t, c.reltoastrelid == t.toast_oid, "left")
            .select(F.col("relname").alias("table_name"), age.alias("age"))
            .filter(F.col("age") > F.lit(float(max_age) * ratio)))
-    return out.orderBy(F.col("table_name").desc_nulls_first(), F.col("age").desc()) if order else out
+    return out.orderBy(F.col("table_name").desc_nulls_first(), F.col("age").desc(), _spread(out)) if order else out
 
 
 def prepared_age(prepared: DataFrame, now=None, order: bool = True) -> DataFrame:
     """Prepared transactions with their age in whole seconds, oldest first."""
     out = prepared.select("database", "prepared",
                           whole_seconds_between(_now(now), F.col("prepared")).alias("age"))
-    return out.orderBy(F.col("age").desc_nulls_first(), "database") if order else out
+    return out.orderBy(F.col("age").desc_nulls_first(), "database", _spread(out)) if order else out
 
 
 def replication_slot_lag(slots: DataFrame, current_lsn: str) -> DataFrame:
@@ -181,7 +188,7 @@ def column_layout(pg_class: DataFrame, attribute: DataFrame, pg_type: DataFrame,
                    F.col("typname").alias("column_type"), F.col("typalign").alias("alignment"),
                    F.col("typlen").alias("type_length")))
     if order:
-        out = out.orderBy(F.col("type_length").desc_nulls_first(), "table_name", "column_name")
+        out = out.orderBy(F.col("type_length").desc_nulls_first(), "table_name", "column_name", _spread(out))
     return out
 
 
