@@ -20,6 +20,7 @@ from quarry.functions.scalar import (
     whole_seconds_between,
 )
 from quarry.plans.broadcast import bounded_broadcast
+from quarry.session import checkpoint_dir
 
 # Schemas hidden from the buffer and layout reports.
 BUFFER_HIDDEN_SCHEMAS = ("pg_catalog", "information_schema", "pg_toast")
@@ -74,13 +75,17 @@ def buffer_usage(buffercache: DataFrame, pg_class: DataFrame, namespace: DataFra
     per_object = (per_file.join(cls, "relfilenode")
                   .groupBy("oid", "relpages", "nspname", "relname")
                   .agg(F.sum("n_buffers").alias("n")))
+    # one row per relation, written once: the total and the rows then read it instead of
+    # scanning the buffers twice (the two branches prune differently, so no exchange reuse)
+    checkpoint_dir(per_object.sparkSession)
+    per_object = per_object.checkpoint(eager=True)
     total = per_object.select(F.sum("n")).scalar()
-    return per_object.select(
+    return per_object.withColumn("_total", total).select(
         object_name(F.col("nspname"), F.col("relname")).alias("object_name"),
         round_ratio(F.col("n") * 8, F.lit(1024)).alias("mb_used"),
         round_ratio(F.col("relpages") * 8, F.lit(1024)).alias("object_mb"),
         round_ratio(F.col("n") * 100, F.col("relpages")).alias("object_pct"),
-        round_ratio(F.col("n") * 100, total).alias("buffer_pct"),
+        round_ratio(F.col("n") * 100, F.col("_total")).alias("buffer_pct"),
     )
 
 
@@ -245,6 +250,9 @@ def blocking_activity(activity: DataFrame, locks: DataFrame, pg_class: DataFrame
     blocker pids and an equi-join (a nested-loop join otherwise).
     """
     al = _activity_locks(activity, locks, pg_class, now, keep=("blocking_pids",))
+    # both sides read the same (session, lock kind) rows: write them once
+    checkpoint_dir(al.sparkSession)
+    al = al.checkpoint(eager=True)
     blocked = al.select(F.explode(F.array_distinct("blocking_pids")).alias("blocker_pid"),
                         F.col("pid").alias("blocked_pid"), F.col("query").alias("blocked_query"),
                         F.col("usename").alias("blocked_user"), F.col("client_addr").alias("blocked_client"))
