@@ -28,6 +28,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # whole documents travel through mapInPandas: keep Arrow batches small
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        # streaming state (one row per player) kept in RocksDB, not on the JVM heap
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
     )

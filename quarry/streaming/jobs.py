@@ -33,7 +33,11 @@ def start_append_log(readings: DataFrame, sink: str, checkpoint: str, available_
     """
     s = readings
     if dedup_watermark:
-        s = s.withWatermark("reading_date", dedup_watermark).dropDuplicatesWithinWatermark(["location", "reading_date"])
+        cols = s.columns
+        # watermarks need TIMESTAMP; readings carry wall-clock TIMESTAMP_NTZ
+        s = (s.withColumn("_event_time", F.col("reading_date").cast("timestamp"))
+             .withWatermark("_event_time", dedup_watermark)
+             .dropDuplicatesWithinWatermark(["location", "reading_date"]).select(*cols))
     w = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
          .outputMode("append"))
     return _trigger(w, available_now, interval).start()
@@ -85,8 +89,8 @@ def read_embeddings(spark: SparkSession, sink: str) -> DataFrame:
 
 # ---- pet replay --------------------------------------------------------------------------------
 
-PET_STATE = "food int, mood int, is_dead boolean, death_micros long"
-PET_OUT = "player string, food int, mood int, is_dead boolean, death_micros long"
+PET_STATE = "food int, mood int, is_dead boolean, death_micros long, last_micros long, last_seq long, late long"
+PET_OUT = "player string, food int, mood int, is_dead boolean, death_micros long, late_events long"
 
 
 def _pet_step(key: Tuple[str], pdfs: Iterator[pd.DataFrame], state):
@@ -94,14 +98,24 @@ def _pet_step(key: Tuple[str], pdfs: Iterator[pd.DataFrame], state):
 
     The counter maps compose in closed form (see ``operators.lifecycle.pet_replay``), so
     a batch is a cumulative sum and a running maximum in numpy, not a per-event loop.
+    An event ordered before the player's last applied event arrived too late to be
+    applied in order; it is skipped and counted (``late_events``), so the state always
+    equals the batch replay of the events that were applied.
     """
     if state.exists:
-        food, mood, dead, death = state.get
+        food, mood, dead, death, last_t, last_s, late = state.get
     else:
-        food, mood, dead, death = MAX_LEVEL, MAX_LEVEL, False, None
+        food, mood, dead, death, last_t, last_s, late = MAX_LEVEL, MAX_LEVEL, False, None, None, None, 0
     ev = pd.concat(list(pdfs), ignore_index=True)
-    if not dead and len(ev):
+    if last_t is not None and len(ev):
+        t, q = ev["ts_micros"].to_numpy(), ev["seq"].to_numpy()
+        in_order = (t > last_t) | ((t == last_t) & (q > last_s))
+        late += int((~in_order).sum())
+        ev = ev[in_order]
+    if len(ev):
         ev = ev.sort_values(["ts_micros", "seq"], kind="mergesort")
+        last_t, last_s = int(ev["ts_micros"].iloc[-1]), int(ev["seq"].iloc[-1])
+    if not dead and len(ev):
         act = ev["action"].to_numpy()
         dfood = np.where(act == "feed", FEED_AMOUNT, np.where(act == "tick", -TICK_AMOUNT, 0))
         dmood = np.where(act == "train", TRAIN_AMOUNT, np.where(act == "tick", -TICK_AMOUNT, 0))
@@ -114,19 +128,23 @@ def _pet_step(key: Tuple[str], pdfs: Iterator[pd.DataFrame], state):
             food, mood, dead, death = int(f[i]), int(m[i]), True, int(ev["ts_micros"].to_numpy()[i])
         else:
             food, mood = int(f[-1]), int(m[-1])
-    state.update((food, mood, dead, death))
+    state.update((food, mood, dead, death, last_t, last_s, late))
     yield pd.DataFrame({"player": [key[0]], "food": [food], "mood": [mood], "is_dead": [dead],
-                        "death_micros": pd.array([death], dtype="Int64")})
+                        "death_micros": pd.array([death], dtype="Int64"), "late_events": [late]})
 
 
 def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
-                     interval: str | None = None) -> StreamingQuery:
+                     interval: str | None = None, watermark: str | None = None) -> StreamingQuery:
     """Stateful replay of (player, ts, seq, action) events: one state per player.
 
     Emits the updated state of every player touched by a micro-batch; the sink keeps
     one folder per batch id (idempotent on retry); ``read_pet_states`` takes the
-    latest per player.  Events of one batch are applied in (ts, seq) order.
+    latest per player.  Events of one batch are applied in (ts, seq) order; with
+    ``watermark`` Spark also drops events older than the event-time watermark.
     """
+    if watermark:
+        events = (events.withColumn("_event_time", F.col("ts").cast("timestamp"))
+                  .withWatermark("_event_time", watermark))
     ev = events.select("player", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                                   F.col("ts")).alias("ts_micros"), "seq", "action")
     out = ev.groupBy("player").applyInPandasWithState(_pet_step, PET_OUT, PET_STATE, "update", "NoTimeout")
@@ -138,10 +156,14 @@ def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_no
     return _trigger(w, available_now, interval).start()
 
 
-def read_pet_states(spark: SparkSession, sink: str) -> DataFrame:
+def read_pet_states(spark: SparkSession, sink: str, with_late: bool = False) -> DataFrame:
+    """Current state per player (latest batch); ``late_events`` on request."""
     s = spark.read.parquet(sink)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    last = s.groupBy("player").agg(F.max_by(F.struct("food", "mood", "is_dead", "death_micros"), "batch_id").alias("_s"))
-    return last.select("player", "_s.food", "_s.mood", "_s.is_dead",
-                       F.when(F.col("_s.death_micros").isNotNull(),
-                              F.timestamp_add("MICROSECOND", F.col("_s.death_micros"), epoch)).alias("death_date"))
+    last = s.groupBy("player").agg(
+        F.max_by(F.struct("food", "mood", "is_dead", "death_micros", "late_events"), "batch_id").alias("_s"))
+    out = last.select("player", "_s.food", "_s.mood", "_s.is_dead",
+                      F.when(F.col("_s.death_micros").isNotNull(),
+                             F.timestamp_add("MICROSECOND", F.col("_s.death_micros"), epoch)).alias("death_date"),
+                      F.col("_s.late_events").alias("late_events"))
+    return out if with_late else out.drop("late_events")

@@ -70,3 +70,28 @@ def test_embed_incremental_keeps_newest(spark):
     sj.start_embed_incremental(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt"), dim=8).awaitTermination()
     cur = {r.chunk_id: r for r in sj.read_embeddings(spark, os.path.join(base, "sink")).collect()}
     assert set(cur) == {1, 2} and cur[1].last_updated == T0 + dt.timedelta(hours=1) and len(cur[1].embedding) == 8
+
+
+def test_pet_stream_skips_out_of_order_events(spark):
+    base = tempfile.mkdtemp(prefix="pet-late-")
+    src = os.path.join(base, "src")
+    first = [("p", T0 + dt.timedelta(minutes=i), i, "tick") for i in range(10, 20)]
+    late = [("p", T0 + dt.timedelta(minutes=i), i, "feed") for i in range(0, 3)]
+    spark.createDataFrame(first, EV).coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame(late, EV).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(EV).option("maxFilesPerTrigger", 1).parquet(src)
+    sj.start_pet_replay(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt")).awaitTermination()
+    r = sj.read_pet_states(spark, os.path.join(base, "sink"), with_late=True).first()
+    assert (r.food, r.mood, r.late_events) == (14, 14, 3)
+
+
+def test_append_log_dedup_within_watermark(spark):
+    schema = "id long, location string, reading long, reading_date timestamp_ntz"
+    base = tempfile.mkdtemp(prefix="log-dedup-")
+    src = os.path.join(base, "src")
+    rows = [(1, "A1", 5, T0), (2, "A1", 6, T0), (3, "A2", 7, T0)]
+    spark.createDataFrame(rows, schema).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    sj.start_append_log(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt"),
+                        dedup_watermark="1 hour").awaitTermination()
+    assert spark.read.parquet(os.path.join(base, "sink")).count() == 2
