@@ -218,8 +218,12 @@ def snapshot_delta(snapshots: DataFrame, keys: Sequence[str], counters: Sequence
 def _locks_by_session(locks: DataFrame, pg_class: DataFrame) -> DataFrame:
     """(pid, mode, locktype) -> ordered, comma-separated names of locked ordinary tables."""
     rel = pg_class.filter(F.col("relkind") == "r").select(F.col("oid").alias("rel_oid"), "relname")
+    # Partitioned by pid once: the aggregate on (pid, mode, locktype) and the session join on
+    # pid both use that partitioning, so the aggregated lists are not shuffled again.  A
+    # partial listagg would not shrink the rows (it keeps every name), so little is lost.
     return (locks.select("pid", "mode", "locktype", "relation")
             .join(rel, F.col("relation") == F.col("rel_oid"))
+            .repartition("pid")
             .groupBy("pid", "mode", "locktype")
             .agg(F.expr("listagg(relname, ', ') WITHIN GROUP (ORDER BY relname)").alias("tables")))
 
