@@ -28,6 +28,14 @@ def test_articles_typed_and_rejects(spark):
     assert set(rej) == {"b.md", "c.md"} and "author" in rej["b.md"] and "date" in rej["c.md"]
 
 
+def test_reject_filter_does_not_repeat_the_parse(spark):
+    # the reject check must read the parsed headers, not re-run the regex split of the text
+    df = spark.createDataFrame([("a.md", "---\nauthor: me\ntitle: T\ndate: 2024-01-01\n---\nx")], "path string, text string")
+    ok, _bad = cp.articles(cp.parse_front_matter(df))
+    plan = ok._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("---[^\\S\\n]*(?:\\n|$)") == 1, plan
+
+
 def test_chunk_goldens():
     assert cp.split_text("one two three four five", 10, 4) == ["one two", "two three", "four five"]
     assert cp.split_text("p1 aa\n\np2 bb cc dd ee\n\np3", 8, 3) == ["p1 aa", "p2 bb", "bb cc", "cc dd", "dd ee", "p3"]
