@@ -2,7 +2,7 @@
 
 ``QUERIES[key](spark, sf_dir)`` returns a DataFrame over the whole test tables of
 ``sf_dir``; ``ORACLE[key]`` is the equivalent SQL over the same parquet tables
-(absent for operators that SQL cannot express: chunking, embedding, LSH, streams).
+(absent where SQL cannot express the result: embedding, LSH, the embedding stream).
 Computed columns carry the same names on both sides.
 """
 
@@ -525,7 +525,13 @@ def q_assign_ids(t):
     return cp.assign_ids(ok.select("path", "title"), ["path"], col="article_id").select("article_id", "path", "title")
 
 
-@query("chunk_text")
+from quarry.plans.oracle_chunks import chunk_sql  # noqa: E402
+
+_CHUNKS_SQL = W("WITH " + chunk_sql("in_articles", "article_id", "content")
+                + "\nSELECT article_id, chunk_no, chunk FROM chunks", "in_articles")
+
+
+@query("chunk_text", _CHUNKS_SQL)
 def q_chunk_text(t):
     return cp.chunk_text(t.in_articles, "article_id", "content")
 
@@ -547,7 +553,7 @@ def q_write_articles(t):
     return t.spark.read.parquet(out).select("article_id", "path", "author", "title", "content", "publish_date")
 
 
-@query("write_chunks")
+@query("write_chunks", _CHUNKS_SQL)
 def q_write_chunks(t):
     from quarry.session import scratch_path
     from quarry.sources.corpus import write_chunks

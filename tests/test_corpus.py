@@ -86,3 +86,23 @@ def test_assign_ids_consecutive(spark):
     df = spark.range(0, 1000).selectExpr("concat('doc', lpad(cast(id as string), 4, '0')) AS path")
     ids = [r.article_id for r in cp.assign_ids(df.repartition(7), ["path"]).orderBy("path").collect()]
     assert ids == list(range(1, 1001))
+
+
+def test_chunk_oracle_sql_matches_splitter():
+    # the DuckDB oracle of chunk_text is generated SQL; it must agree with split_text exactly
+    import random
+
+    import duckdb
+
+    from quarry.plans.oracle_chunks import chunk_sql
+
+    rnd = random.Random(7)
+    alpha = list("ab .\n`é'") + ["\n\n", "```", "  "]
+    con = duckdb.connect()
+    for _ in range(12):
+        size, ov = rnd.randint(3, 40), rnd.randint(0, 12)
+        docs = [(i, "".join(rnd.choice(alpha) for _ in range(rnd.randint(0, 250)))) for i in range(30)]
+        con.execute("CREATE OR REPLACE TABLE d(doc_id BIGINT, text VARCHAR)")
+        con.executemany("INSERT INTO d VALUES (?, ?)", docs)
+        got = set(con.execute("WITH " + chunk_sql("d", "doc_id", "text", size, ov) + " SELECT * FROM chunks").fetchall())
+        assert got == {(d, i, c) for d, t in docs for i, c in enumerate(cp.split_text(t, size, ov))}
