@@ -97,3 +97,67 @@ def chunk_sql(source: str, id_col: str, text_col: str, size: int = CHUNK_SIZE, o
   SELECT article_id, CAST(row_number() OVER (PARTITION BY article_id ORDER BY okey, s.i) - 1 AS INTEGER) AS chunk_no, s.c AS chunk
     FROM (SELECT article_id, okey, unnest(list_transform(chunks, lambda c, i: {'c': c, 'i': i})) AS s FROM outs))""")
     return ",\n".join(ctes)
+
+
+# ---- hashing encoder (oracle of embed_chunks) ------------------------------------------------
+
+_M32 = 4294967296
+
+
+def _bind(expr: str, name: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``expr`` (evaluated once)."""
+    return f"list_transform([{expr}], lambda {name}: {body})[1]"
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x}) << {r}) | (({x}) >> {32 - r})) & 4294967295"
+
+
+def _mix_k(k: str) -> str:
+    a = f"CAST((CAST({k} AS HUGEINT) * 3432918353) % {_M32} AS BIGINT)"
+    return _bind(a, "ka", f"CAST((CAST({_rotl('ka', 15)} AS HUGEINT) * 461845907) % {_M32} AS BIGINT)")
+
+
+def _mix_h(h: str, k: str) -> str:
+    return _bind(f"xor({h}, {k})", "hx", f"(({_rotl('hx', 13)}) * 5 + 3864292196) % {_M32}")
+
+
+def _fmix(h: str, n: str) -> str:
+    s1 = _bind(f"xor({h}, {n})", "f1", "xor(f1, f1 >> 16)")
+    s2 = _bind(s1, "f2", f"CAST((CAST(f2 AS HUGEINT) * 2246822507) % {_M32} AS BIGINT)")
+    s3 = _bind(s2, "f3", "xor(f3, f3 >> 13)")
+    s4 = _bind(s3, "f4", f"CAST((CAST(f4 AS HUGEINT) * 3266489909) % {_M32} AS BIGINT)")
+    return _bind(s4, "f5", "xor(f5, f5 >> 16)")
+
+
+def murmur3_sql(tok: str, seed: int = 42) -> str:
+    """murmur3_x86_32 of an ASCII string (bytes = code points), unsigned, as SQL."""
+    def byte(p: str) -> str:
+        return f"CAST(ord(substring({tok}, {p}, 1)) AS BIGINT)"
+
+    word = " | ".join(f"({byte(f'4 * i + {j + 1}')} << {8 * j})" for j in range(4))
+    body = f"list_reduce(range(0, length({tok}) // 4), lambda h, i: {_mix_h('h', _mix_k(word))}, CAST({seed} AS BIGINT))"
+    al = f"(length({tok}) // 4) * 4"
+    tail = " | ".join(f"CASE WHEN length({tok}) % 4 > {j} THEN {byte(f'{al} + {j + 1}')} << {8 * j} ELSE 0 END"
+                      for j in range(3))
+    with_tail = _bind(body, "hb", f"CASE WHEN length({tok}) % 4 > 0 THEN xor(hb, {_mix_k(tail)}) ELSE hb END")
+    return _fmix(with_tail, f"length({tok})")
+
+
+def embed_sql(source: str, keys: list[str], text_col: str, dim: int) -> str:
+    """CTE list (without WITH) ending in ``embedded(<keys>, embedding FLOAT[])``: lower-cased
+    ``\\w+`` tokens, murmur3 (seed 42) of each, non-negative mod ``dim``, term counts, L2 norm."""
+    k = ", ".join(keys)
+    zeros = f"list_transform(range(0, {dim}), lambda i: CAST(0 AS FLOAT))"
+    return f"""etok AS (
+  SELECT {k}, unnest(regexp_extract_all(lower(coalesce({text_col}, '')), '\\w+')) AS t FROM {source}),
+evocab AS (SELECT t, {murmur3_sql('t')} AS h FROM (SELECT DISTINCT t FROM etok)),
+ebucket AS (SELECT t, CAST(((CASE WHEN h >= 2147483648 THEN h - {_M32} ELSE h END) % {dim} + {dim}) % {dim} AS INTEGER) AS b
+  FROM evocab),
+ecounts AS (SELECT {k}, b, count(*) AS c FROM etok JOIN ebucket USING (t) GROUP BY {k}, b),
+evecs AS (SELECT {k}, map(list(b), list(c)) AS m, sqrt(sum(c * c)) AS norm FROM ecounts GROUP BY {k}),
+embedded AS (
+  SELECT {", ".join(f"s.{c}" for c in keys)},
+         CASE WHEN v.norm IS NULL OR v.norm = 0 THEN {zeros}
+              ELSE list_transform(range(0, {dim}), lambda i: CAST(coalesce(v.m[i], 0) / v.norm AS FLOAT)) END AS embedding
+    FROM {source} s LEFT JOIN evecs v ON {" AND ".join(f"s.{c} = v.{c}" for c in keys)})"""

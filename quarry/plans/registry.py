@@ -2,7 +2,7 @@
 
 ``QUERIES[key](spark, sf_dir)`` returns a DataFrame over the whole test tables of
 ``sf_dir``; ``ORACLE[key]`` is the equivalent SQL over the same parquet tables
-(absent where SQL cannot express the result: embedding, LSH, the embedding stream).
+(absent only for LSH, whose random projections SQL cannot reproduce).
 Computed columns carry the same names on both sides.
 """
 
@@ -525,7 +525,7 @@ def q_assign_ids(t):
     return cp.assign_ids(ok.select("path", "title"), ["path"], col="article_id").select("article_id", "path", "title")
 
 
-from quarry.plans.oracle_chunks import chunk_sql  # noqa: E402
+from quarry.plans.oracle_chunks import chunk_sql, embed_sql  # noqa: E402
 
 _CHUNKS_SQL = W("WITH " + chunk_sql("in_articles", "article_id", "content")
                 + "\nSELECT article_id, chunk_no, chunk FROM chunks", "in_articles")
@@ -536,7 +536,10 @@ def q_chunk_text(t):
     return cp.chunk_text(t.in_articles, "article_id", "content")
 
 
-@query("embed_chunks")
+@query("embed_chunks", W("WITH " + chunk_sql("in_articles", "article_id", "content") + ",\n"
+                          + embed_sql("chunks", ["article_id", "chunk_no"], "chunk", cp.EMBED_DIM)
+                          + "\nSELECT c.article_id, c.chunk_no, c.chunk, e.embedding FROM chunks c "
+                          "JOIN embedded e USING (article_id, chunk_no)", "in_articles"))
 def q_embed_chunks(t):
     return cp.embed_chunks(cp.chunk_text(t.in_articles, "article_id", "content"), "chunk")
 
@@ -609,7 +612,9 @@ def q_auth_audit(t):
     return t.spark.read.parquet(sink)
 
 
-@query("embed_incremental")
+@query("embed_incremental", W("WITH " + embed_sql("in_chunks", ["chunk_id"], "chunk", cp.EMBED_DIM)
+                               + "\nSELECT c.chunk_id, c.article_id, c.last_updated, e.embedding FROM in_chunks c "
+                               "JOIN embedded e USING (chunk_id)", "in_chunks"))
 def q_embed_incremental(t):
     from quarry.session import scratch_path
 

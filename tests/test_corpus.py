@@ -106,3 +106,20 @@ def test_chunk_oracle_sql_matches_splitter():
         con.executemany("INSERT INTO d VALUES (?, ?)", docs)
         got = set(con.execute("WITH " + chunk_sql("d", "doc_id", "text", size, ov) + " SELECT * FROM chunks").fetchall())
         assert got == {(d, i, c) for d, t in docs for i, c in enumerate(cp.split_text(t, size, ov))}
+
+
+def test_embed_oracle_sql_matches_hashing_encoder(spark):
+    # the SQL encoder (murmur3 seed 42, non-negative mod, L2) must give the same float vectors
+    import duckdb
+
+    from quarry.plans.oracle_chunks import embed_sql
+
+    texts = [(1, "Hello, hello WORLD_1"), (2, "..."), (3, None), (4, "abcd abcde a ab abc zz9 déjà vu"),
+             (5, " ".join(f"w{i % 37}x" for i in range(400)))]
+    df = spark.createDataFrame(texts, "id long, chunk string")
+    got = {r.id: list(r.embedding) for r in cp.embed_chunks(df, "chunk", 16).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE src(id BIGINT, chunk VARCHAR)")
+    con.executemany("INSERT INTO src VALUES (?, ?)", texts)
+    want = dict(con.execute("WITH " + embed_sql("src", ["id"], "chunk", 16) + " SELECT id, embedding FROM embedded").fetchall())
+    assert got == want
