@@ -29,7 +29,7 @@ INPUTS: dict[str, str] = {
        CASE WHEN p_size % 5 = 0 THEN NULL ELSE CAST(p_size AS BIGINT) * 2 END AS idx_scan,
        CASE WHEN p_size % 5 = 0 THEN NULL ELSE CAST(p_size AS BIGINT) * 20 END AS idx_tup_fetch
   FROM part""",
-    "in_segment": "SELECT seg, CAST(row_number() OVER (ORDER BY seg) AS BIGINT) AS oid FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer) AS s",
+    "in_segment": "SELECT seg, -(CAST(('0x' || substr(md5(seg), 1, 15)) AS BIGINT) + 1) AS oid FROM (SELECT DISTINCT c_mktsegment AS seg FROM customer) AS s",
     "in_authid": """SELECT 1000000 + c_custkey AS oid, c_name AS rolname, concat('h', c_custkey) AS rolpassword, c_custkey % 17 = 0 AS rolsuper, c_custkey % 5 <> 0 AS rolcanlogin FROM customer
 UNION ALL SELECT CAST(100 + n_nationkey AS BIGINT), n_name, CAST(NULL AS VARCHAR), false, false FROM nation
 UNION ALL SELECT CAST(10 + r_regionkey AS BIGINT), r_name, CAST(NULL AS VARCHAR), false, false FROM region

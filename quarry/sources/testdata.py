@@ -130,11 +130,11 @@ class TestTables:
     # ---- roles ---------------------------------------------------------------
     @cached_property
     def in_segment(self) -> DataFrame:
-        # A handful of market segments; numbering them is a window over the distinct values.
-        from pyspark.sql import Window
-
+        # Role oids of the market segments: a 60-bit hash of the name, negated so they never
+        # meet the positive oids of the other roles (no global numbering window needed).
         segs = self.base("customer").select(F.col("c_mktsegment").alias("seg")).distinct()
-        return segs.select("seg", F.row_number().over(Window.orderBy("seg")).cast("bigint").alias("oid"))
+        h = F.conv(F.substring(F.md5(F.col("seg")), 1, 15), 16, 10).cast("bigint")
+        return segs.select("seg", (-(h + 1)).alias("oid"))
 
     @cached_property
     def in_authid(self) -> DataFrame:
