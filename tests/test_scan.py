@@ -30,3 +30,33 @@ def test_lag_matches_window_and_spreads_hot_key(spark):
     # the hot key is spread over several range partitions
     parts = df.repartitionByRange(13, "k", "t").filter("k = 'hot'").select(F.spark_partition_id()).distinct().count()
     assert parts > 3
+
+
+def test_scans_across_many_arrow_batches(spark):
+    # tiny Arrow batches: runs continue across batch boundaries inside a partition
+    df = _skewed(spark)
+    w = Window.partitionBy("k").orderBy("t")
+    wr = w.rowsBetween(Window.unboundedPreceding, 0)
+    ref = (df.withColumn("prev", F.lag("v").over(w)).withColumn("s", F.sum("v").over(wr))
+           .withColumn("p", F.max("s").over(wr)))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        lagged = lag_columns(df, ["k"], ["t"], ["v"], num_partitions=5)
+        summed = running_sum_and_peak(df, ["k"], ["t"], ["v"], num_partitions=5)
+        j = lagged.join(summed, ["k", "t", "v"]).join(ref, ["k", "t", "v"])
+        assert j.count() == df.count()
+        bad = j.filter(~F.col("_prev_v").eqNullSafe(F.col("prev")) | (F.col("_sum_v") != F.col("s"))
+                       | (F.col("_peak_v") != F.col("p")))
+        assert bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_scan_plan_has_one_full_shuffle(spark):
+    # the rows are range-partitioned once; no hash exchange on (partition, key) follows
+    df = _skewed(spark)
+    got = running_sum_and_peak(df, ["k"], ["t"], ["v"], num_partitions=6)
+    got.write.format("noop").mode("overwrite").save()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_scan_pid" not in "".join(l for l in plan.splitlines() if "Exchange hashpartitioning" in l), plan
