@@ -192,13 +192,32 @@ def index_vectors(embeddings: DataFrame, bucket_length: float = 2.0, num_tables:
     return model, v
 
 
+def lsh_buckets(model, vectors: DataFrame, id_col: str = "embedding_id") -> DataFrame:
+    """The index as a table: (id, table, bucket), one row per vector and hash table."""
+    from pyspark.ml.functions import vector_to_array
+
+    h = model.transform(vectors).select(id_col, F.posexplode("hashes").alias("table", "_h"))
+    return h.select(id_col, "table", vector_to_array("_h")[0].cast("bigint").alias("bucket"))
+
+
 def vector_topk_lsh(embeddings: DataFrame, query: Sequence[float], k: int = TOP_K, **index_args) -> DataFrame:
-    """Approximate k nearest neighbours of one vector via LSH buckets (may miss some)."""
+    """Approximate k nearest neighbours of one vector (single-probe LSH): exact L2 distance,
+    but only over vectors sharing a bucket with the query in at least one hash table.
+
+    Written as joins on the bucket table: the query's (table, bucket) pairs (one per hash
+    table, broadcast) select candidates by a semi-join; ties are broken by id.  Vectors in
+    no shared bucket are missed, which is the approximation.
+    """
     from pyspark.ml.linalg import Vectors
 
+    spark = embeddings.sparkSession
     model, v = index_vectors(embeddings, **index_args)
-    nn = model.approxNearestNeighbors(v, Vectors.dense([float(x) for x in query]), k, distCol="distance")
-    return nn.select("embedding_id", "article_id", "distance")
+    key = spark.createDataFrame([(-1, Vectors.dense([float(x) for x in query]))], ["embedding_id", "features"])
+    probe = lsh_buckets(model, key).select("table", "bucket")     # num_tables rows
+    cand = lsh_buckets(model, v).join(F.broadcast(probe), ["table", "bucket"], "left_semi").select("embedding_id").distinct()
+    d = (embeddings.select("embedding_id", "article_id", "embedding").join(cand, "embedding_id", "left_semi")
+         .select("embedding_id", "article_id", l2_distance(F.col("embedding"), query).alias("distance")))
+    return d.orderBy(F.col("distance").asc_nulls_last(), "embedding_id").limit(k)
 
 
 def vector_join_lsh(embeddings: DataFrame, questions: DataFrame, threshold: float, **index_args) -> DataFrame:

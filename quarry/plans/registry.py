@@ -2,7 +2,7 @@
 
 ``QUERIES[key](spark, sf_dir)`` returns a DataFrame over the whole test tables of
 ``sf_dir``; ``ORACLE[key]`` is the equivalent SQL over the same parquet tables
-(absent only for LSH, whose random projections SQL cannot reproduce).
+(every registered key has one).
 Computed columns carry the same names on both sides.
 """
 
@@ -386,8 +386,9 @@ def _r6(df: DataFrame, col: str = "distance") -> DataFrame:
     return df.withColumn(col, F.round(F.col(col), 6))
 
 
-_QDIST = (f"round(list_distance(CAST(e.embedding AS DOUBLE[]), CAST((SELECT embedding FROM in_embeddings "
-          f"WHERE embedding_id = {QUESTION_VEC_ID}) AS DOUBLE[])), 6)")
+_QDIST_RAW = (f"list_distance(CAST(e.embedding AS DOUBLE[]), CAST((SELECT embedding FROM in_embeddings "
+              f"WHERE embedding_id = {QUESTION_VEC_ID}) AS DOUBLE[]))")
+_QDIST = f"round({_QDIST_RAW}, 6)"
 _TOPK_SQL = f"""matches AS (SELECT embedding_id, article_id, {_QDIST} AS distance FROM in_embeddings e
   ORDER BY distance NULLS LAST, embedding_id LIMIT 10),
 scored AS (SELECT *, count(*) OVER (PARTITION BY article_id) AS score FROM matches),
@@ -468,15 +469,29 @@ def q_vector_topk_batch(t):
     return _r6(rv.vector_topk_batch(t.in_embeddings, qs))
 
 
-@query("vector_topk_lsh")
+from quarry.plans.oracle_vectors import buckets_sql  # noqa: E402
+from quarry.sources.testdata import EMBEDDING_WIDTH  # noqa: E402
+
+# the index of the test vectors: BucketedRandomProjectionLSH defaults of index_vectors
+_LSH = dict(seed=7, num_tables=4, dim=EMBEDDING_WIDTH, bucket_length=2.0)
+_LSH_SQL = buckets_sql("in_embeddings", "embedding_id", "embedding", **_LSH)
+
+
+@query("vector_topk_lsh", W(f"""WITH {_LSH_SQL},
+probe AS (SELECT lb."table", lb.bucket FROM lsh_buckets lb WHERE lb.embedding_id = {QUESTION_VEC_ID}),
+cand AS (SELECT DISTINCT lb.embedding_id FROM lsh_buckets lb JOIN probe USING ("table", bucket))
+SELECT embedding_id, article_id, round(d, 6) AS distance FROM (
+  SELECT e.embedding_id, e.article_id, {_QDIST_RAW} AS d
+    FROM in_embeddings e JOIN cand USING (embedding_id)
+   ORDER BY d NULLS LAST, e.embedding_id LIMIT 10)""", "in_embeddings"))
 def q_vector_topk_lsh(t):
-    return rv.vector_topk_lsh(t.in_embeddings, _question_vector(t))
+    return _r6(rv.vector_topk_lsh(t.in_embeddings, _question_vector(t)))
 
 
-@query("index_vectors")
+@query("index_vectors", W(f'WITH {_LSH_SQL} SELECT embedding_id, "table", bucket FROM lsh_buckets', "in_embeddings"))
 def q_index_vectors(t):
     model, v = rv.index_vectors(t.in_embeddings)
-    return model.transform(v).select("embedding_id", F.size("hashes").alias("tables"))
+    return rv.lsh_buckets(model, v)
 
 
 @query("chat_field", "SELECT event_id, props, json_extract_string(props, '$.k') AS k FROM events")

@@ -33,6 +33,8 @@ MAX_FREEZE_AGE = 200000000
 PROXY_ROLE = "seg_BUILDING"
 SENSOR = "A20"
 QUESTION_VEC_ID = 0
+# Width of the vectors in the test embeddings table (the LSH oracle rebuilds projections for it).
+EMBEDDING_WIDTH = 64
 
 
 def ntz(s: str):

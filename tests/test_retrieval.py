@@ -58,3 +58,21 @@ def test_references_and_prompt(spark):
 def test_chat_field(spark):
     df = spark.createDataFrame([('{"chat_response": "yes", "x": 1}',), ("not json",)], "answer string")
     assert [r.chat_response for r in rv.chat_field(df, "answer").collect()] == ["yes", None]
+
+
+def test_lsh_projections_follow_the_seed(spark):
+    # the oracle rebuilds Spark's projection vectors from java.util.Random(seed)
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.linalg import Vectors
+
+    from quarry.plans.oracle_vectors import projections
+
+    df = spark.createDataFrame([(Vectors.dense([0.0] * 8),)], ["features"])
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="h", bucketLength=0.001, numHashTables=3,
+                                        seed=11).fit(df)
+    probe = spark.createDataFrame([(Vectors.dense([1.0 if i == j else 0.0 for i in range(8)]),) for j in range(8)],
+                                  ["features"])
+    # bucket of a unit vector e_j with bucket length 1/1000: floor(1000 * u[t][j])
+    got = [[int(h[0]) for h in r.h] for r in model.transform(probe).collect()]
+    want = [[int(1000 * u[j] // 1) for u in projections(11, 3, 8)] for j in range(8)]
+    assert got == want
