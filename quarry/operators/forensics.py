@@ -20,7 +20,7 @@ from quarry.functions.scalar import (
     whole_seconds_between,
 )
 from quarry.plans.broadcast import bounded_broadcast
-from quarry.session import checkpoint_dir
+from quarry.session import materialize
 
 # Schemas hidden from the buffer and layout reports.
 BUFFER_HIDDEN_SCHEMAS = ("pg_catalog", "information_schema", "pg_toast")
@@ -77,8 +77,7 @@ def buffer_usage(buffercache: DataFrame, pg_class: DataFrame, namespace: DataFra
                   .agg(F.sum("n_buffers").alias("n")))
     # one row per relation, written once: the total and the rows then read it instead of
     # scanning the buffers twice (the two branches prune differently, so no exchange reuse)
-    checkpoint_dir(per_object.sparkSession)
-    per_object = per_object.checkpoint(eager=True)
+    per_object = materialize(per_object, "buffer-usage")
     total = per_object.select(F.sum("n")).scalar()
     return per_object.withColumn("_total", total).select(
         object_name(F.col("nspname"), F.col("relname")).alias("object_name"),
@@ -255,8 +254,7 @@ def blocking_activity(activity: DataFrame, locks: DataFrame, pg_class: DataFrame
     """
     al = _activity_locks(activity, locks, pg_class, now, keep=("blocking_pids",))
     # both sides read the same (session, lock kind) rows: write them once
-    checkpoint_dir(al.sparkSession)
-    al = al.checkpoint(eager=True)
+    al = materialize(al, "activity-locks")
     blocked = al.select(F.explode(F.array_distinct("blocking_pids")).alias("blocker_pid"),
                         F.col("pid").alias("blocked_pid"), F.col("query").alias("blocked_query"),
                         F.col("usename").alias("blocked_user"), F.col("client_addr").alias("blocked_client"))

@@ -160,9 +160,8 @@ def _scan_partitions(keys: Sequence[str], sums: Sequence[str], lags: Sequence[st
 def _scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequence[str], lags: Sequence[str],
           n: int | None) -> tuple[DataFrame, DataFrame]:
     """Range-partition, scan each partition in order; return (rows, boundary summaries)."""
-    from quarry.session import scratch_path
+    from quarry.session import materialize
 
-    spark = df.sparkSession
     parts = _num_partitions(df, n)
     sum_types = {}
     for c in sums:
@@ -178,9 +177,7 @@ def _scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequen
                .sortWithinPartitions(*[F.col(c) for c in [*keys, *order]])
                .withColumn(_PID, F.spark_partition_id()))
     scanned = ordered.mapInArrow(_scan_partitions(keys, sums, lags, sum_types), out_schema)
-    path = scratch_path(spark, "ordered-scan")
-    scanned.write.parquet(path)
-    written = spark.read.parquet(path)
+    written = materialize(scanned, "ordered-scan")
     return written.filter(F.col(_KIND) == 0), written.filter(F.col(_KIND) == 1)
 
 
@@ -247,14 +244,13 @@ def dense_ids(df: DataFrame, order: Sequence[str], start: int = 1, col: str = "i
     partition index (high bits) and the row's position in it (low 33 bits).  Per
     partition counts (one row per partition) give the offsets.
     """
-    from quarry.session import checkpoint_dir
+    from quarry.session import materialize
 
-    checkpoint_dir(df.sparkSession)
     parts = _num_partitions(df, num_partitions)
-    # pinned: the sampled range bounds and the row positions must not change between branches
-    r = (df.repartitionByRange(parts, *[F.col(c) for c in order]).sortWithinPartitions(*order)
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
+    # pinned: the sampled range bounds and the row positions must not change between branches;
+    # the per-partition counts then read one column of the written rows
+    r = materialize(df.repartitionByRange(parts, *[F.col(c) for c in order]).sortWithinPartitions(*order)
+                    .withColumn("_mid", F.monotonically_increasing_id()), "dense-ids")
     r = r.withColumn("_part", F.shiftright("_mid", 33)).withColumn("_pos", F.col("_mid").bitwiseAND((1 << 33) - 1))
     counts = r.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part").rowsBetween(
