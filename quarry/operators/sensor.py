@@ -21,8 +21,3 @@ def log_lookup(log: DataFrame, location: str) -> DataFrame:
             .select("id", "location", "reading", "reading_date")
             .orderBy(F.col("reading_date").asc_nulls_last(), "id"))
 
-
-def log_batches(log: DataFrame, batch_col: str = "reading_date") -> DataFrame:
-    """Readings grouped into the commit batches they arrived in (one batch per timestamp second)."""
-    return (log.groupBy(F.date_trunc("second", F.col(batch_col)).alias("batch_ts"))
-            .agg(F.count(F.lit(1)).alias("readings"), F.countDistinct("location").alias("locations")))
