@@ -215,16 +215,24 @@ def snapshot_delta(snapshots: DataFrame, keys: Sequence[str], counters: Sequence
 # ---- sessions, locks and blocking ---------------------------------------------------
 
 def _locks_by_session(locks: DataFrame, pg_class: DataFrame) -> DataFrame:
-    """(pid, mode, locktype) -> ordered, comma-separated names of locked ordinary tables."""
+    """(pid, mode, locktype) -> ordered, comma-separated names of locked ordinary tables.
+
+    Lock rows are first counted per (pid, mode, locktype, relname), combined map-side, so a
+    session holding a third of all locks shuffles one row per relation it locks, not one
+    per lock.  Each count becomes its repeated name (duplicates are kept in the list),
+    and the pieces are joined in name order.  The counts are partitioned by pid once,
+    which the list aggregate and the session join both reuse.
+    """
     rel = pg_class.filter(F.col("relkind") == "r").select(F.col("oid").alias("rel_oid"), "relname")
-    # Partitioned by pid once: the aggregate on (pid, mode, locktype) and the session join on
-    # pid both use that partitioning, so the aggregated lists are not shuffled again.  A
-    # partial listagg would not shrink the rows (it keeps every name), so little is lost.
-    return (locks.select("pid", "mode", "locktype", "relation")
-            .join(rel, F.col("relation") == F.col("rel_oid"))
+    per_name = (locks.select("pid", "mode", "locktype", "relation")
+                .join(rel, F.col("relation") == F.col("rel_oid"))
+                .groupBy("pid", "mode", "locktype", "relname").agg(F.count(F.lit(1)).alias("_n")))
+    piece = F.when(F.col("relname").isNotNull(),
+                   F.array_join(F.array_repeat(F.col("relname"), F.col("_n").cast("int")), ", "))
+    return (per_name.select("pid", "mode", "locktype", "relname", piece.alias("_piece"))
             .repartition("pid")
             .groupBy("pid", "mode", "locktype")
-            .agg(F.expr("listagg(relname, ', ') WITHIN GROUP (ORDER BY relname)").alias("tables")))
+            .agg(F.expr("listagg(_piece, ', ') WITHIN GROUP (ORDER BY relname)").alias("tables")))
 
 
 def _activity_locks(activity: DataFrame, locks: DataFrame, pg_class: DataFrame, now, keep=()) -> DataFrame:
