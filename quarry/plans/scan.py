@@ -92,14 +92,13 @@ def _scan_partitions(keys: Sequence[str], sums: Sequence[str], lags: Sequence[st
             ridx = run_no + gid          # run index within the partition
             zero = np.flatnonzero(ridx == 0)
             ends_first = int(zero[-1]) if len(zero) and ridx[-1] >= 1 else None
-            starts = np.flatnonzero(start)
             cols = {}
             for c in sums:
                 v = pc.fill_null(b.column(c), 0).to_numpy(zero_copy_only=False).astype(sum_types[c])
-                cs = np.cumsum(v)
-                before = np.concatenate([[0], cs])[starts]            # sum before each run start
-                base = np.concatenate([[-st_sum[c]], before]).astype(cs.dtype)
-                local = cs - base[gid]
+                # per-run sums added in row order (as a window sum does); the open run continues
+                local = pd.Series(v).groupby(gid).cumsum().to_numpy()
+                if not start[0]:
+                    local[gid == 0] += st_sum[c]
                 peak = pd.Series(local).groupby(gid).cummax().to_numpy()
                 if not start[0] and st_peak[c] is not None:
                     cont = gid == 0
