@@ -43,6 +43,25 @@ def write_articles(articles: DataFrame, path: str, mode: str = "append") -> None
     articles.write.mode(mode).partitionBy("publish_date").parquet(path)
 
 
+def append_articles(articles: DataFrame, path: str, order=("path",), col: str = "article_id") -> DataFrame:
+    """Append typed articles with identity-style ids that continue after the largest id already
+    in the table at ``path`` (1 for a new table), and return the appended rows.
+
+    Re-importing the same files appends them again under new ids, as an identity column
+    does.  The largest id is one aggregate (answered from parquet footers where possible).
+    """
+    from quarry.operators.corpus import assign_ids
+
+    spark = articles.sparkSession
+    try:
+        last = spark.read.parquet(path).agg(F.max(col)).first()[0]
+    except Exception:  # noqa: BLE001 - no table yet
+        last = None
+    with_ids = assign_ids(articles, list(order), col=col, start=(last or 0) + 1)
+    write_articles(with_ids, path, mode="append")
+    return with_ids
+
+
 def write_chunks(chunks: DataFrame, path: str, mode: str = "append") -> None:
     """Write chunk rows (article_id, chunk_no, chunk[, embedding]) as parquet, clustered by article.
 

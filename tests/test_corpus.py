@@ -123,3 +123,18 @@ def test_embed_oracle_sql_matches_hashing_encoder(spark):
     con.executemany("INSERT INTO src VALUES (?, ?)", texts)
     want = dict(con.execute("WITH " + embed_sql("src", ["id"], "chunk", 16) + " SELECT id, embedding FROM embedded").fetchall())
     assert got == want
+
+
+def test_append_articles_continues_ids(spark):
+    from quarry.session import scratch_path
+    from quarry.sources.corpus import append_articles
+
+    md = spark.createDataFrame([(f"d{i}.md", f"---\nauthor: a\ntitle: T{i}\ndate: 2024-01-0{i + 1}\n---\nbody {i}")
+                                for i in range(3)], "path string, text string")
+    ok, _bad = cp.articles(cp.parse_front_matter(md))
+    out = scratch_path(spark, "append-articles")
+    append_articles(ok, out)
+    append_articles(ok, out)  # a re-import appends duplicates under new ids
+    rows = sorted((r.article_id, r.path) for r in spark.read.parquet(out).collect())
+    assert [i for i, _ in rows] == [1, 2, 3, 4, 5, 6]
+    assert [p for _, p in rows] == ["d0.md", "d1.md", "d2.md"] * 2
