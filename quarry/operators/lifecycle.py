@@ -170,28 +170,31 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
         ev = ev.join(init, "player", "left")
     else:
         ev = ev.select("*", F.lit(MAX_LEVEL).alias("_f0"), F.lit(MAX_LEVEL).alias("_m0"), F.lit(False).alias("_dead0"))
-    s = running_sum_and_peak(ev, ["player"], ["ts", "seq"], ["_df", "_dm"], num_partitions)
+    s = running_sum_and_peak(ev, ["player"], ["ts", "seq"], ["_df", "_dm"], num_partitions, with_order=True)
     f0 = F.coalesce(F.col("_f0"), F.lit(MAX_LEVEL))
     m0 = F.coalesce(F.col("_m0"), F.lit(MAX_LEVEL))
     food = F.col("_sum__df") + F.least(f0, F.lit(MAX_LEVEL) - F.col("_peak__df"))
     mood = F.col("_sum__dm") + F.least(m0, F.lit(MAX_LEVEL) - F.col("_peak__dm"))
-    s = s.select("player", "ts", "seq", F.coalesce(F.col("_dead0"), F.lit(False)).alias("_dead0"),
+    s = s.select("player", "ts", "_order", F.coalesce(F.col("_dead0"), F.lit(False)).alias("_dead0"),
                  f0.alias("_f0"), m0.alias("_m0"), food.alias("_food"), mood.alias("_mood"), "_tick")
     dies = F.col("_tick") & ((F.col("_food") < 1) | (F.col("_mood") < 1))
-    order = F.struct("ts", "seq")
+    # one long follows (ts, seq) within a player: primitive min_by / max_by hash-aggregate
+    # (map-side combined) instead of sorting every event as struct orderings would
+    at_death = F.when(dies, F.col("_order"))
     agg = s.groupBy("player").agg(
-        F.min_by(F.struct(F.col("_food").alias("food"), F.col("_mood").alias("mood"), F.col("ts").alias("ts")),
-                 F.when(dies, order)).alias("_death"),
-        F.max_by(F.struct(F.col("_food").alias("food"), F.col("_mood").alias("mood")), order).alias("_last"),
+        F.min(at_death).alias("_death_order"),
+        F.min_by("_food", at_death).alias("_death_food"), F.min_by("_mood", at_death).alias("_death_mood"),
+        F.min_by("ts", at_death).alias("_death_ts"),
+        F.max_by("_food", "_order").alias("_last_food"), F.max_by("_mood", "_order").alias("_last_mood"),
         F.first("_dead0").alias("_dead0"), F.first("_f0").alias("_f0"), F.first("_m0").alias("_m0"))
     dead0 = F.col("_dead0")
-    died = F.col("_death").isNotNull()
+    died = F.col("_death_order").isNotNull()
     out = agg.select(
         "player",
-        F.when(dead0, F.col("_f0")).when(died, F.col("_death.food")).otherwise(F.col("_last.food")).alias("food"),
-        F.when(dead0, F.col("_m0")).when(died, F.col("_death.mood")).otherwise(F.col("_last.mood")).alias("mood"),
+        F.when(dead0, F.col("_f0")).when(died, F.col("_death_food")).otherwise(F.col("_last_food")).alias("food"),
+        F.when(dead0, F.col("_m0")).when(died, F.col("_death_mood")).otherwise(F.col("_last_mood")).alias("mood"),
         (dead0 | died).alias("is_dead"),
-        F.when(~dead0 & died, F.col("_death.ts")).alias("death_date"))
+        F.when(~dead0 & died, F.col("_death_ts")).alias("death_date"))
     if initial is not None:
         keep = initial.select("player", "food", "mood", "is_dead", "death_date").join(out.select("player"), "player", "left_anti")
         out = out.join(initial.select("player", F.col("death_date").alias("_dd0")), "player", "left").select(

@@ -34,6 +34,9 @@ from pyspark.sql.types import (BooleanType, ByteType, DoubleType, IntegerType, I
 _PID = "_scan_pid"
 _KIND = "_scan_kind"    # 0 = row, 1 = summary of a key run at a partition boundary
 _START = "_scan_start"  # first row of its key run within the partition
+_POS = "_scan_pos"      # row position within the partition (0, 1, ...)
+# ``_PID << _POS_BITS | _POS`` is one long that follows the (key, order) sort across partitions
+_POS_BITS = 40
 
 
 def _num_partitions(df: DataFrame, n: int | None) -> int:
@@ -76,6 +79,7 @@ def _scan_partitions(keys: Sequence[str], sums: Sequence[str], lags: Sequence[st
         st_last = {c: None for c in lags}
         first_run = None                 # end state of the partition's first run, once it ended
         arrow_schema, pid = None, None
+        seen = 0                         # rows of this partition before the current batch
 
         def state():
             return {"key": prev_key, "sum": dict(st_sum), "peak": dict(st_peak), "last": dict(st_last)}
@@ -125,6 +129,8 @@ def _scan_partitions(keys: Sequence[str], sums: Sequence[str], lags: Sequence[st
                 st_last[c] = b.column(c)[n - 1].as_py()
             cols[_KIND] = pa.array(np.zeros(n, dtype=np.int8))
             cols[_START] = pa.array(start)
+            cols[_POS] = pa.array(np.arange(seen, seen + n, dtype=np.int64))
+            seen += n
             names = list(b.schema.names) + [k for k in cols]
             out = pa.RecordBatch.from_arrays([b.column(x) for x in b.schema.names] + list(cols.values()), names=names)
             arrow_schema = arrow_schema or out.schema
@@ -170,7 +176,7 @@ def _scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequen
         t = LongType() if sum_types[c] == "int64" else DoubleType()
         extra += [StructField(f"_ls_{c}", t), StructField(f"_lp_{c}", t)]
     extra += [StructField(f"_ll_{c}", df.schema[c].dataType) for c in lags]
-    extra += [StructField(_KIND, ByteType()), StructField(_START, BooleanType())]
+    extra += [StructField(_KIND, ByteType()), StructField(_START, BooleanType()), StructField(_POS, LongType())]
     out_schema = StructType([StructField(f.name, f.dataType, True) for f in df.schema.fields] + extra)
     ordered = (df.repartitionByRange(parts, *[F.col(c) for c in [*keys, *order]])
                .sortWithinPartitions(*[F.col(c) for c in [*keys, *order]])
@@ -209,9 +215,11 @@ def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols:
 
 
 def running_sum_and_peak(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                         num_partitions: int | None = None) -> DataFrame:
+                         num_partitions: int | None = None, with_order: bool = False) -> DataFrame:
     """For each ``c`` add ``_sum_<c>`` (inclusive running sum per key) and ``_peak_<c>``
-    (running maximum of that running sum).  NULL values count as 0.
+    (running maximum of that running sum).  NULL values count as 0.  With ``with_order``
+    also ``_order``: one long increasing along (key, order), so later aggregates can pick
+    first / last rows with primitive ``min_by`` / ``max_by`` (hash aggregation, no sort).
 
     Per boundary run the summary is (total, peak of the local running sum); the carry
     into a run is the sum of the earlier totals of its key and the best earlier peak
@@ -232,7 +240,8 @@ def running_sum_and_peak(df: DataFrame, keys: Sequence[str], order: Sequence[str
     sums = [(F.col(f"_ls_{c}") + F.coalesce(F.col(f"_in_{c}"), F.lit(0))).alias(f"_sum_{c}") for c in cols]
     peaks = [F.greatest(F.col(f"_cpeak_{c}"), F.col(f"_lp_{c}") + F.coalesce(F.col(f"_in_{c}"), F.lit(0)))
              .alias(f"_peak_{c}") for c in cols]
-    return out.select(*df.columns, *sums, *peaks)
+    extra = [(F.col(_PID).cast("long") * F.lit(1 << _POS_BITS) + F.col(_POS)).alias("_order")] if with_order else []
+    return out.select(*df.columns, *sums, *peaks, *extra)
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], start: int = 1, col: str = "id",
