@@ -61,8 +61,14 @@ def whole_seconds_between(later, earlier) -> Column:
 
 
 def round_to_second(ts) -> Column:
-    """``::TIMESTAMP(0)``: round a timestamp half up to the whole second."""
-    return F.date_trunc("second", _c(ts) + F.expr("INTERVAL 500 MILLISECONDS"))
+    """``::TIMESTAMP(0)``: round a timestamp half up to the whole second, without time zone
+    (a zoned value is first taken as wall-clock time in the session zone)."""
+    # built from the wall-clock fields, so no value passes through the session zone (a
+    # time inside a daylight-saving gap would otherwise move by an hour)
+    t = _c(ts).cast("timestamp_ntz")
+    minute = F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.lit(0))
+    seconds = F.floor(F.date_part(F.lit("SECOND"), t) + F.lit(0.5)).cast("int")
+    return F.timestamp_add("SECOND", seconds, minute)
 
 
 def round_ratio(num, den, scale: int = 2) -> Column:

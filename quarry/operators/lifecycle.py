@@ -191,8 +191,8 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
     died = F.col("_death_order").isNotNull()
     out = agg.select(
         "player",
-        F.when(dead0, F.col("_f0")).when(died, F.col("_death_food")).otherwise(F.col("_last_food")).alias("food"),
-        F.when(dead0, F.col("_m0")).when(died, F.col("_death_mood")).otherwise(F.col("_last_mood")).alias("mood"),
+        F.when(dead0, F.col("_f0")).when(died, F.col("_death_food")).otherwise(F.col("_last_food")).cast("int").alias("food"),
+        F.when(dead0, F.col("_m0")).when(died, F.col("_death_mood")).otherwise(F.col("_last_mood")).cast("int").alias("mood"),
         (dead0 | died).alias("is_dead"),
         F.when(~dead0 & died, F.col("_death_ts")).alias("death_date"))
     if initial is not None:

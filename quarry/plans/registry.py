@@ -393,7 +393,7 @@ _TOPK_SQL = f"""matches AS (SELECT embedding_id, article_id, {_QDIST} AS distanc
   ORDER BY distance NULLS LAST, embedding_id LIMIT 10),
 scored AS (SELECT *, count(*) OVER (PARTITION BY article_id) AS score FROM matches),
 winners AS (SELECT * FROM scored ORDER BY score DESC, distance NULLS LAST, embedding_id LIMIT 3),
-ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, distance NULLS LAST, embedding_id) AS ref_no FROM winners),
+ranked AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, distance NULLS LAST, embedding_id) AS INTEGER) AS ref_no FROM winners),
 ctx AS (SELECT r.ref_no, a.title, e.chunk FROM in_embeddings e JOIN ranked r USING (embedding_id, article_id)
   JOIN in_articles a USING (article_id)),
 refs AS (SELECT string_agg('Reference ' || ref_no || ' from ' || title || chr(10) || chr(10) || chunk || chr(10) || chr(10), ''
@@ -462,7 +462,7 @@ def q_retrieve(t):
 SELECT * FROM (
   SELECT q.embedding_id AS qid, e.embedding_id, e.article_id,
          round(list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS distance,
-         row_number() OVER (PARTITION BY q.embedding_id ORDER BY list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), e.embedding_id) AS rank
+         CAST(row_number() OVER (PARTITION BY q.embedding_id ORDER BY list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), e.embedding_id) AS INTEGER) AS rank
     FROM in_embeddings q, in_embeddings e) WHERE rank <= 10""", "in_embeddings"))
 def q_vector_topk_batch(t):
     qs = t.in_embeddings.select(F.col("embedding_id").alias("qid"), F.col("embedding").alias("qvec"))

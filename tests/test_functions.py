@@ -25,3 +25,13 @@ def test_seconds_rounding(spark):
     assert [r[0] for r in df.select(whole_seconds_between("a", "b")).collect()] == [1, 0, -2]
     got = [str(r[0]) for r in df.select(round_to_second("a")).collect()]
     assert got == ["2024-01-01 00:00:01", "2024-01-01 00:00:00", "2024-01-01 00:00:00"]
+
+
+def test_round_to_second_is_wall_clock(spark):
+    from quarry.functions.scalar import round_to_second
+
+    df = spark.sql("""SELECT * FROM VALUES (timestamp_ntz'2024-03-10 02:30:00.4'), (timestamp_ntz'2024-12-31 23:59:59.5'),
+                      (timestamp_ntz'2024-01-01 10:00:00.499999') AS t(g)""")
+    got = [r[0] for r in df.select(round_to_second("g").cast("string")).collect()]
+    assert got == ["2024-03-10 02:30:00", "2025-01-01 00:00:00", "2024-01-01 10:00:00"]
+    assert dict(df.select(round_to_second("g").alias("r")).dtypes)["r"] == "timestamp_ntz"
