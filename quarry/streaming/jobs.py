@@ -89,65 +89,127 @@ def read_embeddings(spark: SparkSession, sink: str) -> DataFrame:
 
 # ---- pet replay --------------------------------------------------------------------------------
 
-PET_STATE = "food int, mood int, is_dead boolean, death_micros long, last_micros long, last_seq long, late long"
+PET_STATE = ("food int, mood int, is_dead boolean, death_micros long, last_micros long, last_seq long, late long, "
+             "tick_micros long")
 PET_OUT = "player string, food int, mood int, is_dead boolean, death_micros long, late_events long"
 
-
-def _pet_step(key: Tuple[str], pdfs: Iterator[pd.DataFrame], state):
-    """Apply this micro-batch's events of one player (in ts, seq order) to its state.
-
-    The counter maps compose in closed form (see ``operators.lifecycle.pet_replay``), so
-    a batch is a cumulative sum and a running maximum in numpy, not a per-event loop.
-    An event ordered before the player's last applied event arrived too late to be
-    applied in order; it is skipped and counted (``late_events``), so the state always
-    equals the batch replay of the events that were applied.
-    """
-    if state.exists:
-        food, mood, dead, death, last_t, last_s, late = state.get
-    else:
-        food, mood, dead, death, last_t, last_s, late = MAX_LEVEL, MAX_LEVEL, False, None, None, None, 0
-    ev = pd.concat(list(pdfs), ignore_index=True)
-    if last_t is not None and len(ev):
-        t, q = ev["ts_micros"].to_numpy(), ev["seq"].to_numpy()
-        in_order = (t > last_t) | ((t == last_t) & (q > last_s))
-        late += int((~in_order).sum())
-        ev = ev[in_order]
-    if len(ev):
-        ev = ev.sort_values(["ts_micros", "seq"], kind="mergesort")
-        last_t, last_s = int(ev["ts_micros"].iloc[-1]), int(ev["seq"].iloc[-1])
-    if not dead and len(ev):
-        act = ev["action"].to_numpy()
-        dfood = np.where(act == "feed", FEED_AMOUNT, np.where(act == "tick", -TICK_AMOUNT, 0))
-        dmood = np.where(act == "train", TRAIN_AMOUNT, np.where(act == "tick", -TICK_AMOUNT, 0))
-        a, b = np.cumsum(dfood), np.cumsum(dmood)
-        f = a + np.minimum(food, MAX_LEVEL - np.maximum.accumulate(a))
-        m = b + np.minimum(mood, MAX_LEVEL - np.maximum.accumulate(b))
-        dies = np.flatnonzero((act == "tick") & ((f < 1) | (m < 1)))
-        if len(dies):
-            i = dies[0]
-            food, mood, dead, death = int(f[i]), int(m[i]), True, int(ev["ts_micros"].to_numpy()[i])
+# Consecutive ticks with no feed or train in between kill any pet within MAX_LEVEL + 1 of them
+# (the first tick clamps the counters to at most MAX_LEVEL - 1); later ones act on a dead pet.
+_TICKS_THAT_MATTER = MAX_LEVEL + 2
+
+
+def _scheduled_ticks(points, period: int):
+    """Tick times on the schedule (multiples of ``period``) in each gap (points[j], points[j+1]],
+    at most the ones that can still matter per gap."""
+    out = []
+    for lo, hi in zip(points[:-1], points[1:]):
+        k_lo, k_hi = lo // period + 1, hi // period
+        n = min(max(0, k_hi - k_lo + 1), _TICKS_THAT_MATTER)
+        out.extend((k_lo + i) * period for i in range(n))
+    return out
+
+
+def _pet_stepper(period: int | None):
+    """applyInPandasWithState body; ``period`` (microseconds) adds scheduled ticks."""
+
+    def step(key: Tuple[str], pdfs: Iterator[pd.DataFrame], state):
+        """Apply this call's events of one player (in ts, seq order) to its state.
+
+        The counter maps compose in closed form (see ``operators.lifecycle.pet_replay``), so
+        a batch is a cumulative sum and a running maximum in numpy, not a per-event loop.
+        An event ordered before what was already applied (an event or a scheduled tick)
+        arrived too late to be applied in order; it is skipped and counted
+        (``late_events``), so the state always equals the replay of what was applied.
+        With a schedule, ticks at every period boundary are merged in (a tick goes
+        before an event at the same time) up to the later of the newest event and the
+        watermark, and a timer at the next boundary brings the player back when the
+        watermark passes it, whether or not new events arrive.
+        """
+        if state.exists:
+            food, mood, dead, death, last_t, last_s, late, tick_t = state.get
         else:
-            food, mood = int(f[-1]), int(m[-1])
-    state.update((food, mood, dead, death, last_t, last_s, late))
-    yield pd.DataFrame({"player": [key[0]], "food": [food], "mood": [mood], "is_dead": [dead],
-                        "death_micros": pd.array([death], dtype="Int64"), "late_events": [late]})
+            food, mood, dead, death, last_t, last_s, late, tick_t = MAX_LEVEL, MAX_LEVEL, False, None, None, None, 0, None
+        cols = ["ts_micros", "seq", "action"]
+        frames = [] if state.hasTimedOut else [p[cols] for p in pdfs]
+        ev = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({c: [] for c in cols})
+        if len(ev):
+            t, q = ev["ts_micros"].to_numpy(), ev["seq"].to_numpy()
+            in_order = np.ones(len(ev), dtype=bool)
+            if last_t is not None:
+                in_order &= (t > last_t) | ((t == last_t) & (q > last_s))
+            if tick_t is not None:
+                in_order &= t >= tick_t
+            late += int((~in_order).sum())
+            ev = ev[in_order].sort_values(["ts_micros", "seq"], kind="mergesort")
+        times = ev["ts_micros"].to_numpy(dtype=np.int64)
+        acts = ev["action"].to_numpy(dtype=object)
+        if len(ev):
+            last_t, last_s = int(times[-1]), int(ev["seq"].iloc[-1])
+        if period is not None:
+            upto = max([state.getCurrentWatermarkMs() * 1000] + ([int(times[-1])] if len(times) else []))
+            start = tick_t if tick_t is not None else (int(times[0]) if len(times) else upto)
+            upto = max(upto, start)
+            ticks = np.array(_scheduled_ticks([start, *times.tolist(), upto], period), dtype=np.int64)
+            # ticks first at equal times: order by (time, 0 = tick / 1 = event)
+            t_all = np.concatenate([ticks, times])
+            kind = np.concatenate([np.zeros(len(ticks), dtype=np.int8), np.ones(len(times), dtype=np.int8)])
+            a_all = np.concatenate([np.full(len(ticks), "tick", dtype=object), acts])
+            order = np.lexsort((kind, t_all))
+            times, acts = t_all[order], a_all[order]
+            tick_t = upto
+        if not dead and len(acts):
+            dfood = np.where(acts == "feed", FEED_AMOUNT, np.where(acts == "tick", -TICK_AMOUNT, 0))
+            dmood = np.where(acts == "train", TRAIN_AMOUNT, np.where(acts == "tick", -TICK_AMOUNT, 0))
+            a, b = np.cumsum(dfood), np.cumsum(dmood)
+            f = a + np.minimum(food, MAX_LEVEL - np.maximum.accumulate(a))
+            m = b + np.minimum(mood, MAX_LEVEL - np.maximum.accumulate(b))
+            dies = np.flatnonzero((acts == "tick") & ((f < 1) | (m < 1)))
+            if len(dies):
+                i = dies[0]
+                food, mood, dead, death = int(f[i]), int(m[i]), True, int(times[i])
+            else:
+                food, mood = int(f[-1]), int(m[-1])
+        state.update((food, mood, dead, death, last_t, last_s, late, tick_t))
+        if period is not None and not dead:
+            # the next boundary after what is applied; fires once the watermark passes it
+            state.setTimeoutTimestamp(-(-((tick_t // period + 1) * period) // 1000))
+        yield pd.DataFrame({"player": [key[0]], "food": [food], "mood": [mood], "is_dead": [dead],
+                            "death_micros": pd.array([death], dtype="Int64"), "late_events": [late]})
+
+    return step
+
+
+def _micros(spark: SparkSession, period: str) -> int:
+    """A Spark interval string ('1 hour', '30 minutes', ...) in microseconds (a constant)."""
+    return int(spark.sql(f"SELECT unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {period}) AS m").first().m)
 
 
 def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
-                     interval: str | None = None, watermark: str | None = None) -> StreamingQuery:
+                     interval: str | None = None, watermark: str | None = None,
+                     tick_period: str | None = None) -> StreamingQuery:
     """Stateful replay of (player, ts, seq, action) events: one state per player.
 
     Emits the updated state of every player touched by a micro-batch; the sink keeps
     one folder per batch id (idempotent on retry); ``read_pet_states`` takes the
     latest per player.  Events of one batch are applied in (ts, seq) order; with
     ``watermark`` Spark also drops events older than the event-time watermark.
+
+    ``tick_period`` (e.g. '1 hour') is the game loop: every living pet ticks at each
+    multiple of the period (event time, from its first event on), by event-time timers,
+    so pets without new events still starve.  It needs ``watermark``.
     """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ev = events.select("player", F.timestamp_diff("MICROSECOND", epoch, F.col("ts")).alias("ts_micros"), "seq", "action")
+    period = None
+    if tick_period is not None:
+        if not watermark:
+            raise ValueError("scheduled ticks need an event-time watermark")
+        period = _micros(events.sparkSession, tick_period)
     if watermark:
-        events = (events.withColumn("_event_time", F.col("ts").cast("timestamp"))
-                  .withWatermark("_event_time", watermark))
-    ev = events.select("player", F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                                  F.col("ts")).alias("ts_micros"), "seq", "action")
-    out = ev.groupBy("player").applyInPandasWithState(_pet_step, PET_OUT, PET_STATE, "update", "NoTimeout")
+        # event time as an instant with the same microseconds, so watermark and ticks agree in any session zone
+        ev = ev.withColumn("_event_time", F.timestamp_micros("ts_micros")).withWatermark("_event_time", watermark)
+    timeout = "EventTimeTimeout" if period is not None else "NoTimeout"
+    out = ev.groupBy("player").applyInPandasWithState(_pet_stepper(period), PET_OUT, PET_STATE, "update", timeout)
 
     def write(batch: DataFrame, batch_id: int):
         batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")

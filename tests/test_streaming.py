@@ -95,3 +95,48 @@ def test_append_log_dedup_within_watermark(spark):
     sj.start_append_log(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt"),
                         dedup_watermark="1 hour").awaitTermination()
     assert spark.read.parquet(os.path.join(base, "sink")).count() == 2
+
+
+def _with_schedule(rows, hours=1):
+    """The batch log a game loop would have written: a tick at every full hour after a
+    player's first event up to its last one (ticks sort before events at the same time)."""
+    out = list(rows)
+    for p in {r[0] for r in rows}:
+        ts = [r[1] for r in rows if r[0] == p]
+        t = (min(ts) + dt.timedelta(hours=hours)).replace(minute=0, second=0, microsecond=0)
+        while t <= max(ts):
+            out.append((p, t, -1, "tick"))
+            t += dt.timedelta(hours=hours)
+    return out
+
+
+def test_scheduled_ticks_equal_batch_replay_with_loop_ticks(spark):
+    acts = ["feed", "train", "tick", "feed", "train"]
+    rows = [(f"p{p}", T0 + dt.timedelta(minutes=37 * i + 11 * p), i, acts[(i + p) % 5]) for p in range(5) for i in range(60)]
+    rows += [("idle", T0, 0, "feed"), ("idle", T0 + dt.timedelta(hours=30), 1, "feed")]  # starves in between
+    base = tempfile.mkdtemp(prefix="pet-loop-")
+    src = os.path.join(base, "src")
+    spark.createDataFrame(rows, EV).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(EV).parquet(src)
+    # a watermark far behind: no timer fires, every player ticks up to its own last event
+    sj.start_pet_replay(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt"), watermark="3650 days",
+                        tick_period="1 hour").awaitTermination()
+    got = sorted(tuple(r) for r in sj.read_pet_states(spark, os.path.join(base, "sink")).collect())
+    want = sorted(tuple(r) for r in pet_replay(spark.createDataFrame(_with_schedule(rows), EV)).collect())
+    assert got == want
+    assert [r for r in got if r[0] == "idle"][0][3] is True
+
+
+def test_scheduled_ticks_reach_players_without_new_events(spark):
+    base = tempfile.mkdtemp(prefix="pet-timer-")
+    src = os.path.join(base, "src")
+    first = [("quiet", T0, 0, "feed"), ("busy", T0, 1, "feed"), ("busy", T0 + dt.timedelta(hours=48), 2, "feed")]
+    later = [("busy", T0 + dt.timedelta(hours=49), 3, "feed")]
+    spark.createDataFrame(first, EV).coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame(later, EV).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(EV).option("maxFilesPerTrigger", 1).parquet(src)
+    sj.start_pet_replay(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt"), watermark="0 seconds",
+                        tick_period="1 hour").awaitTermination()
+    got = {r.player: r for r in sj.read_pet_states(spark, os.path.join(base, "sink")).collect()}
+    # 'quiet' sent nothing after T0; the timer ticks it once the watermark passes each hour: dead after 24 ticks
+    assert (got["quiet"].is_dead, got["quiet"].food, got["quiet"].death_date) == (True, 0, T0 + dt.timedelta(hours=24))
