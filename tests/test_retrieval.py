@@ -76,3 +76,16 @@ def test_lsh_projections_follow_the_seed(spark):
     got = [[int(h[0]) for h in r.h] for r in model.transform(probe).collect()]
     want = [[int(1000 * u[j] // 1) for u in projections(11, 3, 8)] for j in range(8)]
     assert got == want
+
+
+def test_lsh_join_pairs_are_true_and_within_threshold(spark):
+    import math
+
+    e = _emb(spark, n=200, dim=4)
+    vecs = {r.embedding_id: list(r.embedding) for r in e.collect()}
+    qs = e.filter("embedding_id < 20").select(F.col("embedding_id").alias("qid"), F.col("embedding").alias("qvec"))
+    pairs = rv.vector_join_lsh(e, qs, threshold=0.5, bucket_length=1.0, num_tables=6).collect()
+    exact = {(q, i) for q in range(20) for i, v in vecs.items() if math.dist(vecs[q], v) < 0.5}
+    got = {(r.qid, r.embedding_id) for r in pairs}
+    assert got <= exact and len(got) >= len(exact) // 2
+    assert all(abs(r.distance - math.dist(vecs[r.qid], vecs[r.embedding_id])) < 1e-5 for r in pairs)
