@@ -88,3 +88,14 @@ def l2_distance(vec, query: Sequence[float]) -> Column:
     q = F.array(*[F.lit(float(x)) for x in query])
     sq = F.zip_with(_c(vec), q, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
     return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x))
+
+
+def interval_micros(spark, text: str) -> int:
+    """A Spark interval literal ('1 hour', '30 minutes', ...) in microseconds (a constant)."""
+    return int(spark.sql(f"SELECT unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {text}) AS m").first().m)
+
+
+def floor_div(x, d: int) -> Column:
+    """floor(x / d) for a bigint column and a positive constant, in exact integer arithmetic."""
+    x = _c(x)
+    return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("bigint")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.scalar import whole_seconds_between
+from quarry.functions.scalar import floor_div, interval_micros, whole_seconds_between
 
 # Limits, increments and messages of the game.
 MAX_LEVEL = 24
@@ -24,10 +24,22 @@ HEALTH_DEAD = "DEAD (you monster!)"
 
 STATE_COLUMNS = ["player", "pet_name", "mood", "food", "is_dead", "birth_date", "death_date"]
 
+# Consecutive ticks with no feed or train in between kill any pet within MAX_LEVEL + 1 of them
+# (the first tick clamps the counters to at most MAX_LEVEL - 1); later ones act on a dead pet,
+# so only this many ticks of a quiet stretch are ever generated (exact, not a cap on results).
+TICKS_THAT_MATTER = MAX_LEVEL + 2
+# Scheduled ticks sort before log events with the same time.
+LOOP_TICK_SEQ = -(1 << 62)
+_EPOCH = "1970-01-01 00:00:00"
+
 
 def _now(now):
+    import datetime as _dt
+
     if now is None:
         return F.localtimestamp()
+    if isinstance(now, _dt.datetime):  # wall-clock value, kept zone-free
+        now = now.isoformat(sep=" ")
     return F.lit(now).cast("timestamp_ntz") if isinstance(now, str) else now
 
 
@@ -142,7 +154,46 @@ def pet_validate_update(pets: DataFrame, updates: DataFrame) -> DataFrame:
         "is_dead", "birth_date", "death_date", ok.alias("accepted"), reason.alias("reason"))
 
 
-def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitions: int | None = None) -> DataFrame:
+def _loop_ticks(events: DataFrame, period: int, num_partitions: int | None) -> DataFrame:
+    """The game loop's ticks as events: one per period boundary in each gap (previous event,
+    event] of a player, at most the ones that can still matter per gap.  The previous event
+    comes from the skew-safe ordered scan, so a busy player is not one task."""
+    from quarry.plans.scan import lag_columns
+
+    epoch = F.lit(_EPOCH).cast("timestamp_ntz")
+    ev = events.select("player", "ts", "seq", F.timestamp_diff("MICROSECOND", epoch, F.col("ts")).alias("_t"))
+    lagged = lag_columns(ev, ["player"], ["ts", "seq"], ["_t"], num_partitions)
+    k_lo = floor_div(F.col("_prev__t"), period) + 1
+    n = F.least(F.greatest(floor_div(F.col("_t"), period) - k_lo + 1, F.lit(0)), F.lit(TICKS_THAT_MATTER))
+    ks = (lagged.filter(F.col("_prev__t").isNotNull() & (n > 0))
+          .select("player", F.explode(F.sequence(k_lo, k_lo + n - 1)).alias("_k")))
+    return ks.select("player", F.timestamp_add("MICROSECOND", F.col("_k") * F.lit(period), epoch).alias("ts"),
+                     F.lit(LOOP_TICK_SEQ).alias("seq"), F.lit("tick").alias("action"))
+
+
+def _tail_ticks(state: DataFrame, period: int, until) -> DataFrame:
+    """Apply the loop's ticks after each player's last event up to ``until``, in closed form:
+    after the first tick (clamped) both counters fall by one per tick, so the tick that kills
+    is ``min(max(1, f1 + 1), max(1, m1 + 1))``."""
+    epoch = F.lit(_EPOCH).cast("timestamp_ntz")
+    last_k = floor_div(F.timestamp_diff("MICROSECOND", epoch, F.col("_last_ts")), period)
+    k = F.greatest(floor_div(F.timestamp_diff("MICROSECOND", epoch, _now(until)), period) - last_k, F.lit(0))
+    f1, m1 = _clamp(F.col("food") - TICK_AMOUNT), _clamp(F.col("mood") - TICK_AMOUNT)
+    j = F.least(F.greatest(F.lit(1), f1 + 1), F.greatest(F.lit(1), m1 + 1))
+    ticking = ~F.col("is_dead") & (k > 0)
+    dies = ticking & (k >= j)
+    steps = F.when(dies, j).otherwise(k)
+    return state.select(
+        "player",
+        F.when(ticking, f1 - (steps - 1)).otherwise(F.col("food")).cast("int").alias("food"),
+        F.when(ticking, m1 - (steps - 1)).otherwise(F.col("mood")).cast("int").alias("mood"),
+        (F.col("is_dead") | dies).alias("is_dead"),
+        F.when(dies, F.timestamp_add("MICROSECOND", (last_k + j) * F.lit(period), epoch))
+         .otherwise(F.col("death_date")).alias("death_date"))
+
+
+def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitions: int | None = None,
+               tick_period: str | None = None, until=None) -> DataFrame:
     """Fold an ordered event log (player, ts, seq, action in feed/train/tick) into final state.
 
     Every event applies ``x -> min(24, x + a)`` to food and mood (a = +8/0/-1 for food,
@@ -155,7 +206,17 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
 
     Without ``initial`` every player starts with a fresh pet (24, 24, alive).  With it,
     its rows give the starting counters and players without events keep their row.
+
+    ``tick_period`` (e.g. '1 hour') adds the game loop: a tick at every multiple of the
+    period after a player's first event (before log events at the same time), and with
+    ``until`` also the loop's ticks after its last event up to that time.  The same
+    schedule as ``start_pet_replay(tick_period=...)``.
     """
+    period = None
+    if tick_period is not None:
+        period = interval_micros(events.sparkSession, tick_period)
+        events = events.select("player", "ts", "seq", "action").unionByName(
+            _loop_ticks(events, period, num_partitions))
     from quarry.plans.scan import running_sum_and_peak
 
     act = F.col("action")
@@ -186,7 +247,8 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
         F.min_by("_food", at_death).alias("_death_food"), F.min_by("_mood", at_death).alias("_death_mood"),
         F.min_by("ts", at_death).alias("_death_ts"),
         F.max_by("_food", "_order").alias("_last_food"), F.max_by("_mood", "_order").alias("_last_mood"),
-        F.first("_dead0").alias("_dead0"), F.first("_f0").alias("_f0"), F.first("_m0").alias("_m0"))
+        F.first("_dead0").alias("_dead0"), F.first("_f0").alias("_f0"), F.first("_m0").alias("_m0"),
+        F.max("ts").alias("_last_ts"))
     dead0 = F.col("_dead0")
     died = F.col("_death_order").isNotNull()
     out = agg.select(
@@ -194,7 +256,8 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
         F.when(dead0, F.col("_f0")).when(died, F.col("_death_food")).otherwise(F.col("_last_food")).cast("int").alias("food"),
         F.when(dead0, F.col("_m0")).when(died, F.col("_death_mood")).otherwise(F.col("_last_mood")).cast("int").alias("mood"),
         (dead0 | died).alias("is_dead"),
-        F.when(~dead0 & died, F.col("_death_ts")).alias("death_date"))
+        F.when(~dead0 & died, F.col("_death_ts")).alias("death_date"), "_last_ts")
+    out = _tail_ticks(out, period, until) if period is not None and until is not None else out.drop("_last_ts")
     if initial is not None:
         keep = initial.select("player", "food", "mood", "is_dead", "death_date").join(out.select("player"), "player", "left_anti")
         out = out.join(initial.select("player", F.col("death_date").alias("_dd0")), "player", "left").select(

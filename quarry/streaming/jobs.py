@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.operators.lifecycle import FEED_AMOUNT, MAX_LEVEL, TICK_AMOUNT, TRAIN_AMOUNT
+from quarry.functions.scalar import interval_micros
+from quarry.operators.lifecycle import FEED_AMOUNT, MAX_LEVEL, TICK_AMOUNT, TICKS_THAT_MATTER, TRAIN_AMOUNT
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -93,18 +94,13 @@ PET_STATE = ("food int, mood int, is_dead boolean, death_micros long, last_micro
              "tick_micros long")
 PET_OUT = "player string, food int, mood int, is_dead boolean, death_micros long, late_events long"
 
-# Consecutive ticks with no feed or train in between kill any pet within MAX_LEVEL + 1 of them
-# (the first tick clamps the counters to at most MAX_LEVEL - 1); later ones act on a dead pet.
-_TICKS_THAT_MATTER = MAX_LEVEL + 2
-
-
 def _scheduled_ticks(points, period: int):
     """Tick times on the schedule (multiples of ``period``) in each gap (points[j], points[j+1]],
     at most the ones that can still matter per gap."""
     out = []
     for lo, hi in zip(points[:-1], points[1:]):
         k_lo, k_hi = lo // period + 1, hi // period
-        n = min(max(0, k_hi - k_lo + 1), _TICKS_THAT_MATTER)
+        n = min(max(0, k_hi - k_lo + 1), TICKS_THAT_MATTER)
         out.extend((k_lo + i) * period for i in range(n))
     return out
 
@@ -179,11 +175,6 @@ def _pet_stepper(period: int | None):
     return step
 
 
-def _micros(spark: SparkSession, period: str) -> int:
-    """A Spark interval string ('1 hour', '30 minutes', ...) in microseconds (a constant)."""
-    return int(spark.sql(f"SELECT unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {period}) AS m").first().m)
-
-
 def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
                      interval: str | None = None, watermark: str | None = None,
                      tick_period: str | None = None) -> StreamingQuery:
@@ -204,7 +195,7 @@ def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_no
     if tick_period is not None:
         if not watermark:
             raise ValueError("scheduled ticks need an event-time watermark")
-        period = _micros(events.sparkSession, tick_period)
+        period = interval_micros(events.sparkSession, tick_period)
     if watermark:
         # event time as an instant with the same microseconds, so watermark and ticks agree in any session zone
         ev = ev.withColumn("_event_time", F.timestamp_micros("ts_micros")).withWatermark("_event_time", watermark)

@@ -140,3 +140,35 @@ def test_scheduled_ticks_reach_players_without_new_events(spark):
     got = {r.player: r for r in sj.read_pet_states(spark, os.path.join(base, "sink")).collect()}
     # 'quiet' sent nothing after T0; the timer ticks it once the watermark passes each hour: dead after 24 ticks
     assert (got["quiet"].is_dead, got["quiet"].food, got["quiet"].death_date) == (True, 0, T0 + dt.timedelta(hours=24))
+
+
+def test_batch_game_loop_equals_loop_ticks_in_the_log(spark):
+    acts = ["feed", "train", "tick", "feed", "train"]
+    rows = [(f"p{p}", T0 + dt.timedelta(minutes=37 * i + 11 * p), i, acts[(i + p) % 5]) for p in range(5) for i in range(60)]
+    rows += [("idle", T0, 0, "feed"), ("idle", T0 + dt.timedelta(hours=30), 1, "feed")]
+    df = spark.createDataFrame(rows, EV)
+    got = sorted(tuple(r) for r in pet_replay(df, tick_period="1 hour", num_partitions=5).collect())
+    want = sorted(tuple(r) for r in pet_replay(spark.createDataFrame(_with_schedule(rows), EV)).collect())
+    assert got == want
+
+
+def test_batch_game_loop_until_matches_a_step_by_step_fold(spark):
+    # after the last event the loop keeps ticking up to `until`: compare with a plain fold
+    rows = [("a", T0, 0, "feed"), ("b", T0 + dt.timedelta(minutes=30), 0, "train"), ("b", T0 + dt.timedelta(hours=5), 1, "feed"),
+            ("c", T0, 0, "tick")]
+    until = T0 + dt.timedelta(hours=40, minutes=10)
+    got = {r.player: (r.food, r.mood, r.is_dead, r.death_date)
+           for r in pet_replay(spark.createDataFrame(rows, EV), tick_period="1 hour", until=until).collect()}
+    for p in "abc":
+        ev = sorted([(t, s, a) for q, t, s, a in rows if q == p] +
+                    [(t, -1, "tick") for t in (T0 + dt.timedelta(hours=h) for h in range(1, 41))
+                     if min(r[1] for r in rows if r[0] == p) < t <= until])
+        f, m, dead, death = 24, 24, False, None
+        for t, _s, a in ev:
+            if dead:
+                continue
+            f, m = (min(24, f + 8), min(24, m)) if a == "feed" else (min(24, f), min(24, m + 12)) if a == "train" \
+                else (min(24, f - 1), min(24, m - 1))
+            if a == "tick" and (f < 1 or m < 1):
+                dead, death = True, t
+        assert got[p] == (f, m, dead, death), p
