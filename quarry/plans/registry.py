@@ -351,9 +351,8 @@ def q_pet_validate_update(t):
     return lc.pet_validate_update(t.in_pet, _updates(t))
 
 
-@query("pet_replay", W("""WITH RECURSIVE ev AS (
-  SELECT player, ts, seq, action, row_number() OVER (PARTITION BY player ORDER BY ts, seq) AS rn FROM in_pet_events),
-st AS (
+# the fold of an ordered log, one row per event: ev(player, ts, seq, action, rn) -> final state per player
+_FOLD_SQL = """st AS (
   SELECT player, CAST(0 AS BIGINT) AS rn, 24 AS food, 24 AS mood, false AS is_dead, CAST(NULL AS TIMESTAMP) AS death_date
     FROM (SELECT DISTINCT player FROM ev)
   UNION ALL
@@ -366,11 +365,37 @@ st AS (
          CASE WHEN st.is_dead THEN st.death_date
               WHEN ev.action = 'tick' AND (least(24, st.food - 1) < 1 OR least(24, st.mood - 1) < 1) THEN ev.ts END
     FROM st JOIN ev ON ev.player = st.player AND ev.rn = st.rn + 1)
-SELECT player, food, mood, is_dead, death_date FROM st QUALIFY rn = max(rn) OVER (PARTITION BY player)""", "in_pet_events"))
+SELECT player, food, mood, is_dead, death_date FROM st QUALIFY rn = max(rn) OVER (PARTITION BY player)"""
+
+
+@query("pet_replay", W("""WITH RECURSIVE ev AS (
+  SELECT player, ts, seq, action, row_number() OVER (PARTITION BY player ORDER BY ts, seq) AS rn FROM in_pet_events),
+""" + _FOLD_SQL, "in_pet_events"))
 def q_pet_replay(t):
     return lc.pet_replay(t.in_pet_events)
 
 
+# the game loop over the same log: a tick every day after a player's first event, up to NOW
+_LOOP_PERIOD_US = 86400 * 1000000
+_LOOP_SQL = f"""WITH RECURSIVE ev0 AS (SELECT player, ts, seq, action FROM in_pet_events),
+gaps AS (
+  SELECT player, epoch_us(lag(ts) OVER (PARTITION BY player ORDER BY ts, seq)) AS lo, epoch_us(ts) AS hi FROM ev0
+  UNION ALL
+  SELECT player, epoch_us(max(ts)), epoch_us({NOW_SQL}) FROM ev0 GROUP BY player),
+loop_ticks AS (
+  SELECT player, make_timestamp(k * {_LOOP_PERIOD_US}) AS ts, CAST({lc.LOOP_TICK_SEQ} AS BIGINT) AS seq, 'tick' AS action
+    FROM (SELECT player, unnest(generate_series(lo // {_LOOP_PERIOD_US} + 1,
+                 least(hi // {_LOOP_PERIOD_US}, lo // {_LOOP_PERIOD_US} + {lc.TICKS_THAT_MATTER}))) AS k
+            FROM gaps WHERE lo IS NOT NULL)),
+ev AS (SELECT player, ts, seq, action, row_number() OVER (PARTITION BY player ORDER BY ts, seq) AS rn
+         FROM (SELECT * FROM ev0 UNION ALL SELECT * FROM loop_ticks)),"""
+
+
+@query("pet_game_loop", W(_LOOP_SQL + "\n" + _FOLD_SQL, "in_pet_events"))
+def q_pet_game_loop(t):
+    return lc.pet_replay(t.in_pet_events, tick_period="1 day", until=NOW)
+
+
 # ---------------------------------------------------------------- retrieval
 from quarry.operators import retrieval as rv  # noqa: E402
 from quarry.sources.testdata import QUESTION_VEC_ID  # noqa: E402
