@@ -262,7 +262,8 @@ def blocking_activity(activity: DataFrame, locks: DataFrame, pg_class: DataFrame
     """
     al = _activity_locks(activity, locks, pg_class, now, keep=("blocking_pids",))
     # both sides read the same (session, lock kind) rows: write them once
-    al = materialize(al, "activity-locks")
+    al = materialize(al.select("pid", "query", "usename", "client_addr", "mode", "tables", "blocking_pids"),
+                     "activity-locks")
     blocked = al.select(F.explode(F.array_distinct("blocking_pids")).alias("blocker_pid"),
                         F.col("pid").alias("blocked_pid"), F.col("query").alias("blocked_query"),
                         F.col("usename").alias("blocked_user"), F.col("client_addr").alias("blocked_client"))
