@@ -28,8 +28,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # whole documents travel through mapInPandas: keep Arrow batches small
+        # whole documents travel through mapInPandas: keep Arrow batches small, by rows and by
+        # bytes (a batch of long documents is cut at 64 MB whatever its row count)
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         # streaming state (one row per player) kept in RocksDB, not on the JVM heap
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
