@@ -27,10 +27,14 @@ def start_append_log(readings: DataFrame, sink: str, checkpoint: str, available_
                      interval: str = "1 second", dedup_watermark: str | None = None) -> StreamingQuery:
     """Append a stream of readings (location, reading, reading_date[, id]) to a parquet log.
 
-    Every micro-batch is committed atomically through the file sink's log, so readers
-    see whole batches only (the reference commits 100 rows per transaction).  With
-    ``dedup_watermark`` (extension) repeated (location, reading_date) pairs within the
-    watermark are dropped.
+    With an ``id`` column, every micro-batch is committed atomically through the file
+    sink's log, so readers see whole batches only (the original commits 100 rows per
+    transaction).  Without one, ids are assigned like an identity column: each batch is
+    numbered consecutively after the rows of all earlier batches, in (reading_date,
+    location, reading) order, and written to its own folder ``batch_id=<n>`` in
+    overwrite mode, so a retried batch gets the same ids and replaces its own files
+    (read it back with ``read_log``).  With ``dedup_watermark`` (extension) repeated
+    (location, reading_date) pairs within the watermark are dropped.
     """
     s = readings
     if dedup_watermark:
@@ -39,11 +43,34 @@ def start_append_log(readings: DataFrame, sink: str, checkpoint: str, available_
         s = (s.withColumn("_event_time", F.col("reading_date").cast("timestamp"))
              .withWatermark("_event_time", dedup_watermark)
              .dropDuplicatesWithinWatermark(["location", "reading_date"]).select(*cols))
-    w = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append"))
+    if "id" in s.columns:
+        w = (s.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+             .outputMode("append"))
+        return _trigger(w, available_now, interval).start()
+
+    def write(batch: DataFrame, batch_id: int):
+        from quarry.plans.scan import dense_ids
+
+        spark = batch.sparkSession
+        try:
+            # rows of the committed earlier batches (parquet footers; partition-pruned)
+            before = spark.read.parquet(sink).filter(F.col("batch_id") < batch_id).count()
+        except Exception:  # noqa: BLE001 - first batch: no log yet
+            before = 0
+        rows = batch.select("location", "reading", "reading_date")
+        numbered = dense_ids(rows, ["reading_date", "location", "reading"], start=before + 1, col="id")
+        numbered.select("id", "location", "reading", "reading_date").write.mode("overwrite").parquet(
+            f"{sink}/batch_id={batch_id}")
+
+    w = s.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
+def read_log(spark: SparkSession, sink: str) -> DataFrame:
+    """The append log written with assigned ids: (id, location, reading, reading_date)."""
+    return spark.read.parquet(sink).select("id", "location", "reading", "reading_date")
+
+
 # ---- login audit -----------------------------------------------------------------------------
 
 def start_auth_audit(requests: DataFrame, allowed: DataFrame, sink: str, checkpoint: str,

@@ -172,3 +172,19 @@ def test_batch_game_loop_until_matches_a_step_by_step_fold(spark):
             if a == "tick" and (f < 1 or m < 1):
                 dead, death = True, t
         assert got[p] == (f, m, dead, death), p
+
+
+def test_append_log_assigns_identity_ids_across_batches(spark):
+    schema = "location string, reading long, reading_date timestamp_ntz"
+    base = tempfile.mkdtemp(prefix="log-ids-")
+    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
+    rows = [(f"A{i % 7}", i, T0 + dt.timedelta(seconds=i // 10)) for i in range(300)]
+    _write_parts(spark, rows, schema, src, 3)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    sj.start_append_log(stream, sink, ckpt).awaitTermination()
+    got = sorted(tuple(r) for r in sj.read_log(spark, sink).collect())
+    assert [r[0] for r in got] == list(range(1, 301))           # consecutive over all batches
+    assert sorted(r[1:] for r in got) == sorted(rows)             # every reading once
+    # within a batch ids follow (reading_date, location, reading)
+    by_batch = spark.read.parquet(sink).groupBy("batch_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).collect()
+    assert sorted((r.lo, r.hi) for r in by_batch) == [(1, 100), (101, 200), (201, 300)]
