@@ -78,7 +78,9 @@ def start_auth_audit(requests: DataFrame, allowed: DataFrame, sink: str, checkpo
     """Audit each login request: (username, allowed).
 
     ``allowed(username)`` is the static allow-list (e.g. ``role_members_nosuper``); a
-    stream-static left join marks each request.  Password hashes never reach the sink.
+    stream-static left join marks each request.  The static side is planned again for
+    every micro-batch, so a revoked membership takes effect at the next batch.  Password
+    hashes never reach the sink.
     """
     a = allowed.select("username").distinct().withColumn("_ok", F.lit(True))
     out = (requests.select("username").join(a, "username", "left")
@@ -240,10 +242,12 @@ def read_pet_states(spark: SparkSession, sink: str, with_late: bool = False) ->
     """Current state per player (latest batch); ``late_events`` on request."""
     s = spark.read.parquet(sink)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    last = s.groupBy("player").agg(
-        F.max_by(F.struct("food", "mood", "is_dead", "death_micros", "late_events"), "batch_id").alias("_s"))
-    out = last.select("player", "_s.food", "_s.mood", "_s.is_dead",
-                      F.when(F.col("_s.death_micros").isNotNull(),
-                             F.timestamp_add("MICROSECOND", F.col("_s.death_micros"), epoch)).alias("death_date"),
-                      F.col("_s.late_events").alias("late_events"))
+    # one primitive max_by per field (a player has one row per batch id): hash aggregation,
+    # where a struct value would sort every stored version
+    fields = ["food", "mood", "is_dead", "death_micros", "late_events"]
+    last = s.groupBy("player").agg(*[F.max_by(c, "batch_id").alias(c) for c in fields])
+    out = last.select("player", "food", "mood", "is_dead",
+                      F.when(F.col("death_micros").isNotNull(),
+                             F.timestamp_add("MICROSECOND", F.col("death_micros"), epoch)).alias("death_date"),
+                      "late_events")
     return out if with_late else out.drop("late_events")
