@@ -1,4 +1,6 @@
 from quarry.functions.scalar import (  # noqa: F401
+    floor_div,
+    interval_micros,
     l2_distance,
     lsn_diff,
     lsn_to_bytes,
