@@ -146,6 +146,17 @@ def _partial_topk(bq, k: int):
     return run
 
 
+def _topk_block(embeddings: DataFrame, block_questions: DataFrame, k: int) -> DataFrame:
+    """Exact top-k of one question block: broadcast block, per-task numpy top-k, merge per qid."""
+    spark = embeddings.sparkSession
+    pdf = block_questions.toPandas()  # one block, at most ``block`` rows (counted by the caller)
+    mat = np.stack(pdf["qvec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
+    bq = spark.sparkContext.broadcast((pdf["qid"].to_numpy(dtype=np.int64), mat))
+    cand = embeddings.mapInPandas(_partial_topk(bq, k), "qid long, embedding_id long, article_id long, distance double")
+    w = Window.partitionBy("qid").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def vector_topk_batch(embeddings: DataFrame, questions: DataFrame, k: int = TOP_K,
                       block: int = QUESTION_BLOCK) -> DataFrame:
     """Exact k nearest embeddings for every question: (qid, embedding_id, article_id, distance, rank).
@@ -154,29 +165,28 @@ def vector_topk_batch(embeddings: DataFrame, questions: DataFrame, k: int = TOP_
     ``block`` rows (size checked); each task scans its slice of the embeddings with
     numpy, keeps k per question and emits block x k rows; a row_number per qid merges
     the partial lists (k x tasks rows per question).  No question x embedding pair table
-    is formed.  Larger question sets run block by block, one pass over the embeddings each.
+    is formed.  Larger question sets run block by block, one pass over the embeddings
+    each: every block is its own job writing its top-k to a folder of its own under the
+    shared checkpoint folder (overwritten if run again), and the result reads them all, so
+    the plan does not grow with the number of blocks.
     """
-    from functools import reduce
+    from quarry.session import scratch_path
 
-    spark = embeddings.sparkSession
     qs = questions.select("qid", "qvec")
-    if row_count_at_most(qs, block):
-        blocks = [qs]
-    else:
-        nb = -(-qs.count() // block)
-        tagged = qs.withColumn("_blk", F.pmod(F.xxhash64("qid"), F.lit(nb)))
-        blocks = [tagged.filter(F.col("_blk") == i).drop("_blk") for i in range(nb)]
     e = embeddings.select("embedding_id", "article_id", "embedding")
-    parts = []
-    for qb in blocks:
-        pdf = qb.toPandas()  # one block, at most ``block`` rows
-        mat = np.stack(pdf["qvec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
-        bq = spark.sparkContext.broadcast((pdf["qid"].to_numpy(dtype=np.int64), mat))
-        parts.append(e.mapInPandas(_partial_topk(bq, k),
-                                   "qid long, embedding_id long, article_id long, distance double"))
-    cand = reduce(DataFrame.unionByName, parts)
-    w = Window.partitionBy("qid").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    if row_count_at_most(qs, block):
+        return _topk_block(e, qs, k)
+    spark = embeddings.sparkSession
+    nb = -(-qs.count() // block)
+    tagged = qs.withColumn("_blk", F.pmod(F.xxhash64("qid"), F.lit(nb)))
+    out = scratch_path(spark, "topk-batch")
+    for i in range(nb):
+        # hash blocks hold about ``block`` questions each; a block's rows are checked before collecting
+        qb = tagged.filter(F.col("_blk") == i).drop("_blk")
+        if not row_count_at_most(qb, 2 * block):
+            raise RuntimeError(f"question block {i} holds more than {2 * block} rows; use more blocks")
+        _topk_block(e, qb, k).write.mode("overwrite").parquet(f"{out}/blk={i}")
+    return spark.read.parquet(out).select("qid", "embedding_id", "article_id", "distance", "rank")
 
 
 # ---- approximate top-k (LSH) -----------------------------------------------------------------
