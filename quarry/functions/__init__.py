@@ -9,4 +9,5 @@ from quarry.functions.scalar import (  # noqa: F401
     round_to_second,
     seconds_between,
     whole_seconds_between,
+    xid_age,
 )

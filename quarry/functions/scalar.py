@@ -99,3 +99,19 @@ def floor_div(x, d: int) -> Column:
     """floor(x / d) for a bigint column and a positive constant, in exact integer arithmetic."""
     x = _c(x)
     return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("bigint")
+
+
+# Fixed values of transaction ids: ids below 3 are special (invalid, bootstrap, frozen) and
+# count as infinitely old; ids wrap around at 2^32.
+_FIRST_NORMAL_XID = 3
+_INT32_MAX = 2147483647
+
+
+def xid_age(xid, current_xid) -> Column:
+    """``age(xid)``: transactions from ``xid`` to ``current_xid`` on the 32-bit wraparound
+    circle, as a signed 32-bit number; special ids (below 3) give the int32 maximum."""
+    x, cur = _c(xid).cast("bigint"), _c(current_xid).cast("bigint")
+    d = F.pmod(cur - x, F.lit(1 << 32))
+    signed = F.when(d >= F.lit(1 << 31), d - F.lit(1 << 32)).otherwise(d)
+    return F.when(x.isNull(), F.lit(None).cast("bigint")).when(
+        x < F.lit(_FIRST_NORMAL_XID), F.lit(_INT32_MAX).cast("bigint")).otherwise(signed)

@@ -18,6 +18,7 @@ from quarry.functions.scalar import (
     round_ratio,
     round_to_second,
     whole_seconds_between,
+    xid_age,
 )
 from quarry.plans.broadcast import bounded_broadcast
 from quarry.session import materialize
@@ -109,12 +110,15 @@ def table_read_activity(table_reads: DataFrame, pg_class: DataFrame) -> DataFram
 
 
 def needs_vacuum(pg_class: DataFrame, max_age: int, ratio: float = VACUUM_ALERT_RATIO,
-                 order: bool = True) -> DataFrame:
+                 order: bool = True, current_xid: int | None = None) -> DataFrame:
     """Relations (kinds r, m, p) whose freeze age, or their toast table's, exceeds ``max_age*ratio``.
 
-    ``frozen_age`` carries ``age(relfrozenxid)``.  ``greatest`` ignores a missing toast
+    ``frozen_age`` carries ``age(relfrozenxid)``; with ``current_xid`` it is computed from a
+    ``relfrozenxid`` column instead (``xid_age``).  ``greatest`` ignores a missing toast
     row; NULL on both sides drops the relation.  Sorted by table_name descending.
     """
+    if current_xid is not None:
+        pg_class = pg_class.withColumn("frozen_age", xid_age(F.col("relfrozenxid"), F.lit(current_xid)))
     c = pg_class.filter(F.col("relkind").isin(*VACUUM_KINDS)).select("relname", "reltoastrelid", "frozen_age")
     t = pg_class.select(F.col("oid").alias("toast_oid"), F.col("frozen_age").alias("toast_age"))
     age = F.greatest(F.col("frozen_age"), F.col("toast_age"))

@@ -35,3 +35,24 @@ def test_round_to_second_is_wall_clock(spark):
     got = [r[0] for r in df.select(round_to_second("g").cast("string")).collect()]
     assert got == ["2024-03-10 02:30:00", "2025-01-01 00:00:00", "2024-01-01 10:00:00"]
     assert dict(df.select(round_to_second("g").alias("r")).dtypes)["r"] == "timestamp_ntz"
+
+
+def test_xid_age_wraps_and_special_ids(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.functions.scalar import xid_age
+
+    rows = [(1000, 400), (5, 4294967290), (2, 400), (0, 400), (None, 400), (4294967000, 100)]
+    df = spark.createDataFrame(rows, "xid long, cur long")
+    got = [r[0] for r in df.select(xid_age(F.col("xid"), F.col("cur"))).collect()]
+    # behind the current id -> negative; across the wrap -> small positive; special ids -> int32 max
+    assert got == [-600, -11, 2147483647, 2147483647, None, 396]
+
+
+def test_needs_vacuum_from_relfrozenxid(spark):
+    from quarry.operators.forensics import needs_vacuum
+
+    cls = spark.createDataFrame([(1, "old", "r", None, 100), (2, "young", "r", None, 900), (3, "frozen", "m", None, 2)],
+                                "oid long, relname string, relkind string, reltoastrelid long, relfrozenxid long")
+    got = [(r.table_name, r.age) for r in needs_vacuum(cls, max_age=1000, current_xid=1100).collect()]
+    assert got == [("old", 1000), ("frozen", 2147483647)]
