@@ -90,3 +90,22 @@ def test_column_layout_sorted_and_filtered(spark):
                                  (3, "k", 1, 1)], "attrelid long, attname string, attnum int, atttypid int")
     got = [(r.column_name, r.type_length) for r in fx.column_layout(cls, att, ty, ns).collect()]
     assert got == [("b", 8), ("c", 1), ("a", -1)]
+
+
+def test_operators_as_sql_views(spark):
+    from quarry.plans.views import register_views
+    from quarry.sources.testdata import CURRENT_LSN, MAX_FREEZE_AGE, NOW, TestTables
+
+    t = TestTables(spark, "/root/testdata/sf0.001")
+    snaps = {"activity": t.in_activity, "locks": t.in_locks, "class": t.in_class, "namespace": t.in_namespace,
+             "buffercache": t.in_buffercache, "slots": t.in_slots, "pets": t.in_pet, "authid": t.in_authid,
+             "auth_members": t.in_auth_members, "table_privileges": t.in_table_privileges}
+    made = register_views(spark, snaps, now=NOW, current_lsn=CURRENT_LSN, max_age=MAX_FREEZE_AGE, include_eager=True)
+    assert {"buffer_usage", "activity_locks", "blocking_activity", "recursive_table_privileges", "pet_status",
+            "replication_slot_lag", "needs_vacuum"} <= set(made)
+    assert "replication_lag" not in made  # its snapshot was not given
+    # views compose in SQL like the original's views on views
+    n = spark.sql("SELECT count(*) FROM blocking_activity b JOIN sessions s ON s.pid = b.blocked_pid").first()[0]
+    assert n == fx.blocking_activity(t.in_activity, t.in_locks, t.in_class, now=NOW).count()
+    assert spark.sql("SELECT count(*) FROM buffer_usage").first()[0] == fx.buffer_usage(
+        t.in_buffercache, t.in_class, t.in_namespace).count()
