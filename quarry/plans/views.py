@@ -5,6 +5,7 @@ listed in ``quarry.operators``) and registers one temporary view per operator wh
 inputs are all present, so ``spark.sql("SELECT * FROM blocking_activity WHERE ...")``
 works, and views can be composed in SQL like the original's views on views.  Each view is the
 operator's DataFrame plan (no data is computed or cached by registering it).
+``register_functions`` adds the parameterised lookups as temporary SQL table functions.
 """
 
 from __future__ import annotations
@@ -70,3 +71,48 @@ def register_views(spark: SparkSession, snapshots: dict[str, DataFrame], now=Non
         build().createOrReplaceTempView(name)
         made.append(name)
     return made
+
+
+def register_functions(spark: SparkSession, snapshots: dict[str, DataFrame], now=None) -> list[str]:
+    """Register the parameterised lookups as temporary SQL table functions; return their names.
+
+    Each function filters a view built by the operators, so the logic lives once, in the
+    DataFrame code:
+
+    * ``login_lookup(user)`` -> (username, password) of a login role (needs ``authid``)
+    * ``role_members(role, user)`` / ``role_members_nosuper(role, user)`` -> (username, password)
+      of a direct member of ``role`` (needs ``authid``, ``auth_members``)
+    * ``pet_status_of(owner)`` -> the owner's pet status (needs ``pets``)
+
+    The credential functions return the hash column because, like the originals, they are
+    meant for the connection proxy; the audit stream never stores it.
+    """
+    from pyspark.sql import functions as F
+
+    made = []
+    if "authid" in snapshots:
+        ax.login_lookup(snapshots["authid"], with_password=True).createOrReplaceTempView("quarry_login_roles")
+        spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION login_lookup(u STRING)
+                     RETURNS TABLE (username STRING, password STRING)
+                     RETURN SELECT username, password FROM quarry_login_roles WHERE username = u""")
+        made.append("login_lookup")
+    if "authid" in snapshots and "auth_members" in snapshots:
+        a, m = snapshots["authid"], snapshots["auth_members"]
+        groups = a.select(F.col("oid").alias("g_oid"), F.col("rolname").alias("role"))
+        users = a.select(F.col("oid").alias("u_oid"), F.col("rolname").alias("username"),
+                         F.col("rolpassword").alias("password"), "rolsuper")
+        (m.join(groups, F.col("roleid") == F.col("g_oid")).join(users, F.col("member") == F.col("u_oid"))
+         .select("role", "username", "password", "rolsuper").createOrReplaceTempView("quarry_role_members"))
+        for name, cond in (("role_members", ""), ("role_members_nosuper", " AND NOT rolsuper")):
+            spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(r STRING, u STRING)
+                          RETURNS TABLE (username STRING, password STRING)
+                          RETURN SELECT username, password FROM quarry_role_members
+                                  WHERE role = r AND username = u{cond}""")
+            made.append(name)
+    if "pets" in snapshots:
+        lc.pet_status(snapshots["pets"], now=now).createOrReplaceTempView("quarry_pet_status")
+        spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION pet_status_of(o STRING)
+                     RETURNS TABLE (pet_name STRING, appetite STRING, spirits STRING, health STRING, age BIGINT)
+                     RETURN SELECT pet_name, appetite, spirits, health, age FROM quarry_pet_status WHERE player = o""")
+        made.append("pet_status_of")
+    return made

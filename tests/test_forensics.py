@@ -109,3 +109,21 @@ def test_operators_as_sql_views(spark):
     assert n == fx.blocking_activity(t.in_activity, t.in_locks, t.in_class, now=NOW).count()
     assert spark.sql("SELECT count(*) FROM buffer_usage").first()[0] == fx.buffer_usage(
         t.in_buffercache, t.in_class, t.in_namespace).count()
+
+
+def test_lookups_as_sql_table_functions(spark):
+    from quarry.operators import access as ax
+    from quarry.plans.views import register_functions
+    from quarry.sources.testdata import NOW, PROXY_ROLE, TestTables
+
+    t = TestTables(spark, "/root/testdata/sf0.001")
+    made = register_functions(spark, {"authid": t.in_authid, "auth_members": t.in_auth_members, "pets": t.in_pet}, now=NOW)
+    assert made == ["login_lookup", "role_members", "role_members_nosuper", "pet_status_of"]
+    members = [r.username for r in ax.role_members(t.in_authid, t.in_auth_members, PROXY_ROLE).collect()]
+    supers = {r.rolname for r in t.in_authid.filter("rolsuper").collect()}
+    user = next(u for u in members if u in supers)  # a superuser in the allow-list role
+    assert len(spark.sql(f"SELECT * FROM role_members('{PROXY_ROLE}', '{user}')").collect()) == 1
+    assert spark.sql(f"SELECT * FROM role_members_nosuper('{PROXY_ROLE}', '{user}')").collect() == []
+    assert spark.sql("SELECT * FROM login_lookup('nobody')").collect() == []   # unknown user -> no rows
+    owner = t.in_pet.first().player
+    assert spark.sql(f"SELECT count(*) FROM pet_status_of('{owner}')").first()[0] == 1
