@@ -2,7 +2,8 @@
 
 The whole corpus is one DataFrame job: front matter is parsed with JVM regex/array
 functions; chunking (a recursive character splitter) runs per document in
-``mapInPandas``; embeddings are a hashing encoder built from Spark ML transformers.
+``mapInPandas``; embeddings are a hashing encoder built from Spark ML transformers, or a
+pluggable batch encoder in a ``pandas_udf``.
 """
 
 from __future__ import annotations
@@ -63,8 +64,8 @@ def articles(parsed: DataFrame, path_col: str = "path") -> tuple[DataFrame, Data
     Documents without front matter or without a required key are rejected with a reason.
     """
     h = F.col("headers")
-    # one reference to the header map: the reject filter is pushed below the parse
-    # projections and inlines whatever it reads
+    # one reference to the header map keeps the reject condition small; the generator at the
+    # end of parse_front_matter keeps it above the parse
     missing = F.array_except(F.array(*[F.lit(k) for k in REQUIRED_KEYS]),
                              F.map_keys(F.map_filter(h, lambda k, v: v.isNotNull())))
     ts = h.getItem("date").try_cast("timestamp")
@@ -164,13 +165,19 @@ def chunk_text(df: DataFrame, id_col: str = "article_id", text_col: str = "conte
 
 # ---- embeddings -----------------------------------------------------------------------------
 
-def embed_chunks(df: DataFrame, text_col: str = "chunk", dim: int = EMBED_DIM, out_col: str = "embedding") -> DataFrame:
+def embed_chunks(df: DataFrame, text_col: str = "chunk", dim: int = EMBED_DIM, out_col: str = "embedding",
+                 encoder=None) -> DataFrame:
     """Add a ``dim``-wide L2-normalised vector per text (array<float>).
 
     The default encoder is deterministic and model-free: lower-cased word tokens hashed
     into ``dim`` buckets (term counts), then L2-normalised - JVM-side Spark ML
-    transformers.  A pretrained sentence encoder can replace it behind the same schema.
+    transformers.  ``encoder`` plugs in another one (e.g. a pretrained sentence encoder
+    loaded in the workers): a callable from a list of texts to an array of shape
+    (len(texts), dim), applied per Arrow batch in a ``pandas_udf``; its rows are
+    L2-normalised the same way.
     """
+    if encoder is not None:
+        return _embed_with(df, text_col, dim, out_col, encoder)
     from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
     from pyspark.ml.functions import vector_to_array
 
@@ -181,3 +188,17 @@ def embed_chunks(df: DataFrame, text_col: str = "chunk", dim: int = EMBED_DIM, o
     cols = df.columns
     v = norm.transform(tf.transform(tok.transform(df.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))))))
     return v.select(*cols, vector_to_array("_vec", "float32").alias(out_col))
+
+
+def _embed_with(df: DataFrame, text_col: str, dim: int, out_col: str, encoder) -> DataFrame:
+    import numpy as np
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("array<float>")
+    def encode(texts: pd.Series) -> pd.Series:
+        v = np.asarray(encoder(texts.fillna("").tolist()), dtype=np.float64).reshape(len(texts), dim)
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+        v = np.where(n > 0, v / np.where(n > 0, n, 1.0), v).astype(np.float32)
+        return pd.Series(list(v))
+
+    return df.select("*", encode(F.col(text_col)).alias(out_col))

@@ -138,3 +138,15 @@ def test_append_articles_continues_ids(spark):
     rows = sorted((r.article_id, r.path) for r in spark.read.parquet(out).collect())
     assert [i for i, _ in rows] == [1, 2, 3, 4, 5, 6]
     assert [p for _, p in rows] == ["d0.md", "d1.md", "d2.md"] * 2
+
+
+def test_embed_with_a_pluggable_encoder(spark):
+    import numpy as np
+
+    def letters(texts):  # a stand-in model: counts of a, b, c per text
+        return np.array([[t.count("a"), t.count("b"), t.count("c")] for t in texts])
+
+    df = spark.createDataFrame([(1, "aab"), (2, "ccc"), (3, ""), (4, None)], "id long, chunk string")
+    got = {r.id: [round(x, 5) for x in r.embedding] for r in cp.embed_chunks(df, "chunk", 3, encoder=letters).collect()}
+    assert got[1] == [round(2 / 5 ** 0.5, 5), round(1 / 5 ** 0.5, 5), 0.0]
+    assert got[2] == [0.0, 0.0, 1.0] and got[3] == [0.0, 0.0, 0.0] and got[4] == [0.0, 0.0, 0.0]
