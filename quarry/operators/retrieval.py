@@ -101,6 +101,27 @@ def retrieve(embeddings: DataFrame, articles: DataFrame, query: Sequence[float],
     return build_prompt(build_references(ctx), question)
 
 
+def retrieve_batch(embeddings: DataFrame, articles: DataFrame, questions: DataFrame, k: int = TOP_K,
+                   keep: int = REFERENCES_KEPT) -> DataFrame:
+    """The whole question pipeline for a table of questions(qid, qvec, question): (qid, refs, prompt).
+
+    Exact top-k per question (``vector_topk_batch``), matches per (question, article) as
+    the score, the ``keep`` best per question by score desc, distance, id, numbered in that
+    order; chunk text and titles are joined back for those rows only.  Every window is
+    partitioned by question and holds exactly k rows, so no group grows with the data.
+    """
+    top = vector_topk_batch(embeddings, questions.select("qid", "qvec"), k)
+    scored = top.withColumn("score", F.count(F.lit(1)).over(Window.partitionBy("qid", "article_id")))
+    order = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("distance").asc_nulls_last(), "embedding_id")
+    winners = scored.withColumn("ref_no", F.row_number().over(order)).filter(F.col("ref_no") <= keep)
+    ctx = (winners.select("qid", "embedding_id", "article_id", "ref_no")
+           .join(embeddings.select("embedding_id", "article_id", "chunk"), ["embedding_id", "article_id"])
+           .join(articles.select("article_id", "title"), "article_id"))
+    refs = build_references(ctx.select("qid", "ref_no", "title", "chunk"), group_cols=["qid"])
+    return build_prompt(refs.join(questions.select("qid", "question"), "qid"), F.col("question")).select(
+        "qid", "refs", "prompt")
+
+
 def chat_field(df: DataFrame, col: str, field: str = "chat_response", alias: str | None = None) -> DataFrame:
     """Pull one field out of a JSON text column (as unquoted text)."""
     return df.select("*", F.get_json_object(F.col(col), f"$.{field}").alias(alias or field))

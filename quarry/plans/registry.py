@@ -502,6 +502,27 @@ _LSH = dict(seed=7, num_tables=4, dim=EMBEDDING_WIDTH, bucket_length=2.0)
 _LSH_SQL = buckets_sql("in_embeddings", "embedding_id", "embedding", **_LSH)
 
 
+# every chunk vector is a question (its chunk text is the question): references and prompt for each
+@query("retrieve_batch", W(f"""WITH d AS (
+  SELECT q.embedding_id AS qid, e.embedding_id, e.article_id,
+         list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS distance
+    FROM in_embeddings q, in_embeddings e),
+top AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY distance NULLS LAST, embedding_id) <= 10),
+scored AS (SELECT *, count(*) OVER (PARTITION BY qid, article_id) AS score FROM top),
+win AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, distance NULLS LAST, embedding_id) AS ref_no
+          FROM scored QUALIFY ref_no <= 3),
+ctx AS (SELECT w.qid, w.ref_no, a.title, e.chunk FROM win w JOIN in_embeddings e USING (embedding_id, article_id)
+          JOIN in_articles a USING (article_id)),
+refs AS (SELECT qid, string_agg('Reference ' || ref_no || ' from ' || title || chr(10) || chr(10) || chunk || chr(10) || chr(10), ''
+          ORDER BY ref_no) AS refs FROM ctx GROUP BY qid)
+SELECT r.qid, r.refs, {_sql_str(_HEAD)} || r.refs || {_sql_str(_MID)} || q.chunk || {_sql_str(_TAIL)} AS prompt
+  FROM refs r JOIN in_embeddings q ON q.embedding_id = r.qid""", "in_embeddings", "in_articles"))
+def q_retrieve_batch(t):
+    qs = t.in_embeddings.select(F.col("embedding_id").alias("qid"), F.col("embedding").alias("qvec"),
+                                F.col("chunk").alias("question"))
+    return rv.retrieve_batch(t.in_embeddings, t.in_articles, qs)
+
+
 @query("vector_topk_lsh", W(f"""WITH {_LSH_SQL},
 probe AS (SELECT lb."table", lb.bucket FROM lsh_buckets lb WHERE lb.embedding_id = {QUESTION_VEC_ID}),
 cand AS (SELECT DISTINCT lb.embedding_id FROM lsh_buckets lb JOIN probe USING ("table", bucket))

@@ -89,3 +89,14 @@ def test_lsh_join_pairs_are_true_and_within_threshold(spark):
     got = {(r.qid, r.embedding_id) for r in pairs}
     assert got <= exact and len(got) >= len(exact) // 2
     assert all(abs(r.distance - math.dist(vecs[r.qid], vecs[r.embedding_id])) < 1e-5 for r in pairs)
+
+
+def test_retrieve_batch_equals_single_question(spark):
+    e = _emb(spark, n=150)
+    arts = spark.createDataFrame([(a, f"Article {a}") for a in range(7)], "article_id long, title string")
+    qs = e.filter("embedding_id IN (3, 40, 99)").select(F.col("embedding_id").alias("qid"), F.col("embedding").alias("qvec"),
+                                                         F.col("chunk").alias("question"))
+    batch = {r.qid: (r.refs, r.prompt) for r in rv.retrieve_batch(e, arts, qs).collect()}
+    for r in qs.collect():
+        one = rv.retrieve(e, arts, list(r.qvec), r.question).first()
+        assert batch[r.qid] == (one.refs, one.prompt)
