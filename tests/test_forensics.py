@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from quarry.operators import forensics as fx
 
