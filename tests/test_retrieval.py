@@ -100,3 +100,15 @@ def test_retrieve_batch_equals_single_question(spark):
     for r in qs.collect():
         one = rv.retrieve(e, arts, list(r.qvec), r.question).first()
         assert batch[r.qid] == (one.refs, one.prompt)
+
+
+def test_topk_missing_vectors_sort_last_like_sql(spark):
+    from quarry.functions.scalar import l2_distance
+
+    rows = [(1, 1, [0.0, 0.0]), (2, 1, None), (3, 2, [3.0, 4.0]), (4, 2, [1.0]), (5, 3, [1.0, None]), (6, None, [0.0, 1.0])]
+    e = spark.createDataFrame(rows, "embedding_id long, article_id long, embedding array<float>")
+    got = [(r.embedding_id, r.article_id, r.distance) for r in rv.vector_topk(e, [0.0, 0.0], k=6).collect()]
+    assert got[:3] == [(1, 1, 0.0), (6, None, 1.0), (3, 2, 5.0)]
+    assert sorted(got[3:]) == [(2, 1, None), (4, 2, None), (5, 3, None)]
+    sql = {r.embedding_id: r.d for r in e.select("embedding_id", l2_distance(F.col("embedding"), [0.0, 0.0]).alias("d")).collect()}
+    assert {i: d for i, _a, d in got} == sql
