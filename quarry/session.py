@@ -12,13 +12,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "quarry") -> SparkSession:
     """Build (or reuse) a session with the settings every operator assumes.
 
-    On a cluster ``master`` is left to spark-submit; locally it defaults to
-    ``local[*]``.  Shuffle partitions default to 8 locally; on a cluster size
-    them so one partition is ~128-256 MB of shuffle data.
+    Launched by spark-submit (or any launcher that already runs the JVM) the cluster's
+    master and sizing are kept; without one it runs ``local[*]``.  Shuffle partitions are
+    set only when given or when the session is local (default 8 then); on a cluster size
+    them so one partition is ~128-256 MB of shuffle data, and AQE coalesces small ones.
     """
+    launched = bool(os.environ.get("PYSPARK_GATEWAY_PORT") or os.environ.get("SPARK_MASTER"))
     builder = SparkSession.builder.appName(app_name)
-    if master or not os.environ.get("SPARK_MASTER"):
+    if master or not launched:
         builder = builder.master(master or "local[*]")
+        # driver memory only takes effect when this process starts the JVM
+        builder = builder.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
     builder = (
         builder
         .config("spark.ui.enabled", "false")
@@ -35,11 +39,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # streaming state (one row per player) kept in RocksDB, not on the JVM heap
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-        .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if shuffle_partitions or spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
     return spark
 
 
