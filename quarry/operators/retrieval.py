@@ -154,36 +154,81 @@ def _matrix(vectors, dim: int):
     return m
 
 
+def _first_k_per_group(q, d, ids, arts, k: int):
+    """Rows sorted by (question, distance, id); keep the first k of every question."""
+    order = np.lexsort((ids, d, q))
+    q, d, ids, arts = q[order], d[order], ids[order], arts[order]
+    starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1]
+    rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
+    keep = rank < k
+    return q[keep], d[keep], ids[keep], arts[keep]
+
+
 def _partial_topk(bq, k: int):
-    """mapInPandas body: this task's k best embeddings for every question of the block."""
+    """mapInPandas body: this task's k best embeddings for every question of the block.
+
+    Exact, in two steps per slice of vectors: squared distances from one matrix product
+    (``|q|^2 + |e|^2 - 2 q.e``, no question x vector x width tensor) keep only the pairs
+    within each question's current k-th distance plus a margin far above that formula's
+    rounding error; for those, distances are computed directly and merged by (distance,
+    id).  Missing vectors (NULL distance) are kept apart, at most k of them by id.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         qids, qmat = bq.value
         nq = len(qids)
-        best_d = np.full((nq, 0), np.inf)
-        best_id = np.zeros((nq, 0), dtype=np.int64)
-        best_art = np.zeros((nq, 0), dtype=np.int64)
+        if nq == 0:
+            return
+        dim = qmat.shape[1]
+        qn = (qmat ** 2).sum(axis=1)
+        thr = np.full(nq, np.inf)                       # squared k-th exact distance per question
+        best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, object))
+        null_ids, null_arts = np.empty(0, np.int64), np.empty(0, object)
+        step = max(1, _MAX_TENSOR // nq)
+        exact_step = max(1, _MAX_TENSOR // max(1, dim))
         for b in batches:
             if b.empty:
                 continue
-            emat = _matrix(b["embedding"].to_numpy(), qmat.shape[1])
+            emat = _matrix(b["embedding"].to_numpy(), dim)
             ids = b["embedding_id"].to_numpy(dtype=np.int64)
-            arts = b["article_id"].to_numpy(dtype=object if b["article_id"].isna().any() else np.int64)
-            step = max(1, _MAX_TENSOR // max(1, nq * emat.shape[1]))
+            arts = b["article_id"].to_numpy(dtype=object)
+            missing = np.isnan(emat).any(axis=1)
+            if missing.any():
+                null_ids = np.concatenate([null_ids, ids[missing]])
+                null_arts = np.concatenate([null_arts, arts[missing]])
+                first = np.argsort(null_ids, kind="stable")[:k]
+                null_ids, null_arts = null_ids[first], null_arts[first]
+                emat, ids, arts = emat[~missing], ids[~missing], arts[~missing]
+            en = (emat ** 2).sum(axis=1)
             for s0 in range(0, len(ids), step):
-                e = emat[s0:s0 + step]
-                d = np.sqrt(((qmat[:, None, :] - e[None, :, :]) ** 2).sum(axis=2))
-                cat_d = np.hstack([best_d, d])
-                cat_id = np.hstack([best_id, np.broadcast_to(ids[s0:s0 + step], d.shape)])
-                cat_art = np.hstack([best_art, np.broadcast_to(arts[s0:s0 + step], d.shape)])
-                order = np.lexsort((cat_id, cat_d), axis=1)[:, :k]
-                best_d = np.take_along_axis(cat_d, order, axis=1)
-                best_id = np.take_along_axis(cat_id, order, axis=1)
-                best_art = np.take_along_axis(cat_art, order, axis=1)
-        if best_d.shape[1]:
-            kk = best_d.shape[1]
-            yield pd.DataFrame({"qid": np.repeat(qids, kk), "embedding_id": best_id.ravel(),
-                                "article_id": best_art.ravel(), "distance": best_d.ravel()})
+                e, e_n = emat[s0:s0 + step], en[s0:s0 + step]
+                approx = qn[:, None] + e_n[None, :] - 2.0 * (qmat @ e.T)
+                margin = 1e-9 * (qn[:, None] + e_n[None, :]) + 1e-300
+                qi, ej = np.nonzero(approx <= thr[:, None] + margin)
+                if len(qi) == 0:
+                    continue
+                d = np.empty(len(qi))
+                for t0 in range(0, len(qi), exact_step):
+                    a, c = qi[t0:t0 + exact_step], ej[t0:t0 + exact_step]
+                    d[t0:t0 + exact_step] = np.sqrt(((qmat[a] - e[c]) ** 2).sum(axis=1))
+                best = _first_k_per_group(np.concatenate([best[0], qi]), np.concatenate([best[1], d]),
+                                          np.concatenate([best[2], ids[s0:s0 + step][ej]]),
+                                          np.concatenate([best[3], arts[s0:s0 + step][ej]]), k)
+                counts = np.bincount(best[0], minlength=nq)
+                last = np.r_[np.flatnonzero(np.diff(best[0])), len(best[0]) - 1]
+                full = counts[best[0][last]] >= k
+                thr = np.full(nq, np.inf)
+                thr[best[0][last][full]] = best[1][last][full] ** 2
+        q, d, ids, arts = best
+        if len(null_ids):
+            nn = len(null_ids)
+            q = np.concatenate([q, np.repeat(np.arange(nq), nn)])
+            d = np.concatenate([d, np.full(nq * nn, np.nan)])
+            ids = np.concatenate([ids, np.tile(null_ids, nq)])
+            arts = np.concatenate([arts, np.tile(null_arts, nq)])
+        if len(q):
+            yield pd.DataFrame({"qid": qids[q], "embedding_id": ids, "article_id": pd.array(list(arts), dtype="Int64"),
+                                "distance": d})
 
     return run
 
