@@ -204,7 +204,12 @@ def _partial_topk(bq, k: int):
                 e, e_n = emat[s0:s0 + step], en[s0:s0 + step]
                 approx = qn[:, None] + e_n[None, :] - 2.0 * (qmat @ e.T)
                 margin = 1e-9 * (qn[:, None] + e_n[None, :]) + 1e-300
-                qi, ej = np.nonzero(approx <= thr[:, None] + margin)
+                t = thr
+                if e.shape[0] >= k:
+                    # the k smallest approximations bound the exact k-th distance from above
+                    kth = np.partition(approx, k - 1, axis=1)[:, k - 1]
+                    t = np.minimum(thr, kth + 1e-9 * (qn + e_n.max()) + 1e-300)
+                qi, ej = np.nonzero(approx <= t[:, None] + margin)
                 if len(qi) == 0:
                     continue
                 d = np.empty(len(qi))
