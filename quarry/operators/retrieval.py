@@ -134,7 +134,9 @@ def chat_field(df: DataFrame, col: str, field: str = "chat_response", alias: str
 
 # ---- batched exact top-k ----------------------------------------------------------------
 
-# Largest question x embedding x dim difference tensor formed at once inside a task.
+# Largest array formed at once inside a task: question x vector cells of the squared-distance
+# slice, and pair x width cells when exact distances are computed.
+_MAX_CELLS = 1 << 22
 _MAX_TENSOR = 1 << 24
 
 
@@ -184,7 +186,7 @@ def _partial_topk(bq, k: int):
         thr = np.full(nq, np.inf)                       # squared k-th exact distance per question
         best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, object))
         null_ids, null_arts = np.empty(0, np.int64), np.empty(0, object)
-        step = max(1, _MAX_TENSOR // nq)
+        step = max(1, _MAX_CELLS // nq)
         exact_step = max(1, _MAX_TENSOR // max(1, dim))
         for b in batches:
             if b.empty:
@@ -203,13 +205,13 @@ def _partial_topk(bq, k: int):
             for s0 in range(0, len(ids), step):
                 e, e_n = emat[s0:s0 + step], en[s0:s0 + step]
                 approx = qn[:, None] + e_n[None, :] - 2.0 * (qmat @ e.T)
-                margin = 1e-9 * (qn[:, None] + e_n[None, :]) + 1e-300
+                # rounding margin per question, valid for every vector of the slice
+                margin = 1e-9 * (qn + e_n.max()) + 1e-300
                 t = thr
                 if e.shape[0] >= k:
                     # the k smallest approximations bound the exact k-th distance from above
-                    kth = np.partition(approx, k - 1, axis=1)[:, k - 1]
-                    t = np.minimum(thr, kth + 1e-9 * (qn + e_n.max()) + 1e-300)
-                qi, ej = np.nonzero(approx <= t[:, None] + margin)
+                    t = np.minimum(thr, np.partition(approx, k - 1, axis=1)[:, k - 1] + margin)
+                qi, ej = np.nonzero(approx <= (t + margin)[:, None])
                 if len(qi) == 0:
                     continue
                 d = np.empty(len(qi))
