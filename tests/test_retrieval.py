@@ -112,3 +112,32 @@ def test_topk_missing_vectors_sort_last_like_sql(spark):
     assert sorted(got[3:]) == [(2, 1, None), (4, 2, None), (5, 3, None)]
     sql = {r.embedding_id: r.d for r in e.select("embedding_id", l2_distance(F.col("embedding"), [0.0, 0.0]).alias("d")).collect()}
     assert {i: d for i, _a, d in got} == sql
+
+
+def test_topk_kernel_matches_brute_force():
+    import numpy as np
+    import pandas as pd
+
+    class Broadcast:
+        def __init__(self, value):
+            self.value = value
+
+    rnd = np.random.default_rng(11)
+    for trial in range(8):
+        dim, n, nq, k = [2, 8, 64, 3][trial % 4], 400, 25, [1, 3, 10][trial % 3]
+        base = rnd.choice([-1.0, 0.0, 0.5, 1.0], size=(60, dim)) if trial % 2 else rnd.standard_normal((60, dim))
+        vecs = base[rnd.integers(0, 60, n)]                      # duplicates -> distance ties
+        ids = rnd.permutation(10 * n)[:n]
+        missing = rnd.random(n) < 0.03
+        q = base[rnd.integers(0, 60, nq)]
+        batches = [pd.DataFrame({"embedding_id": ids[s:s + 50], "article_id": ids[s:s + 50] % 7,
+                                 "embedding": [None if missing[i] else vecs[i].astype(np.float32) for i in range(s, min(s + 50, n))]})
+                   for s in range(0, n, 50)]
+        out = pd.concat(list(rv._partial_topk(Broadcast((np.arange(nq), q)), k)(iter(batches))))
+        out = out.assign(_n=out["distance"].isna()).sort_values(["qid", "_n", "distance", "embedding_id"]).groupby("qid").head(k)
+        ev = vecs.astype(np.float32).astype(np.float64)
+        for j in range(nq):
+            d = np.sqrt(((ev - q[j]) ** 2).sum(axis=1))
+            d[missing] = np.inf
+            want = [int(ids[i]) for i in np.lexsort((ids, d))[:k]]
+            assert out[out.qid == j]["embedding_id"].tolist() == want, (trial, j)
