@@ -183,6 +183,8 @@ def _partial_topk(bq, k: int):
             return
         dim = qmat.shape[1]
         qn = (qmat ** 2).sum(axis=1)
+        q_missing = np.isnan(qn)                        # a question with a missing element: all distances NULL
+        any_ids, any_arts = np.empty(0, np.int64), np.empty(0, object)
         thr = np.full(nq, np.inf)                       # squared k-th exact distance per question
         best = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, object))
         null_ids, null_arts = np.empty(0, np.int64), np.empty(0, object)
@@ -194,6 +196,10 @@ def _partial_topk(bq, k: int):
             emat = _matrix(b["embedding"].to_numpy(), dim)
             ids = b["embedding_id"].to_numpy(dtype=np.int64)
             arts = b["article_id"].to_numpy(dtype=object)
+            if q_missing.any():
+                any_ids, any_arts = np.concatenate([any_ids, ids]), np.concatenate([any_arts, arts])
+                first = np.argsort(any_ids, kind="stable")[:k]
+                any_ids, any_arts = any_ids[first], any_arts[first]
             missing = np.isnan(emat).any(axis=1)
             if missing.any():
                 null_ids = np.concatenate([null_ids, ids[missing]])
@@ -228,11 +234,18 @@ def _partial_topk(bq, k: int):
                 thr[best[0][last][full]] = best[1][last][full] ** 2
         q, d, ids, arts = best
         if len(null_ids):
+            good_q = np.flatnonzero(~q_missing)         # the others get their k smallest ids below
             nn = len(null_ids)
-            q = np.concatenate([q, np.repeat(np.arange(nq), nn)])
-            d = np.concatenate([d, np.full(nq * nn, np.nan)])
-            ids = np.concatenate([ids, np.tile(null_ids, nq)])
-            arts = np.concatenate([arts, np.tile(null_arts, nq)])
+            q = np.concatenate([q, np.repeat(good_q, nn)])
+            d = np.concatenate([d, np.full(len(good_q) * nn, np.nan)])
+            ids = np.concatenate([ids, np.tile(null_ids, len(good_q))])
+            arts = np.concatenate([arts, np.tile(null_arts, len(good_q))])
+        if q_missing.any() and len(any_ids):
+            bad_q = np.flatnonzero(q_missing)
+            q = np.concatenate([q, np.repeat(bad_q, len(any_ids))])
+            d = np.concatenate([d, np.full(len(bad_q) * len(any_ids), np.nan)])
+            ids = np.concatenate([ids, np.tile(any_ids, len(bad_q))])
+            arts = np.concatenate([arts, np.tile(any_arts, len(bad_q))])
         if len(q):
             yield pd.DataFrame({"qid": qids[q], "embedding_id": ids, "article_id": pd.array(list(arts), dtype="Int64"),
                                 "distance": d})

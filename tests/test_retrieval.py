@@ -129,7 +129,8 @@ def test_topk_kernel_matches_brute_force():
         vecs = base[rnd.integers(0, 60, n)]                      # duplicates -> distance ties
         ids = rnd.permutation(10 * n)[:n]
         missing = rnd.random(n) < 0.03
-        q = base[rnd.integers(0, 60, nq)]
+        q = base[rnd.integers(0, 60, nq)].astype(np.float64)
+        q[0, 0] = np.nan                                            # a question with a missing element
         batches = [pd.DataFrame({"embedding_id": ids[s:s + 50], "article_id": ids[s:s + 50] % 7,
                                  "embedding": [None if missing[i] else vecs[i].astype(np.float32) for i in range(s, min(s + 50, n))]})
                    for s in range(0, n, 50)]
@@ -138,6 +139,6 @@ def test_topk_kernel_matches_brute_force():
         ev = vecs.astype(np.float32).astype(np.float64)
         for j in range(nq):
             d = np.sqrt(((ev - q[j]) ** 2).sum(axis=1))
-            d[missing] = np.inf
+            d[missing | np.isnan(d)] = np.inf
             want = [int(ids[i]) for i in np.lexsort((ids, d))[:k]]
             assert out[out.qid == j]["embedding_id"].tolist() == want, (trial, j)
