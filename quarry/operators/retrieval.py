@@ -317,7 +317,26 @@ def lsh_buckets(model, vectors: DataFrame, id_col: str = "embedding_id") -> Data
     return h.select(id_col, "table", vector_to_array("_h")[0].cast("bigint").alias("bucket"))
 
 
-def vector_topk_lsh(embeddings: DataFrame, query: Sequence[float], k: int = TOP_K, **index_args) -> DataFrame:
+def write_index(model, vectors: DataFrame, path: str, id_col: str = "embedding_id",
+                num_partitions: int | None = None) -> None:
+    """Persist the LSH index: the model under ``path/model`` and the (table, bucket, id) rows
+    under ``path/buckets``, range-clustered by (table, bucket) so that a probe's filter on a
+    few buckets skips all other row groups (parquet min/max statistics)."""
+    n = num_partitions or int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    model.write().overwrite().save(f"{path}/model")
+    (lsh_buckets(model, vectors, id_col).repartitionByRange(n, "table", "bucket")
+     .sortWithinPartitions("table", "bucket").write.mode("overwrite").parquet(f"{path}/buckets"))
+
+
+def load_index(spark, path: str):
+    """(model, bucket table) written by ``write_index``."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSHModel
+
+    return BucketedRandomProjectionLSHModel.load(f"{path}/model"), spark.read.parquet(f"{path}/buckets")
+
+
+def vector_topk_lsh(embeddings: DataFrame, query: Sequence[float], k: int = TOP_K, index=None,
+                    **index_args) -> DataFrame:
     """Approximate k nearest neighbours of one vector (single-probe LSH): exact L2 distance,
     but only over vectors sharing a bucket with the query in at least one hash table.
 
@@ -327,11 +346,21 @@ def vector_topk_lsh(embeddings: DataFrame, query: Sequence[float], k: int = TOP_
     """
     from pyspark.ml.linalg import Vectors
 
+    from functools import reduce
+
     spark = embeddings.sparkSession
-    model, v = index_vectors(embeddings, **index_args)
     key = spark.createDataFrame([(-1, Vectors.dense([float(x) for x in query]))], ["embedding_id", "features"])
-    probe = lsh_buckets(model, key).select("table", "bucket")     # num_tables rows
-    cand = lsh_buckets(model, v).join(F.broadcast(probe), ["table", "bucket"], "left_semi").select("embedding_id").distinct()
+    if index is not None:
+        # a stored index (``load_index``): the query's buckets, one per hash table, become a
+        # pushed-down filter on the clustered bucket table
+        model, buckets = index
+        probe = [(r.table, r.bucket) for r in lsh_buckets(model, key).collect()]   # num_tables rows
+        cond = reduce(lambda a, b: a | b, [(F.col("table") == t) & (F.col("bucket") == b) for t, b in probe])
+        cand = buckets.filter(cond).select("embedding_id").distinct()
+    else:
+        model, v = index_vectors(embeddings, **index_args)
+        probe = lsh_buckets(model, key).select("table", "bucket")     # num_tables rows
+        cand = lsh_buckets(model, v).join(F.broadcast(probe), ["table", "bucket"], "left_semi").select("embedding_id").distinct()
     d = (embeddings.select("embedding_id", "article_id", "embedding").join(cand, "embedding_id", "left_semi")
          .select("embedding_id", "article_id", l2_distance(F.col("embedding"), query).alias("distance")))
     return d.orderBy(F.col("distance").asc_nulls_last(), "embedding_id").limit(k)

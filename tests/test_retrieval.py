@@ -142,3 +142,19 @@ def test_topk_kernel_matches_brute_force():
             d[missing | np.isnan(d)] = np.inf
             want = [int(ids[i]) for i in np.lexsort((ids, d))[:k]]
             assert out[out.qid == j]["embedding_id"].tolist() == want, (trial, j)
+
+
+def test_stored_lsh_index_gives_the_same_neighbours_and_prunes(spark):
+    from quarry.session import scratch_path
+
+    e = _emb(spark, n=400, dim=4)
+    q = list(e.filter("embedding_id = 5").first().embedding)
+    model, v = rv.index_vectors(e, bucket_length=1.0, num_tables=3)
+    path = scratch_path(spark, "lsh-index")
+    rv.write_index(model, v, path, num_partitions=6)
+    idx = rv.load_index(spark, path)
+    direct = [tuple(r) for r in rv.vector_topk_lsh(e, q, k=10, bucket_length=1.0, num_tables=3).collect()]
+    stored_df = rv.vector_topk_lsh(e, q, k=10, index=idx)
+    assert [tuple(r) for r in stored_df.collect()] == direct
+    plan = stored_df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan or "PushedFilters: [Or" in plan, plan
