@@ -35,8 +35,10 @@ Produce thorough and insightful answers whenever possible, and do not answer any
 <|im_start|>assistant
 """
 
-# Questions per broadcast block in the batched top-k (block x dim floats per task).
+# Questions per broadcast block in the batched top-k (block x dim floats per task), and the
+# byte bound that shrinks the block for wide vectors.
 QUESTION_BLOCK = 20000
+QUESTION_BLOCK_BYTES = 256 << 20
 
 
 def vector_topk(embeddings: DataFrame, query: Sequence[float], k: int = TOP_K) -> DataFrame:
@@ -269,7 +271,7 @@ def vector_topk_batch(embeddings: DataFrame, questions: DataFrame, k: int = TOP_
     """Exact k nearest embeddings for every question: (qid, embedding_id, article_id, distance, rank).
 
     questions(qid, qvec).  Questions reach the tasks as a broadcast block of at most
-    ``block`` rows (size checked); each task scans its slice of the embeddings with
+    ``block`` rows and ``QUESTION_BLOCK_BYTES`` of vectors (size checked); each task scans its slice of the embeddings with
     numpy, keeps k per question and emits block x k rows; a row_number per qid merges
     the partial lists (k x tasks rows per question).  No question x embedding pair table
     is formed.  Larger question sets run block by block, one pass over the embeddings
@@ -281,6 +283,9 @@ def vector_topk_batch(embeddings: DataFrame, questions: DataFrame, k: int = TOP_
 
     qs = questions.select("qid", "qvec")
     e = embeddings.select("embedding_id", "article_id", "embedding")
+    width = qs.select(F.size("qvec")).first()                 # one row: the vector width
+    if width is not None and width[0] and width[0] > 0:
+        block = max(1, min(block, QUESTION_BLOCK_BYTES // (8 * width[0])))
     if row_count_at_most(qs, block):
         return _topk_block(e, qs, k)
     spark = embeddings.sparkSession
