@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +48,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark.sparkContext.setLogLevel("ERROR")
     if shuffle_partitions or spark.sparkContext.master.startswith("local"):
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+    ship_package(spark)
     return spark
 
 
@@ -51,8 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir`` (or it was set on the
-    SparkContext).  Only when neither is set - local runs and tests - a fresh
-    folder under the system temp directory is created and registered.
+    SparkContext).  Where neither is set, a ``local`` session gets a fresh folder under
+    the system temp directory; any other master raises, because executors and driver
+    would each see their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,17 +66,56 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        conf_dir = _local_folder(sc.master)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def _local_folder(master: str) -> str:
+    """A temp folder for an in-process session; it goes when this process ends."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(f"master {master!r} has no spark.checkpoint.dir: set it to a folder that the driver "
+                           "and all executors share")
+    folder = tempfile.mkdtemp(prefix="quarry-ckpt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for written tables / stream state."""
-    import uuid
+    """A fresh sub-folder of the checkpoint folder for written tables / stream state.
 
+    The file system removes it when the session's JVM ends; ``release_scratch`` does so at once.
+    """
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    fs, jpath = _file_system(spark, path)
+    fs.deleteOnExit(jpath)
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder this process handed out (their DataFrames cannot be read afterwards)."""
+    while _scratch:
+        fs, jpath = _file_system(spark, _scratch.pop())
+        fs.delete(jpath, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (Hadoop) file system; any other failure raises."""
+    fs, jpath = _file_system(spark, path)
+    return fs.exists(jpath)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -78,8 +123,34 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Used where an intermediate is read by several branches or must not be recomputed
     (sampled range bounds, positions): every branch then reads the same files, only the
-    columns it needs (columnar, unlike an RDD checkpoint), and lineage is cut there.
+    columns it needs (columnar, unlike an RDD checkpoint), and lineage is cut there.  The
+    shuffle files of the write are dropped when it ends, as nothing reads them again.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before) if before is not None else spark.conf.unset(FREE_SHUFFLES)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, which unpickle its functions by name."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="quarry-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, f"{os.path.basename(root)}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(top, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._quarry_shipped = True
