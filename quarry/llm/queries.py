@@ -102,3 +102,30 @@ SELECT doc_id, size, source_size, target,
 FROM (SELECT *, whole + CASE WHEN need > 0 AND (upto < need OR (before < need AND upto - need <= need - before)) THEN 1 ELSE 0 END AS taken
       FROM c)
 """
+
+
+@_query
+def op6_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.multiset_hash import edit_likeness
+
+    return edit_likeness(_documents(spark, sf_dir))
+
+
+@_query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.warc import page_records, read_warc, write_warc
+    from quarry.session import scratch_path
+
+    path = scratch_path(spark, "warc")
+    write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
+    return page_records(read_warc(spark, path))
+
+
+ORACLE["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest AS d, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1),
+j AS (SELECT p.*, f.first, f.first IS NOT NULL AND page_id IS DISTINCT FROM f.first AS again FROM p LEFT JOIN f ON d = payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to FROM j
+"""
