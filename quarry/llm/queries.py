@@ -129,3 +129,28 @@ j AS (SELECT p.*, f.first, f.first IS NOT NULL AND page_id IS DISTINCT FROM f.fi
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN first END AS refers_to FROM j
 """
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.quality import fit, in_fold, score_documents
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    ranker = fit(docs, _labels(spark, sf_dir), "quality", train=~held_out)
+    return score_documents(docs, ranker).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.quality import in_fold
+    from quarry.llm.toxicity import fit, tag_documents
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    tagger = fit(docs, _labels(spark, sf_dir), "toxic", train=~held_out)
+    return tag_documents(docs, tagger).select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
