@@ -154,3 +154,36 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = in_fold(F.col("doc_id"), 4, 2)
     tagger = fit(docs, _labels(spark, sf_dir), "toxic", train=~held_out)
     return tag_documents(docs, tagger).select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
+@_query
+def op1_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.pivot_topk import pivot_topk
+
+    return pivot_topk(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op1_pivot_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e, len(embedding) AS n FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, o.vec_id, list_inner_product(q.e, o.e)::BIGINT AS score
+  FROM v q JOIN v o ON q.n = o.n AND q.vec_id <> o.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@_query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from quarry.llm.bpe import encode_documents, prepare
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    tables = prepare(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    coded = encode_documents(docs, tables, decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        utf8_sha256(F.col("decoded")).alias("decoded_sha256"))
