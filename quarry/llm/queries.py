@@ -187,3 +187,26 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_documents(docs, tables, decode=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         utf8_sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
+@_query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.substring_dedup import drop_repeated_passages
+
+    cut = drop_repeated_passages(_documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", utf8_sha256(F.col("kept")).alias("kept_sha256"))
+
+
+ORACLE["op2_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+x AS (SELECT r, doc_id, i, list_aggregate(w[i : i + 12], 'string_agg', ' ') AS win
+      FROM (SELECT r, doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM d)),
+f AS (SELECT win, min(doc_id) AS lo FROM x GROUP BY win HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS at FROM x JOIN f USING (win) WHERE lo < doc_id),
+t AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM d),
+k AS (SELECT t.r, count(g.at) AS n_removed, string_agg(word, ' ' ORDER BY t.at) FILTER (WHERE g.at IS NULL) AS kept
+      FROM t LEFT JOIN g ON t.r = g.r AND t.at = g.at GROUP BY t.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
