@@ -104,6 +104,15 @@ def release_scratch(spark: SparkSession) -> None:
         fs.delete(jpath, True)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete the tables of ``materialize`` that nothing reads any more, to free their disk early."""
+    for df in frames:
+        path = df._scratch
+        fs, jpath = _file_system(df.sparkSession, path)
+        fs.delete(jpath, True)
+        _scratch.remove(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on its (Hadoop) file system; any other failure raises."""
     fs, jpath = _file_system(spark, path)
@@ -134,7 +143,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(FREE_SHUFFLES, before) if before is not None else spark.conf.unset(FREE_SHUFFLES)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
 
 
 def ship_package(spark: SparkSession) -> None:
