@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import extend_batches, row_hash, texts_of
-from quarry.session import materialize
+from quarry.session import forget, materialize
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -330,6 +330,7 @@ def repeated_windows(docs: DataFrame, window: int = 13, gram: int = 4, shard_wor
     shared = materialize(every.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
                          .where("lo < hi").select("anchor"), "shared-anchors")
     found = materialize(every.join(shared, "anchor", "left_semi"), "shared-segments")
+    forget(every, shared)
     # one occurrence of each distinct segment, in the smallest document
     where = F.struct("doc_id", "row", "start", "windows")
     distinct = found.groupBy("anchor", "key").agg(F.min(where).alias("at")).select("anchor", "key", "at.*")
@@ -355,6 +356,7 @@ def repeated_windows(docs: DataFrame, window: int = 13, gram: int = 4, shard_wor
              .agg(F.array_sort(F.collect_list(F.struct("at", "least"))).alias("all"))  # at most one row a window
              .select("anchor", "key", F.transform("all", lambda x: x["least"]).alias("first")))
     holders = materialize(first.unionByName(apart), "first-holders")
+    forget(cut, hot, single)
     bits = F.aggregate(F.transform("first", lambda x, i: F.when(x < F.col("doc_id"), F.call_function("shiftleft", F.lit(1), i))
                                    .otherwise(F.lit(0))), F.lit(0), lambda a, b: a + b)
     marks = found.join(holders, ["anchor", "key"]).select("doc_id", "row", "start", bits.alias("bits")).where("bits <> 0")
