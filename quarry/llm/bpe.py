@@ -4,7 +4,7 @@ The words of all documents are counted (combined in each task, then shuffled), t
 ``lexicon_size`` are cut into pre-tokens and encoded once, and the pre-tokens are compiled into a minimal
 acyclic automaton over bytes: equal suffixes share states, and every arc carries a number such that their sum along
 a word is the word's place in the table of id lists.  Automaton, id lists, merges and vocabulary are one
-flat file that each executor maps into memory.
+flat file that each worker maps into memory.
 
 Encoding splits a text at the added tokens, then by the tokenizer's pattern, walks the distinct pre-tokens of a
 batch through the automaton together, and merges the ones it does not know exactly, by rank, leftmost first.  Words
@@ -150,13 +150,10 @@ class Tables:
         return len(index).to_bytes(8, "little") + index + b"".join(body)
 
     def __init__(self, packed: bytes):
-        path = os.path.join(tempfile.gettempdir(), f"quarry-lexicon-{hashlib.sha256(packed).hexdigest()[:24]}")
-        if not os.path.exists(path):
-            fd, part = tempfile.mkstemp(dir=tempfile.gettempdir())
-            with os.fdopen(fd, "wb") as f:
-                f.write(packed)
-            os.replace(part, path)  # workers of one executor share the file
-        raw = np.memmap(path, np.uint8, "r")
+        with tempfile.NamedTemporaryFile() as f:  # the mapping outlives the name, so no file is left behind
+            f.write(packed)
+            f.flush()
+            raw = np.memmap(f.name, np.uint8, "r")
         size = int.from_bytes(raw[:8].tobytes(), "little")
         for name, (at, n, kind) in json.loads(raw[8:8 + size].tobytes()).items():
             first = 8 + size + at
