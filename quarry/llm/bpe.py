@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import extend_batches, texts_of
+from quarry.session import forget, materialize
 
 # fixed value: the white space of the tokenizer's pattern engine (Unicode White_Space)
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -404,12 +405,31 @@ def _codec(packed: bytes) -> Codec:
     return _codecs[key]
 
 
+def frequent_words(docs: DataFrame, most: int, text_col: str = "text") -> list[bytes]:
+    """The most frequent words, in order; at most ``most``, as many whole eighths of a power of two of counts as fit.
+
+    Words met once are left out, and those of over 64 bytes.  The driver gets one row per class of counts, then
+    the chosen words, never a list from each partition.
+    """
+    step = F.floor(8 * F.log2("n")).cast("int")
+    counts = materialize(word_counts(docs, text_col).where((F.col("n") > 1) & (F.length("word") <= 64))
+                         .withColumn("step", step), "word-counts")
+    least, room = None, most
+    for r in sorted(counts.groupBy("step").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["step"]
+    rows = [] if least is None else counts.where(F.col("step") >= least).collect()
+    forget(counts)
+    return [bytes(r["word"]) for r in sorted(rows, key=lambda r: (-r["n"], r["word"]))]
+
+
 def prepare(docs: DataFrame, tokenizer_path: str, lexicon_size: int = 1 << 15, text_col: str = "text"):
     """A broadcast of the tables (a few MB: bounded by the vocabulary and ``lexicon_size`` words)."""
     with open(tokenizer_path, encoding="utf-8") as f:
         vocabulary = Vocabulary(f.read())
-    top = word_counts(docs, text_col).where(F.length("word") <= 64).orderBy(F.col("n").desc(), "word").limit(lexicon_size)
-    frequent = [bytes(r["word"]) for r in top.collect()]
+    frequent = frequent_words(docs, lexicon_size, text_col)
     return SparkContext.getOrCreate().broadcast(compile_tables(vocabulary, frequent))
 
 
