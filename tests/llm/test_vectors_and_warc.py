@@ -76,7 +76,7 @@ def test_op5_filters_are_pushed(spark, tmp_path):
         got = read.where(condition)
         assert got.count() == duckdb.sql(f"SELECT count(*) FROM everything WHERE {condition}").fetchall()[0][0]
     plan = read.where("record_type = 'revisit'")._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan.replace("PushedFilters", "") or "PushedFilters: [EqualTo(record_type,revisit)]" in plan
+    assert "BatchScan warc" in plan and " Filter " not in plan  # the source has taken the whole condition
     reader = warc.WarcReader({"path": str(tmp_path / "w"), "payload": "false"})
     rows = [x for p in reader.partitions() for b in reader.read(p) for x in b.to_pylist()]
     assert len(rows) == len(PAGES) and all(x["payload"] is None for x in rows)
