@@ -52,11 +52,11 @@ def append_articles(articles: DataFrame, path: str, order=("path",), col: str =
     """
     from quarry.operators.corpus import assign_ids
 
+    from quarry.session import path_exists
+
     spark = articles.sparkSession
-    try:
-        last = spark.read.parquet(path).agg(F.max(col)).first()[0]
-    except Exception:  # noqa: BLE001 - no table yet
-        last = None
+    # a table that cannot be read raises: ids would restart otherwise
+    last = spark.read.parquet(path).agg(F.max(col)).first()[0] if path_exists(spark, path) else None
     with_ids = assign_ids(articles, list(order), col=col, start=(last or 0) + 1)
     write_articles(with_ids, path, mode="append")
     return with_ids

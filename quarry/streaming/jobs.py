@@ -50,13 +50,14 @@ def start_append_log(readings: DataFrame, sink: str, checkpoint: str, available_
 
     def write(batch: DataFrame, batch_id: int):
         from quarry.plans.scan import dense_ids
+        from quarry.session import path_exists
 
         spark = batch.sparkSession
-        try:
-            # rows of the committed earlier batches (parquet footers; partition-pruned)
+        before = 0
+        if batch_id > 0 and path_exists(spark, sink):
+            # rows of the committed earlier batches (parquet footers; partition-pruned); a failed
+            # read fails the batch, as ids would restart otherwise
             before = spark.read.parquet(sink).filter(F.col("batch_id") < batch_id).count()
-        except Exception:  # noqa: BLE001 - first batch: no log yet
-            before = 0
         rows = batch.select("location", "reading", "reading_date")
         numbered = dense_ids(rows, ["reading_date", "location", "reading"], start=before + 1, col="id")
         numbered.select("id", "location", "reading", "reading_date").write.mode("overwrite").parquet(
