@@ -48,11 +48,16 @@ def seconds_between(later, earlier) -> Column:
     return micros_between(later, earlier) / F.lit(1000000.0)
 
 
+def _div(a, b) -> Column:
+    """Integer quotient of two bigint columns, truncated towards zero (never through a double)."""
+    return F.call_function("div", a, b)
+
+
 def _round_half_away(num: Column, den: int) -> Column:
     """round(num / den) to an integer, halves away from zero, exact integer maths."""
-    half = den // 2
-    mag = (F.abs(num) + F.lit(half)) / F.lit(den)
-    return (F.signum(num) * F.floor(mag)).cast("bigint")
+    num = num.cast("bigint")
+    mag = _div(F.abs(num) + F.lit(den // 2).cast("bigint"), F.lit(den).cast("bigint"))
+    return F.when(num < 0, -mag).otherwise(mag)
 
 
 def whole_seconds_between(later, earlier) -> Column:
@@ -78,9 +83,11 @@ def round_ratio(num, den, scale: int = 2) -> Column:
     so the result does not depend on binary floating point ties.  den <= 0 -> NULL.
     """
     num, den = _c(num).cast("bigint"), _c(den).cast("bigint")
+    den = F.when(den > 0, den)
     p = 10 ** scale
-    q = F.floor((num * F.lit(2 * p) + den) / (den * F.lit(2)))
-    return F.when(den > 0, q.cast("double") / F.lit(float(p)))
+    # whole part and remainder apart, so that only the remainder is scaled up
+    fraction = _div(num % den * F.lit(2 * p) + den, den * F.lit(2))
+    return (_div(num, den) * F.lit(p) + fraction).cast("double") / F.lit(float(p))
 
 
 def l2_distance(vec, query: Sequence[float]) -> Column:
@@ -98,7 +105,7 @@ def interval_micros(spark, text: str) -> int:
 def floor_div(x, d: int) -> Column:
     """floor(x / d) for a bigint column and a positive constant, in exact integer arithmetic."""
     x = _c(x)
-    return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("bigint")
+    return _div(x - F.pmod(x, F.lit(d)), F.lit(d).cast("bigint"))
 
 
 # Fixed values of transaction ids: ids below 3 are special (invalid, bootstrap, frozen) and

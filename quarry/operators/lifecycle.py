@@ -140,13 +140,16 @@ def pet_validate_update(pets: DataFrame, updates: DataFrame) -> DataFrame:
     """Check updates (player, new_player, mood, food) against the current rows.
 
     Rejected: old row dead (MSG_DEAD) or owner change (MSG_NO_SELLING).  Accepted rows
-    get mood and food clamped to the maximum; a NULL counter becomes the maximum.
+    get mood and food clamped to the maximum; a NULL counter becomes the maximum.  Pets
+    without an update stay as they are, with ``accepted`` NULL, so the result is a whole
+    state table.
     """
-    u = updates.select("player", "new_player", F.col("mood").alias("_new_mood"), F.col("food").alias("_new_food"))
-    j = pets.join(u, "player")
-    reason = (F.when(F.col("is_dead"), MSG_DEAD)
-              .when(F.col("new_player").isNotNull() & (F.col("new_player") != F.col("player")), MSG_NO_SELLING))
-    ok = reason.isNull()
+    u = updates.select("player", "new_player", F.col("mood").alias("_new_mood"), F.col("food").alias("_new_food"),
+                       F.lit(True).alias("_updated"))
+    j = pets.join(u, "player", "left")
+    reason = F.when(F.col("_updated"), F.when(F.col("is_dead"), MSG_DEAD).when(
+        F.col("new_player").isNotNull() & (F.col("new_player") != F.col("player")), MSG_NO_SELLING))
+    ok = F.when(F.col("_updated"), reason.isNull())
     return j.select(
         "player", "pet_name",
         F.when(ok, _clamp(F.col("_new_mood"))).otherwise(F.col("mood")).alias("mood"),
