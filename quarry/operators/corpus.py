@@ -25,13 +25,30 @@ EMBED_DIM = 384
 _FENCE = r"(?m)^[^\S\n]*---[^\S\n]*(?:\n|$)"
 
 
+# A header line that counts: a key at the left margin, neither a list item nor a comment.
+_TOP_LEVEL_LINE = r"^[^\s:#-][^:]*:"
+# A quoted value with nothing but a comment after it, and the trailing comment of a bare one.
+_QUOTED_VALUE = r"""^(["'])(.*?)\1\s*(?:#.*)?$"""
+_TRAILING_COMMENT = r"(?:^|\s+)#.*$"
+
+
+def _header_value(raw):
+    """The value of a header line: unquoted, without its comment; NULL where it is empty."""
+    bare = F.trim(F.regexp_replace(F.trim(raw), _TRAILING_COMMENT, ""))
+    return (F.when(F.trim(raw).rlike(_QUOTED_VALUE), F.regexp_extract(F.trim(raw), _QUOTED_VALUE, 2))
+            .when(~bare.isin("", "~", "null", "Null", "NULL"), bare))
+
+
 def parse_front_matter(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``headers`` (map<string,string>) and ``content`` (string) from Markdown front matter.
 
     The text is cut at every fence line; even pieces are body, odd pieces header, so a
     fence inside the body moves the following lines into the header, as a toggling
-    line reader does.  Header lines are flat ``key: value`` pairs (surrounding quotes
-    removed, the last of repeated keys wins).  ``\\r\\n`` / ``\\r`` become ``\\n``.
+    line reader does.  Of the header, the unindented ``key: value`` lines count (the last
+    of repeated keys wins); nested blocks (indented lines), list items and comment lines are
+    passed over, so a nested ``title`` never replaces the document's.  Surrounding quotes and
+    trailing `` # comment``s are removed; an empty, ``~`` or ``null`` value is NULL.  A header
+    key ``content`` replaces the body.  ``\\r\\n`` / ``\\r`` become ``\\n``.
     """
     text = F.regexp_replace(F.col(text_col), r"\r\n?", "\n")
     # staged projections: each step is computed once per row (the split is not repeated
@@ -39,11 +56,10 @@ def parse_front_matter(df: DataFrame, text_col: str = "text") -> DataFrame:
     step = df.select("*", F.split(text, _FENCE, -1).alias("_pieces"))
     step = step.select("*", F.array_join(F.filter("_pieces", lambda x, i: i % 2 == 0), "").alias("content"),
                        F.array_join(F.filter("_pieces", lambda x, i: i % 2 == 1), "").alias("_header")).drop("_pieces")
-    lines = F.filter(F.split("_header", "\n"), lambda l: F.trim(l) != "")
-    kv = F.filter(F.transform(lines, lambda l: F.struct(
+    lines = F.filter(F.split("_header", "\n"), lambda l: l.rlike(_TOP_LEVEL_LINE))
+    kv = F.transform(lines, lambda l: F.struct(
         F.trim(F.regexp_extract(l, r"^([^:]*):", 1)).alias("k"),
-        F.regexp_replace(F.trim(F.regexp_extract(l, r"^[^:]*:(.*)$", 1)), r"""^(["'])(.*)\1$""", "$2").alias("v"))),
-        lambda e: e["k"] != "")
+        _header_value(F.regexp_extract(l, r"^[^:]*:(.*)$", 1)).alias("v")))
     step = step.select("*", kv.alias("_kv")).drop("_header")
     step = step.select("*", F.transform("_kv", lambda e: e["k"]).alias("_keys"))
     # keep the last occurrence of each key
@@ -53,7 +69,9 @@ def parse_front_matter(df: DataFrame, text_col: str = "text") -> DataFrame:
     # (the reject check) then stays above it.  Through plain projections Catalyst would
     # push it down and inline the whole split/extract chain into the condition, which
     # evaluated the regex split of every text once per reference (4x).
-    parsed = F.struct(F.map_from_entries(last).alias("headers"), F.col("content").alias("content"))
+    step = step.select("*", F.map_from_entries(last).alias("_headers"))
+    body = F.when(F.array_contains("_keys", "content"), F.col("_headers")["content"]).otherwise(F.col("content"))
+    parsed = F.struct(F.col("_headers").alias("headers"), body.alias("content"))
     return step.select(*df.columns, F.inline(F.array(parsed)))
 
 
@@ -61,7 +79,8 @@ def articles(parsed: DataFrame, path_col: str = "path") -> tuple[DataFrame, Data
     """Typed articles (path, author, title, content, publish_date) and rejects (path, reason).
 
     ``date`` is parsed as a timestamp (zone offsets honoured) and cast to a UTC date.
-    Documents without front matter or without a required key are rejected with a reason.
+    Documents without front matter, without a value for a required key, or with a date that
+    is none are rejected with a reason.
     """
     h = F.col("headers")
     # one reference to the header map keeps the reject condition small; the generator at the
@@ -72,9 +91,10 @@ def articles(parsed: DataFrame, path_col: str = "path") -> tuple[DataFrame, Data
     date = F.to_date(F.to_utc_timestamp(ts, F.current_timezone()))
     t = parsed.select(path_col, h.getItem("author").alias("author"), h.getItem("title").alias("title"),
                       "content", date.alias("publish_date"), missing.alias("_missing"))
-    ok = t.filter(F.size("_missing") == 0).drop("_missing")
-    bad = t.filter(F.size("_missing") > 0).select(
-        path_col, F.concat(F.lit("missing front matter key(s): "), F.array_join("_missing", ", ")).alias("reason"))
+    reason = (F.when(F.size("_missing") > 0, F.concat(F.lit("missing front matter key(s): "), F.array_join("_missing", ", ")))
+              .when(F.col("publish_date").isNull(), F.lit("date is not a date")))
+    ok = t.filter(reason.isNull()).drop("_missing")
+    bad = t.filter(reason.isNotNull()).select(path_col, reason.alias("reason"))
     return ok, bad
 
 
