@@ -74,20 +74,38 @@ def read_log(spark: SparkSession, sink: str) -> DataFrame:
 
 # ---- login audit -----------------------------------------------------------------------------
 
-def start_auth_audit(requests: DataFrame, allowed: DataFrame, sink: str, checkpoint: str,
-                     available_now: bool = True, interval: str | None = None) -> StreamingQuery:
-    """Audit each login request: (username, allowed).
+def _audited(requests: DataFrame, allowed: DataFrame) -> DataFrame:
+    a = allowed.select("username").distinct().withColumn("_ok", F.lit(True))
+    return (requests.select("username").join(a, "username", "left")
+            .select("username", F.coalesce(F.col("_ok"), F.lit(False)).alias("allowed")))
+
 
-    ``allowed(username)`` is the static allow-list (e.g. ``role_members_nosuper``); a
-    stream-static left join marks each request.  The static side is planned again for
-    every micro-batch, so a revoked membership takes effect at the next batch.  Password
-    hashes never reach the sink.
+def start_auth_audit(requests: DataFrame, allowed, sink: str, checkpoint: str,
+                     available_now: bool = True, interval: str | None = None) -> StreamingQuery:
+    """Audit each login request: (username, allowed).  Password hashes never reach the sink.
+
+    ``allowed`` is the allow-list with a ``username`` column (e.g. ``role_members_nosuper``).
+    As the path of a parquet folder, or as a callable ``spark -> DataFrame``, it is read again
+    for every micro-batch: a grant, a revoke or an overwrite counts from the next batch.  These
+    batches go to ``sink/batch_id=<n>`` (a retried one replaces its own files; read them with
+    ``read_audit``).  As a DataFrame it is the list as it was when the DataFrame was built, for
+    all batches, and the sink is a plain parquet folder.
     """
-    a = allowed.select("username").distinct().withColumn("_ok", F.lit(True))
-    out = (requests.select("username").join(a, "username", "left")
-           .select("username", F.coalesce(F.col("_ok"), F.lit(False)).alias("allowed")))
-    w = out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval).start()
+    if isinstance(allowed, DataFrame):
+        w = _audited(requests, allowed).writeStream.format("parquet").option("path", sink)
+    else:
+        def write(batch: DataFrame, batch_id: int):
+            spark = batch.sparkSession
+            now = allowed(spark) if callable(allowed) else spark.read.parquet(allowed)
+            _audited(batch, now).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+        w = requests.select("username").writeStream.foreachBatch(write)
+    return _trigger(w.option("checkpointLocation", checkpoint), available_now, interval).start()
+
+
+def read_audit(spark: SparkSession, sink: str) -> DataFrame:
+    """The audit written against a path or callable allow-list: (username, allowed)."""
+    return spark.read.parquet(sink).select("username", "allowed")
 
 
 # ---- incremental embeddings ------------------------------------------------------------------
