@@ -20,7 +20,6 @@ from quarry.functions.scalar import (
     whole_seconds_between,
     xid_age,
 )
-from quarry.plans.broadcast import bounded_broadcast
 from quarry.session import materialize
 
 # Schemas hidden from the buffer and layout reports.
@@ -64,21 +63,18 @@ def buffer_usage(buffercache: DataFrame, pg_class: DataFrame, namespace: DataFra
     Buffers are counted per relfilenode before the join (one row per file instead of one
     per buffer crosses the shuffle); the join then fans out over duplicate relfilenodes as
     the original does.  The percentage denominator is the total over surviving objects,
-    computed once as a scalar subquery instead of a single-partition window.
+    a scalar subquery instead of a single-partition window; it reuses the shuffle of the
+    per-file counts, so the buffers are scanned once.
     """
     per_file = buffercache.groupBy("relfilenode").agg(F.count(F.lit(1)).alias("n_buffers"))
-    ns = bounded_broadcast(
-        namespace.filter(~F.col("nspname").isin(*BUFFER_HIDDEN_SCHEMAS)).select(
-            F.col("oid").alias("ns_oid"), "nspname"))
+    ns = (namespace.filter(~F.col("nspname").isin(*BUFFER_HIDDEN_SCHEMAS))
+          .select(F.col("oid").alias("ns_oid"), "nspname"))
     cls = (pg_class.filter(F.col("relpages") > 0)
            .select("oid", "relname", "relnamespace", "relfilenode", "relpages")
            .join(ns, F.col("relnamespace") == F.col("ns_oid")))
     per_object = (per_file.join(cls, "relfilenode")
                   .groupBy("oid", "relpages", "nspname", "relname")
                   .agg(F.sum("n_buffers").alias("n")))
-    # one row per relation, written once: the total and the rows then read it instead of
-    # scanning the buffers twice (the two branches prune differently, so no exchange reuse)
-    per_object = materialize(per_object, "buffer-usage")
     total = per_object.select(F.sum("n")).scalar()
     return per_object.withColumn("_total", total).select(
         object_name(F.col("nspname"), F.col("relname")).alias("object_name"),
@@ -185,9 +181,8 @@ def column_layout(pg_class: DataFrame, attribute: DataFrame, pg_type: DataFrame,
     table and column name, which also lets the range-partitioned sort spread a
     type length that covers most columns over many tasks.
     """
-    ns = bounded_broadcast(namespace.filter(~F.col("nspname").isin(*LAYOUT_HIDDEN_SCHEMAS))
-                           .select(F.col("oid").alias("ns_oid")))
-    ty = bounded_broadcast(pg_type.select(F.col("oid").alias("type_oid"), "typname", "typalign", "typlen"))
+    ns = namespace.filter(~F.col("nspname").isin(*LAYOUT_HIDDEN_SCHEMAS)).select(F.col("oid").alias("ns_oid"))
+    ty = pg_type.select(F.col("oid").alias("type_oid"), "typname", "typalign", "typlen")
     c = (pg_class.filter(F.col("relkind").isin(*LAYOUT_KINDS)).select("oid", "relname", "relnamespace")
          .join(ns, F.col("relnamespace") == F.col("ns_oid")))
     a = attribute.filter(F.col("attnum") >= 0).select("attrelid", "attname", "atttypid")
@@ -221,16 +216,17 @@ def snapshot_delta(snapshots: DataFrame, keys: Sequence[str], counters: Sequence
 def _locks_by_session(locks: DataFrame, pg_class: DataFrame) -> DataFrame:
     """(pid, mode, locktype) -> ordered, comma-separated names of locked ordinary tables.
 
-    Lock rows are first counted per (pid, mode, locktype, relname), combined map-side, so a
-    session holding a third of all locks shuffles one row per relation it locks, not one
-    per lock.  Each count becomes its repeated name (duplicates are kept in the list),
-    and the pieces are joined in name order.  The counts are partitioned by pid once,
-    which the list aggregate and the session join both reuse.
+    Lock rows are counted per (pid, mode, locktype, relation) before the class join,
+    combined map-side, so a session or a relation with a third of all locks shuffles one row
+    per pair, not one per lock.  Each count becomes its repeated name (duplicates are kept in
+    the list), and the pieces are joined in name order.  The counts are partitioned by pid
+    once, which the list aggregate and the session join both reuse.  The list itself names
+    every lock, as in the original: one session's locks of one kind must fit in a string.
     """
     rel = pg_class.filter(F.col("relkind") == "r").select(F.col("oid").alias("rel_oid"), "relname")
-    per_name = (locks.select("pid", "mode", "locktype", "relation")
-                .join(rel, F.col("relation") == F.col("rel_oid"))
-                .groupBy("pid", "mode", "locktype", "relname").agg(F.count(F.lit(1)).alias("_n")))
+    per_relation = locks.groupBy("pid", "mode", "locktype", "relation").agg(F.count(F.lit(1)).alias("_locks"))
+    per_name = (per_relation.join(rel, F.col("relation") == F.col("rel_oid"))
+                .groupBy("pid", "mode", "locktype", "relname").agg(F.sum("_locks").alias("_n")))
     piece = F.when(F.col("relname").isNotNull(),
                    F.array_join(F.array_repeat(F.col("relname"), F.col("_n").cast("int")), ", "))
     return (per_name.select("pid", "mode", "locktype", "relname", piece.alias("_piece"))

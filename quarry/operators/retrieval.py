@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import l2_distance
-from quarry.plans.broadcast import row_count_at_most
 
 # Candidates, references kept and the prompt template.
 TOP_K = 10
@@ -44,16 +43,12 @@ QUESTION_BLOCK_BYTES = 256 << 20
 def vector_topk(embeddings: DataFrame, query: Sequence[float], k: int = TOP_K) -> DataFrame:
     """The k nearest embeddings to one query vector: (embedding_id, article_id, distance).
 
-    Each task scans its slice of the vectors with numpy over Arrow batches and keeps its
-    own k best; only those k per task reach the merge.  SQL lambdas over the arrays
-    (``l2_distance``) run interpreted, outside code generation, and were about 2.5x slower
-    on 64-wide vectors, more on wider ones.  Only ids and the vector are read; a missing
+    An ordered limit over the distance expression: every task keeps k rows, and only those
+    reach the merge.  Only ids and the vector are read, and nothing leaves the JVM; a missing
     vector has a NULL distance, sorted last.
     """
-    spark = embeddings.sparkSession
-    q = spark.createDataFrame([(0, [float(x) for x in query])], "qid long, qvec array<double>")
-    top = _topk_block(embeddings.select("embedding_id", "article_id", "embedding"), q, k)
-    return top.select("embedding_id", "article_id", "distance").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
+    d = embeddings.select("embedding_id", "article_id", l2_distance(F.col("embedding"), query).alias("distance"))
+    return d.orderBy(F.col("distance").asc_nulls_last(), "embedding_id").limit(k)
 
 
 def article_score(matches: DataFrame) -> DataFrame:
@@ -71,16 +66,16 @@ def fetch_context(winners: DataFrame, embeddings: DataFrame, articles: DataFrame
     """(title, chunk) of the winning matches, plus their rank (1 = best) for numbering.
 
     Late materialisation: top-k ran on ids and vectors only; the chunk text and the
-    title are joined back for the few winners (broadcast: at most ``keep`` rows per
-    question).
+    title are joined back for the few winners (broadcast into both tables: ``winners``
+    holds at most ``keep`` rows, and each meets one chunk), so neither table is shuffled.
     """
     w = winners.select("embedding_id", "article_id", "score", "distance")
     ranked = w.withColumn("ref_no", F.row_number().over(
         Window.orderBy(F.col("score").desc(), F.col("distance").asc_nulls_last(), "embedding_id")))
     e = embeddings.select("embedding_id", "article_id", "chunk")
     a = articles.select("article_id", "title")
-    return (e.join(F.broadcast(ranked), ["embedding_id", "article_id"])
-            .join(a, "article_id").select("ref_no", "title", "chunk"))
+    won = e.join(F.broadcast(ranked), ["embedding_id", "article_id"])
+    return a.join(F.broadcast(won), "article_id").select("ref_no", "title", "chunk")
 
 
 def build_references(context: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -179,7 +174,7 @@ def _partial_topk(bq, k: int):
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qids, qmat = bq.value
+        numbers, qids, qmat = bq.value
         nq = len(qids)
         if nq == 0:
             return
@@ -249,56 +244,54 @@ def _partial_topk(bq, k: int):
             ids = np.concatenate([ids, np.tile(any_ids, len(bad_q))])
             arts = np.concatenate([arts, np.tile(any_arts, len(bad_q))])
         if len(q):
-            yield pd.DataFrame({"qid": qids[q], "embedding_id": ids, "article_id": pd.array(list(arts), dtype="Int64"),
+            yield pd.DataFrame({"_no": numbers[q], "qid": qids[q], "embedding_id": ids, "article_id": pd.array(list(arts), dtype="Int64"),
                                 "distance": d})
 
     return run
 
 
-def _topk_block(embeddings: DataFrame, block_questions: DataFrame, k: int) -> DataFrame:
-    """Exact top-k of one question block: broadcast block, per-task numpy top-k, merge per qid."""
+def _topk_block(embeddings: DataFrame, block_questions: DataFrame, k: int, dim: int) -> DataFrame:
+    """Exact top-k of one block of numbered questions: broadcast block, per-task numpy top-k,
+    merge per question number."""
     spark = embeddings.sparkSession
-    pdf = block_questions.toPandas()  # one block, at most ``block`` rows (counted by the caller)
-    mat = np.stack(pdf["qvec"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, 0))
-    bq = spark.sparkContext.broadcast((pdf["qid"].to_numpy(dtype=np.int64), mat))
-    cand = embeddings.mapInPandas(_partial_topk(bq, k), "qid long, embedding_id long, article_id long, distance double")
-    w = Window.partitionBy("qid").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    pdf = block_questions.toPandas()  # at most ``block`` rows: the numbers are consecutive
+    bq = spark.sparkContext.broadcast((pdf["_no"].to_numpy(dtype=np.int64), pdf["qid"].to_numpy(dtype=np.int64),
+                                       _matrix(pdf["qvec"].to_numpy(), dim)))
+    cand = embeddings.mapInPandas(_partial_topk(bq, k),
+                                  "_no long, qid long, embedding_id long, article_id long, distance double")
+    w = Window.partitionBy("_no").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("_no")
 
 
 def vector_topk_batch(embeddings: DataFrame, questions: DataFrame, k: int = TOP_K,
                       block: int = QUESTION_BLOCK) -> DataFrame:
     """Exact k nearest embeddings for every question: (qid, embedding_id, article_id, distance, rank).
 
-    questions(qid, qvec).  Questions reach the tasks as a broadcast block of at most
-    ``block`` rows and ``QUESTION_BLOCK_BYTES`` of vectors (size checked); each task scans its slice of the embeddings with
-    numpy, keeps k per question and emits block x k rows; a row_number per qid merges
-    the partial lists (k x tasks rows per question).  No question x embedding pair table
-    is formed.  Larger question sets run block by block, one pass over the embeddings
-    each: every block is its own job writing its top-k to a folder of its own under the
-    shared checkpoint folder (overwritten if run again), and the result reads them all, so
-    the plan does not grow with the number of blocks.
+    questions(qid, qvec).  The questions are numbered consecutively and run in blocks of
+    ``block`` numbers, or fewer where that many of the widest vector would pass
+    ``QUESTION_BLOCK_BYTES``.  A block is broadcast; each task scans its slice of the
+    embeddings with numpy, keeps k per question and emits block x k rows; a row_number per
+    question merges the partial lists (k x tasks rows per question).  No question x embedding
+    pair table is formed.  Every block, also an only one, is its own job and one pass over the
+    embeddings, writing its top-k to a folder of its own under the shared checkpoint folder
+    (overwritten if run again); the result reads them all, so the plan does not grow with the
+    number of blocks.  Questions that share a qid each get their own k rows.  A NULL question
+    vector, or one of another width than the widest, has NULL distances: its k smallest ids.
     """
+    from quarry.plans.scan import dense_ids
     from quarry.session import scratch_path
 
-    qs = questions.select("qid", "qvec")
+    qs = questions.select(F.col("qid").cast("bigint").alias("qid"), "qvec", F.xxhash64("qvec").alias("_h"))
+    numbered = dense_ids(qs, ["qid", "_h"], start=0, col="_no").select("_no", "qid", "qvec")
     e = embeddings.select("embedding_id", "article_id", "embedding")
-    width = qs.select(F.size("qvec")).first()                 # one row: the vector width
-    if width is not None and width[0] and width[0] > 0:
-        block = max(1, min(block, QUESTION_BLOCK_BYTES // (8 * width[0])))
-    if row_count_at_most(qs, block):
-        return _topk_block(e, qs, k)
-    spark = embeddings.sparkSession
-    nb = -(-qs.count() // block)
-    tagged = qs.withColumn("_blk", F.pmod(F.xxhash64("qid"), F.lit(nb)))
-    out = scratch_path(spark, "topk-batch")
-    for i in range(nb):
-        # hash blocks hold about ``block`` questions each; a block's rows are checked before collecting
-        qb = tagged.filter(F.col("_blk") == i).drop("_blk")
-        if not row_count_at_most(qb, 2 * block):
-            raise RuntimeError(f"question block {i} holds more than {2 * block} rows; use more blocks")
-        _topk_block(e, qb, k).write.mode("overwrite").parquet(f"{out}/blk={i}")
-    return spark.read.parquet(out).select("qid", "embedding_id", "article_id", "distance", "rank")
+    n, dim = numbered.agg(F.count(F.lit(1)), F.max(F.size("qvec"))).first()
+    dim = max(dim or 0, 1)
+    block = max(1, min(block, QUESTION_BLOCK_BYTES // (8 * dim)))
+    out = scratch_path(embeddings.sparkSession, "topk-batch")
+    for i in range(max(1, -(-n // block))):
+        qb = numbered.filter((F.col("_no") >= i * block) & (F.col("_no") < (i + 1) * block))
+        _topk_block(e, qb, k, dim).write.mode("overwrite").parquet(f"{out}/blk={i}")
+    return embeddings.sparkSession.read.parquet(out).select("qid", "embedding_id", "article_id", "distance", "rank")
 
 
 # ---- approximate top-k (LSH) -----------------------------------------------------------------

@@ -41,7 +41,7 @@ def _views(s: dict[str, DataFrame], now, current_lsn, max_age) -> dict[str, tupl
                            lambda: fx.activity_locks(s["activity"], s["locks"], s["class"], now=now)),
         "recursive_groups": (("authid", "auth_members"), lambda: ax.recursive_groups(s["authid"], s["auth_members"])),
         "recursive_table_privileges": (("authid", "auth_members", "table_privileges"), lambda: ax.recursive_table_privileges(
-            ax.recursive_groups(s["authid"], s["auth_members"]), s["table_privileges"])),
+            ax.recursive_groups(s["authid"], s["auth_members"], expand=False), s["table_privileges"])),
         "pet_status": (("pets",), lambda: lc.pet_status(s["pets"], now=now)),
     }
 

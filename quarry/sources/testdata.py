@@ -14,7 +14,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.plans.broadcast import bounded_broadcast
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -167,7 +166,7 @@ class TestTables:
                      (F.lit(1000000) + F.col("c_custkey")).alias("member"))
             .unionByName(n.select((F.lit(10) + F.col("n_regionkey")).cast("bigint").alias("roleid"),
                                   (F.lit(100) + F.col("n_nationkey")).cast("bigint").alias("member")))
-            .unionByName(c.join(bounded_broadcast(seg), seg.seg == c.c_mktsegment)
+            .unionByName(c.join(seg, seg.seg == c.c_mktsegment)
                          .select(F.col("oid").alias("roleid"), (F.lit(1000000) + F.col("c_custkey")).alias("member")))
             .unionByName(seg.select(F.lit(10).cast("bigint").alias("roleid"), F.col("oid").alias("member")))
         )
