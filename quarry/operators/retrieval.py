@@ -174,7 +174,7 @@ def _partial_topk(bq, k: int):
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, qids, qmat = bq.value
+        qids, qmat = bq.value
         nq = len(qids)
         if nq == 0:
             return
@@ -244,21 +244,25 @@ def _partial_topk(bq, k: int):
             ids = np.concatenate([ids, np.tile(any_ids, len(bad_q))])
             arts = np.concatenate([arts, np.tile(any_arts, len(bad_q))])
         if len(q):
-            yield pd.DataFrame({"_no": numbers[q], "qid": qids[q], "embedding_id": ids, "article_id": pd.array(list(arts), dtype="Int64"),
+            yield pd.DataFrame({"qid": qids[q], "embedding_id": ids, "article_id": pd.array(list(arts), dtype="Int64"),
                                 "distance": d})
 
     return run
 
 
 def _topk_block(embeddings: DataFrame, block_questions: DataFrame, k: int, dim: int) -> DataFrame:
-    """Exact top-k of one block of numbered questions: broadcast block, per-task numpy top-k,
-    merge per question number."""
-    spark = embeddings.sparkSession
-    pdf = block_questions.toPandas()  # at most ``block`` rows: the numbers are consecutive
-    bq = spark.sparkContext.broadcast((pdf["_no"].to_numpy(dtype=np.int64), pdf["qid"].to_numpy(dtype=np.int64),
-                                       _matrix(pdf["qvec"].to_numpy(), dim)))
-    cand = embeddings.mapInPandas(_partial_topk(bq, k),
-                                  "_no long, qid long, embedding_id long, article_id long, distance double")
+    """Exact top-k of one question block: broadcast block, per-task numpy top-k, merge per question."""
+    sc = embeddings.sparkSession.sparkContext
+    pdf = block_questions.toPandas()  # at most ``block`` rows, cut by consecutive numbers
+    ids = sc.broadcast(pdf["qid"].to_numpy(dtype=np.int64))
+    bq = sc.broadcast((np.arange(len(pdf)), _matrix(pdf["qvec"].to_numpy(), dim)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # the kernel knows questions by their row in the block, as several may share a qid
+        for best in _partial_topk(bq, k)(batches):
+            yield best.rename(columns={"qid": "_no"}).assign(qid=ids.value[best["qid"].to_numpy()])
+
+    cand = embeddings.mapInPandas(run, "_no long, embedding_id long, article_id long, distance double, qid long")
     w = Window.partitionBy("_no").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
     return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("_no")
 

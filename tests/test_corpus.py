@@ -150,3 +150,30 @@ def test_embed_with_a_pluggable_encoder(spark):
     got = {r.id: [round(x, 5) for x in r.embedding] for r in cp.embed_chunks(df, "chunk", 3, encoder=letters).collect()}
     assert got[1] == [round(2 / 5 ** 0.5, 5), round(1 / 5 ** 0.5, 5), 0.0]
     assert got[2] == [0.0, 0.0, 1.0] and got[3] == [0.0, 0.0, 0.0] and got[4] == [0.0, 0.0, 0.0]
+
+
+def test_front_matter_nested_comments_and_content(spark):
+    head = "cover:\n  title: Picture\n  date: 1999-01-01\ntags:\n- title: not this\n# date: nor this\n"
+    df = spark.createDataFrame([
+        ("n.md", f"---\ntitle: Real # the title\nauthor: \"Bob # B\" # quoted\n{head}date: 2024-03-29 # day\n---\nbody"),
+        ("c.md", "---\ntitle: T\nauthor: A#1\ndate: 2024-01-01\ncontent: from the header\n---\nbody")],
+        "path string, text string")
+    parsed = cp.parse_front_matter(df)
+    got = {r.path: (r.headers, r.content) for r in parsed.collect()}
+    assert got["n.md"] == ({"title": "Real", "author": "Bob # B", "cover": None, "tags": None, "date": "2024-03-29"}, "body")
+    assert got["c.md"][0]["author"] == "A#1" and got["c.md"][1] == "from the header"
+    ok, bad = cp.articles(parsed)
+    assert {(r.path, r.title, str(r.publish_date)) for r in ok.collect()} == {
+        ("n.md", "Real", "2024-03-29"), ("c.md", "T", "2024-01-01")}
+    assert bad.count() == 0
+
+
+def test_articles_reject_bad_dates_and_empty_values(spark):
+    df = spark.createDataFrame([("d.md", "---\ntitle: T\nauthor: A\ndate: soon\n---\nx"),
+                                ("e.md", "---\ntitle: T\nauthor:\ndate: 2024-01-01\n---\nx"),
+                                ("q.md", "---\ntitle: T\nauthor: ''\ndate: 2024-01-01\n---\nx"),
+                                ("0.md", None)], "path string, text string")
+    ok, bad = cp.articles(cp.parse_front_matter(df))
+    assert [(r.path, r.author) for r in ok.collect()] == [("q.md", "")]
+    reasons = {r.path: r.reason for r in bad.collect()}
+    assert "date" in reasons["d.md"] and reasons["e.md"].endswith(": author") and set(reasons) == {"d.md", "e.md", "0.md"}

@@ -56,3 +56,13 @@ def test_needs_vacuum_from_relfrozenxid(spark):
                                 "oid long, relname string, relkind string, reltoastrelid long, relfrozenxid long")
     got = [(r.table_name, r.age) for r in needs_vacuum(cls, max_age=1000, current_xid=1100).collect()]
     assert got == [("old", 1000), ("frozen", 2147483647)]
+
+
+def test_integer_arithmetic_beyond_doubles(spark):
+    from quarry.functions.scalar import floor_div
+
+    df = spark.createDataFrame([(9007199254740993, 90071992547409931), (-7, 0), (None, None)], "x long, n long")
+    assert [r[0] for r in df.select(floor_div("x", 1)).collect()] == [9007199254740993, -7, None]
+    assert [r[0] for r in df.select(floor_div("x", 2)).collect()] == [4503599627370496, -4, None]
+    got = [r[0] for r in df.select(round_ratio(F.col("n"), F.lit(100), 0)).collect()]
+    assert got == [900719925474099.0, 0.0, None]

@@ -94,3 +94,11 @@ def test_replay_hot_player_and_initial_state(spark):
     f, m, d, _ = _fold(acts)
     assert got["hot"] == (f, m, d)
     assert got["p0"] == (24, 15, False) and got["p1"] == (9, 9, True)
+
+
+def test_validate_update_keeps_pets_without_an_update(spark):
+    p = pets(spark, [(5, 6, False), (7, 8, False), (1, 2, True)])
+    u = spark.createDataFrame([("p0", None, 30, None), ("p2", None, 9, 9)],
+                              "player string, new_player string, mood int, food int")
+    got = {r.player: (r.food, r.mood, r.accepted, r.reason) for r in lc.pet_validate_update(p, u).collect()}
+    assert got == {"p0": (24, 24, True, None), "p1": (7, 8, None, None), "p2": (1, 2, False, lc.MSG_DEAD)}

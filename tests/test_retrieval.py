@@ -158,3 +158,30 @@ def test_stored_lsh_index_gives_the_same_neighbours_and_prunes(spark):
     assert [tuple(r) for r in stored_df.collect()] == direct
     plan = stored_df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(" in plan or "PushedFilters: [Or" in plan, plan
+
+
+def test_topk_batch_repeated_ids_and_missing_vectors(spark):
+    e = _emb(spark, n=60)
+    v = [list(r.embedding) for r in e.orderBy("embedding_id").limit(3).collect()]
+    qs = spark.createDataFrame([(7, v[0])] * 5 + [(8, v[1]), (9, None), (10, v[2][:4])], "qid long, qvec array<float>")
+    for block in (3, 100):
+        rows = rv.vector_topk_batch(e, qs, k=4, block=block).collect()
+        assert len(rows) == 8 * 4
+        by = {q: sorted((r.rank, r.embedding_id, r.distance) for r in rows if r.qid == q) for q in (7, 8, 9, 10)}
+        single = [r.embedding_id for r in rv.vector_topk(e, v[0], k=4).collect()]
+        assert [i for _, i, _ in by[7]] == [i for i in single for _ in range(5)]
+        assert by[9] == by[10] == [(n + 1, n, None) for n in range(4)]
+    assert rv.vector_topk_batch(e, qs.limit(0), k=4).count() == 0
+
+
+def test_fetch_context_shuffles_neither_table(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        e = _emb(spark, n=50)
+        arts = spark.createDataFrame([(i, f"Title {i}") for i in range(7)], "article_id long, title string")
+        top = rv.rerank_top3(rv.vector_topk(e, list(e.first().embedding)))
+        plan = rv.fetch_context(top, e, arts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and "hashpartitioning(article_id" not in plan.split("Window")[0], plan

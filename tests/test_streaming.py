@@ -188,3 +188,24 @@ def test_append_log_assigns_identity_ids_across_batches(spark):
     # within a batch ids follow (reading_date, location, reading)
     by_batch = spark.read.parquet(sink).groupBy("batch_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).collect()
     assert sorted((r.lo, r.hi) for r in by_batch) == [(1, 100), (101, 200), (201, 300)]
+
+
+def test_auth_audit_follows_grants_revokes_and_overwrites(spark):
+    base = tempfile.mkdtemp(prefix="audit-")
+    src, sink, ckpt, acl = (os.path.join(base, n) for n in ("src", "sink", "ckpt", "acl"))
+
+    def audited(names):
+        spark.createDataFrame([(n,) for n in names], "username string").write.mode("append").parquet(src)
+        req = spark.readStream.schema("username string").parquet(src)
+        sj.start_auth_audit(req, acl, sink, ckpt).awaitTermination()
+        return sorted(tuple(r) for r in sj.read_audit(spark, sink).collect())
+
+    grant = lambda names, mode: spark.createDataFrame([(n,) for n in names], "username string").write.mode(mode).parquet(acl)
+    grant(["alice"], "overwrite")
+    seen = audited(["alice", "carol"])
+    assert seen == [("alice", True), ("carol", False)]
+    grant(["carol"], "append")
+    seen = audited(["carol"])
+    assert seen == [("alice", True), ("carol", False), ("carol", True)]
+    grant(["bob"], "overwrite")
+    assert audited(["alice", "bob"]) == [("alice", False), ("alice", True), ("bob", True), ("carol", False), ("carol", True)]
