@@ -208,12 +208,12 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
     aggregate (``min_by`` / ``max_by``), combined map-side.
 
     Without ``initial`` every player starts with a fresh pet (24, 24, alive).  With it,
-    its rows give the starting counters and players without events keep their row.
+    its rows give the starting counters and players without events keep their row (a NULL
+    player is a player of its own).
 
     ``tick_period`` (e.g. '1 hour') adds the game loop: a tick at every multiple of the
     period after a player's first event (before log events at the same time), and with
-    ``until`` also the loop's ticks after its last event up to that time.  The same
-    schedule as ``start_pet_replay(tick_period=...)``.
+    ``until`` also the loop's ticks after its last event up to that time.
     """
     period = None
     if tick_period is not None:
@@ -231,7 +231,8 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
     if initial is not None:
         init = initial.select("player", F.col("food").alias("_f0"), F.col("mood").alias("_m0"),
                               F.col("is_dead").alias("_dead0"))
-        ev = ev.join(init, "player", "left")
+        init = init.withColumnRenamed("player", "_p0")
+        ev = ev.join(init, ev["player"].eqNullSafe(init["_p0"]), "left").drop("_p0")
     else:
         ev = ev.select("*", F.lit(MAX_LEVEL).alias("_f0"), F.lit(MAX_LEVEL).alias("_m0"), F.lit(False).alias("_dead0"))
     s = running_sum_and_peak(ev, ["player"], ["ts", "seq"], ["_df", "_dm"], num_partitions, with_order=True)
@@ -262,8 +263,11 @@ def pet_replay(events: DataFrame, initial: DataFrame | None = None, num_partitio
         F.when(~dead0 & died, F.col("_death_ts")).alias("death_date"), "_last_ts")
     out = _tail_ticks(out, period, until) if period is not None and until is not None else out.drop("_last_ts")
     if initial is not None:
-        keep = initial.select("player", "food", "mood", "is_dead", "death_date").join(out.select("player"), "player", "left_anti")
-        out = out.join(initial.select("player", F.col("death_date").alias("_dd0")), "player", "left").select(
+        done = out.select(F.col("player").alias("_p1"))
+        keep = initial.select("player", "food", "mood", "is_dead", "death_date")
+        keep = keep.join(done, keep["player"].eqNullSafe(done["_p1"]), "left_anti")
+        died = initial.select(F.col("player").alias("_p1"), F.col("death_date").alias("_dd0"))
+        out = out.join(died, out["player"].eqNullSafe(died["_p1"]), "left").select(
             "player", "food", "mood", "is_dead", F.coalesce("death_date", "_dd0").alias("death_date"))
         out = out.unionByName(keep)
     return out

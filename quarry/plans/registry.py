@@ -632,6 +632,21 @@ def q_write_articles(t):
     return t.spark.read.parquet(out).select("article_id", "path", "author", "title", "content", "publish_date")
 
 
+# imported twice: the second import appends the same articles under ids that go on
+@query("append_articles", W(f"""WITH {_FM_SQL}, arts AS ({_ARTICLES_SQL}),
+twice AS (SELECT n, path, title, publish_date FROM arts, (VALUES (1), (2)) AS imports(n))
+SELECT row_number() OVER (ORDER BY n, path) AS article_id, path, title, publish_date FROM twice""", "in_markdown"))
+def q_append_articles(t):
+    from quarry.session import scratch_path
+    from quarry.sources.corpus import append_articles
+
+    ok, _bad = cp.articles(cp.parse_front_matter(t.in_markdown))
+    out = scratch_path(t.spark, "append-articles")
+    for _ in range(2):
+        append_articles(ok, out)
+    return t.spark.read.parquet(out).select("article_id", "path", "title", "publish_date")
+
+
 @query("write_chunks", _CHUNKS_SQL)
 def q_write_chunks(t):
     from quarry.session import scratch_path
@@ -676,6 +691,18 @@ def q_append_log(t):
     return t.spark.read.parquet(sink).select("id", "location", "reading", "reading_date")
 
 
+# identity-style ids: the whole log arrives without ids
+@query("append_log_ids", W("""SELECT row_number() OVER (ORDER BY reading_date, location, reading) AS id, location, reading, reading_date
+  FROM in_sensor_log""", "in_sensor_log"))
+def q_append_log_ids(t):
+    from quarry.session import scratch_path
+
+    readings = _streamed(t, "events").in_sensor_log.drop("id")
+    sink, ckpt = scratch_path(t.spark, "sensor-log"), scratch_path(t.spark, "sensor-log-ckpt")
+    _run(sj.start_append_log(readings, sink, ckpt))
+    return sj.read_log(t.spark, sink)
+
+
 @query("auth_audit", W(f"""SELECT c_name AS username, c_name IN ({_MEMBERS_SQL} AND NOT u.rolsuper) AS allowed FROM customer""",
                        "in_authid", "in_auth_members"))
 def q_auth_audit(t):

@@ -3,16 +3,11 @@ folders (append) or idempotent ``foreachBatch`` writes keyed by batch id."""
 
 from __future__ import annotations
 
-from typing import Iterator, Tuple
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quarry.functions.scalar import interval_micros
-from quarry.operators.lifecycle import FEED_AMOUNT, MAX_LEVEL, TICK_AMOUNT, TICKS_THAT_MATTER, TRAIN_AMOUNT
+from quarry.operators.lifecycle import MAX_LEVEL, pet_replay
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -138,135 +133,87 @@ def read_embeddings(spark: SparkSession, sink: str) -> DataFrame:
 
 # ---- pet replay --------------------------------------------------------------------------------
 
-PET_STATE = ("food int, mood int, is_dead boolean, death_micros long, last_micros long, last_seq long, late long, "
-             "tick_micros long")
-PET_OUT = "player string, food int, mood int, is_dead boolean, death_micros long, late_events long"
-
-def _scheduled_ticks(points, period: int):
-    """Tick times on the schedule (multiples of ``period``) in each gap (points[j], points[j+1]],
-    at most the ones that can still matter per gap."""
-    out = []
-    for lo, hi in zip(points[:-1], points[1:]):
-        k_lo, k_hi = lo // period + 1, hi // period
-        n = min(max(0, k_hi - k_lo + 1), TICKS_THAT_MATTER)
-        out.extend((k_lo + i) * period for i in range(n))
-    return out
-
-
-def _pet_stepper(period: int | None):
-    """applyInPandasWithState body; ``period`` (microseconds) adds scheduled ticks."""
-
-    def step(key: Tuple[str], pdfs: Iterator[pd.DataFrame], state):
-        """Apply this call's events of one player (in ts, seq order) to its state.
-
-        The counter maps compose in closed form (see ``operators.lifecycle.pet_replay``), so
-        a batch is a cumulative sum and a running maximum in numpy, not a per-event loop.
-        An event ordered before what was already applied (an event or a scheduled tick)
-        arrived too late to be applied in order; it is skipped and counted
-        (``late_events``), so the state always equals the replay of what was applied.
-        With a schedule, ticks at every period boundary are merged in (a tick goes
-        before an event at the same time) up to the later of the newest event and the
-        watermark, and a timer at the next boundary brings the player back when the
-        watermark passes it, whether or not new events arrive.
-        """
-        if state.exists:
-            food, mood, dead, death, last_t, last_s, late, tick_t = state.get
-        else:
-            food, mood, dead, death, last_t, last_s, late, tick_t = MAX_LEVEL, MAX_LEVEL, False, None, None, None, 0, None
-        cols = ["ts_micros", "seq", "action"]
-        frames = [] if state.hasTimedOut else [p[cols] for p in pdfs]
-        ev = pd.concat(frames, ignore_index=True) if frames else pd.DataFrame({c: [] for c in cols})
-        if len(ev):
-            t, q = ev["ts_micros"].to_numpy(), ev["seq"].to_numpy()
-            in_order = np.ones(len(ev), dtype=bool)
-            if last_t is not None:
-                in_order &= (t > last_t) | ((t == last_t) & (q > last_s))
-            if tick_t is not None:
-                in_order &= t >= tick_t
-            late += int((~in_order).sum())
-            ev = ev[in_order].sort_values(["ts_micros", "seq"], kind="mergesort")
-        times = ev["ts_micros"].to_numpy(dtype=np.int64)
-        acts = ev["action"].to_numpy(dtype=object)
-        if len(ev):
-            last_t, last_s = int(times[-1]), int(ev["seq"].iloc[-1])
-        if period is not None:
-            upto = max([state.getCurrentWatermarkMs() * 1000] + ([int(times[-1])] if len(times) else []))
-            start = tick_t if tick_t is not None else (int(times[0]) if len(times) else upto)
-            upto = max(upto, start)
-            ticks = np.array(_scheduled_ticks([start, *times.tolist(), upto], period), dtype=np.int64)
-            # ticks first at equal times: order by (time, 0 = tick / 1 = event)
-            t_all = np.concatenate([ticks, times])
-            kind = np.concatenate([np.zeros(len(ticks), dtype=np.int8), np.ones(len(times), dtype=np.int8)])
-            a_all = np.concatenate([np.full(len(ticks), "tick", dtype=object), acts])
-            order = np.lexsort((kind, t_all))
-            times, acts = t_all[order], a_all[order]
-            tick_t = upto
-        if not dead and len(acts):
-            dfood = np.where(acts == "feed", FEED_AMOUNT, np.where(acts == "tick", -TICK_AMOUNT, 0))
-            dmood = np.where(acts == "train", TRAIN_AMOUNT, np.where(acts == "tick", -TICK_AMOUNT, 0))
-            a, b = np.cumsum(dfood), np.cumsum(dmood)
-            f = a + np.minimum(food, MAX_LEVEL - np.maximum.accumulate(a))
-            m = b + np.minimum(mood, MAX_LEVEL - np.maximum.accumulate(b))
-            dies = np.flatnonzero((acts == "tick") & ((f < 1) | (m < 1)))
-            if len(dies):
-                i = dies[0]
-                food, mood, dead, death = int(f[i]), int(m[i]), True, int(times[i])
-            else:
-                food, mood = int(f[-1]), int(m[-1])
-        state.update((food, mood, dead, death, last_t, last_s, late, tick_t))
-        if period is not None and not dead:
-            # the next boundary after what is applied; fires once the watermark passes it
-            state.setTimeoutTimestamp(-(-((tick_t // period + 1) * period) // 1000))
-        yield pd.DataFrame({"player": [key[0]], "food": [food], "mood": [mood], "is_dead": [dead],
-                            "death_micros": pd.array([death], dtype="Int64"), "late_events": [late]})
-
-    return step
+PET_STATES = ("player string, food int, mood int, is_dead boolean, death_date timestamp_ntz, late_events long, "
+              "last_key decimal(38,0)")
+WHOLE_EVERY = 50  # every so many batches all states are written, so that no read goes back further
+
+
+def _event_key(ts: Column, seq: Column) -> Column:
+    """One number that follows (ts, seq); NULL if either is."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, ts).cast("decimal(18,0)")
+    return (micros * F.lit(str(1 << 64)).cast("decimal(20,0)") + seq.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def _states(spark: SparkSession, sink: str, before: int | None = None) -> DataFrame:
+    """The state of every player after the batches below ``before`` (all batches if None)."""
+    from quarry.session import path_exists
+
+    if not path_exists(spark, sink):
+        return spark.createDataFrame([], PET_STATES)
+    s = spark.read.schema(f"{PET_STATES}, whole int, batch_id long").parquet(sink)
+    if before is not None:
+        s = s.filter(F.col("batch_id") < before)
+    start = s.filter("whole = 1").agg(F.max("batch_id")).first()[0] or 0
+    # one primitive max_by per field (a player has one row per batch id): hash aggregation,
+    # where a struct value would sort every stored version
+    fields = [f.name for f in s.schema][1:-2]
+    return (s.filter(F.col("batch_id") >= start).groupBy("player")
+            .agg(*[F.max_by(c, "batch_id").alias(c) for c in fields]))
+
+
+def _same_player(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
+    b = b.withColumnRenamed("player", "_player")
+    return a.join(b, a["player"].eqNullSafe(b["_player"]), how).drop("_player")
 
 
 def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
-                     interval: str | None = None, watermark: str | None = None,
-                     tick_period: str | None = None) -> StreamingQuery:
-    """Stateful replay of (player, ts, seq, action) events: one state per player.
-
-    Emits the updated state of every player touched by a micro-batch; the sink keeps
-    one folder per batch id (idempotent on retry); ``read_pet_states`` takes the
-    latest per player.  Events of one batch are applied in (ts, seq) order; with
-    ``watermark`` Spark also drops events older than the event-time watermark.
-
-    ``tick_period`` (e.g. '1 hour') is the game loop: every living pet ticks at each
-    multiple of the period (event time, from its first event on), by event-time timers,
-    so pets without new events still starve.  It needs ``watermark``.
+                     interval: str | None = None) -> StreamingQuery:
+    """Replay of a stream of (player, ts, seq, action) events: one state per player.
+
+    Every micro-batch is a batch replay (``operators.lifecycle.pet_replay``) that starts from the
+    states of the batches before it, so a player with a third of the events is spread over many
+    tasks, as there.  The states of the players it touched go to ``sink/whole=0/batch_id=<n>``;
+    every ``WHOLE_EVERY``-th batch writes all states (``whole=1``).  A retried batch reads the
+    same earlier states and replaces its own files.  ``read_pet_states`` takes the latest per player.
+
+    Events of one batch are applied in (ts, seq) order.  An event that is not after what was
+    applied for its player before this batch came too late, and one without a time or number has no
+    place; both are skipped and counted (``late_events``), so the state always equals the replay
+    of what was applied.  A NULL player is a player of its own.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    ev = events.select("player", F.timestamp_diff("MICROSECOND", epoch, F.col("ts")).alias("ts_micros"), "seq", "action")
-    period = None
-    if tick_period is not None:
-        if not watermark:
-            raise ValueError("scheduled ticks need an event-time watermark")
-        period = interval_micros(events.sparkSession, tick_period)
-    if watermark:
-        # event time as an instant with the same microseconds, so watermark and ticks agree in any session zone
-        ev = ev.withColumn("_event_time", F.timestamp_micros("ts_micros")).withWatermark("_event_time", watermark)
-    timeout = "EventTimeTimeout" if period is not None else "NoTimeout"
-    out = ev.groupBy("player").applyInPandasWithState(_pet_stepper(period), PET_OUT, PET_STATE, "update", timeout)
+    ev = events.select("player", "ts", "seq", "action")
 
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        from quarry.session import forget, materialize
 
-    w = out.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("update")
+        spark = batch.sparkSession
+        states = _states(spark, sink, batch_id)
+        last = states.select("player", "last_key")
+        keyed = _same_player(batch.withColumn("_key", _event_key(F.col("ts"), F.col("seq"))), last, "left")
+        on_time = F.coalesce(F.col("_key") > F.col("last_key"), F.col("_key").isNotNull())
+        marked = materialize(keyed.withColumn("_on_time", on_time).drop("last_key"), "pet-events")
+        touched = marked.groupBy("player").agg(F.max(F.when(F.col("_on_time"), F.col("_key"))).alias("_key"),
+                                               F.count_if(~F.col("_on_time")).alias("_late"))
+        prior = materialize(_same_player(touched, states, "left"), "pet-prior")
+        initial = prior.filter("food IS NOT NULL").select("player", "food", "mood", "is_dead", "death_date")
+        after = pet_replay(marked.filter("_on_time").select("player", "ts", "seq", "action"), initial)
+        counts = prior.select("player", (F.coalesce("late_events", F.lit(0)) + F.col("_late")).alias("late_events"),
+                              F.coalesce("_key", "last_key").alias("last_key"))
+        out = _same_player(counts, after, "left").select(
+            "player", F.coalesce("food", F.lit(MAX_LEVEL)).alias("food"), F.coalesce("mood", F.lit(MAX_LEVEL)).alias("mood"),
+            F.coalesce("is_dead", F.lit(False)).alias("is_dead"), "death_date", "late_events", "last_key")
+        whole = int(batch_id % WHOLE_EVERY == 0)
+        if whole:
+            out = out.unionByName(_same_player(states, prior.select("player"), "left_anti"))
+        out.write.mode("overwrite").parquet(f"{sink}/whole={whole}/batch_id={batch_id}")
+        forget(marked, prior)
+
+    w = ev.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
 def read_pet_states(spark: SparkSession, sink: str, with_late: bool = False) -> DataFrame:
     """Current state per player (latest batch); ``late_events`` on request."""
-    s = spark.read.parquet(sink)
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    # one primitive max_by per field (a player has one row per batch id): hash aggregation,
-    # where a struct value would sort every stored version
-    fields = ["food", "mood", "is_dead", "death_micros", "late_events"]
-    last = s.groupBy("player").agg(*[F.max_by(c, "batch_id").alias(c) for c in fields])
-    out = last.select("player", "food", "mood", "is_dead",
-                      F.when(F.col("death_micros").isNotNull(),
-                             F.timestamp_add("MICROSECOND", F.col("death_micros"), epoch)).alias("death_date"),
-                      "late_events")
+    out = _states(spark, sink).drop("last_key")
     return out if with_late else out.drop("late_events")

@@ -110,36 +110,23 @@ def _with_schedule(rows, hours=1):
     return out
 
 
-def test_scheduled_ticks_equal_batch_replay_with_loop_ticks(spark):
-    acts = ["feed", "train", "tick", "feed", "train"]
-    rows = [(f"p{p}", T0 + dt.timedelta(minutes=37 * i + 11 * p), i, acts[(i + p) % 5]) for p in range(5) for i in range(60)]
-    rows += [("idle", T0, 0, "feed"), ("idle", T0 + dt.timedelta(hours=30), 1, "feed")]  # starves in between
-    base = tempfile.mkdtemp(prefix="pet-loop-")
-    src = os.path.join(base, "src")
-    spark.createDataFrame(rows, EV).coalesce(1).write.parquet(src)
-    stream = spark.readStream.schema(EV).parquet(src)
-    # a watermark far behind: no timer fires, every player ticks up to its own last event
-    sj.start_pet_replay(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt"), watermark="3650 days",
-                        tick_period="1 hour").awaitTermination()
-    got = sorted(tuple(r) for r in sj.read_pet_states(spark, os.path.join(base, "sink")).collect())
-    want = sorted(tuple(r) for r in pet_replay(spark.createDataFrame(_with_schedule(rows), EV)).collect())
-    assert got == want
-    assert [r for r in got if r[0] == "idle"][0][3] is True
-
-
-def test_scheduled_ticks_reach_players_without_new_events(spark):
-    base = tempfile.mkdtemp(prefix="pet-timer-")
-    src = os.path.join(base, "src")
-    first = [("quiet", T0, 0, "feed"), ("busy", T0, 1, "feed"), ("busy", T0 + dt.timedelta(hours=48), 2, "feed")]
-    later = [("busy", T0 + dt.timedelta(hours=49), 3, "feed")]
-    spark.createDataFrame(first, EV).coalesce(1).write.mode("append").parquet(src)
-    spark.createDataFrame(later, EV).coalesce(1).write.mode("append").parquet(src)
+def test_pet_stream_spreads_a_hot_player_and_goes_on_from_whole_states(spark, monkeypatch):
+    monkeypatch.setattr(sj, "WHOLE_EVERY", 2)
+    acts = ["tick", "feed", "tick", "train", "tick", "tick"]
+    rows = [("hot" if i % 5 else [None, "a", "b"][i // 5 % 3], T0 + dt.timedelta(minutes=i), i, acts[i * i % 6]) for i in range(400)]
+    base = tempfile.mkdtemp(prefix="pet-hot-")
+    src, sink = os.path.join(base, "src"), os.path.join(base, "sink")
+    for i in range(5):
+        spark.createDataFrame(rows[i * 80:(i + 1) * 80], EV).coalesce(1).write.mode("append").parquet(src)
+    # a player of the first batch alone, and events without a time or a number
+    spark.createDataFrame([("once", None, 1, "feed"), ("once", T0, None, "tick")], EV).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(EV).option("maxFilesPerTrigger", 1).parquet(src)
-    sj.start_pet_replay(stream, os.path.join(base, "sink"), os.path.join(base, "ckpt"), watermark="0 seconds",
-                        tick_period="1 hour").awaitTermination()
-    got = {r.player: r for r in sj.read_pet_states(spark, os.path.join(base, "sink")).collect()}
-    # 'quiet' sent nothing after T0; the timer ticks it once the watermark passes each hour: dead after 24 ticks
-    assert (got["quiet"].is_dead, got["quiet"].food, got["quiet"].death_date) == (True, 0, T0 + dt.timedelta(hours=24))
+    sj.start_pet_replay(stream, sink, os.path.join(base, "ckpt")).awaitTermination()
+    got = {r.player: tuple(r) for r in sj.read_pet_states(spark, sink, with_late=True).collect()}
+    want = {r.player: tuple(r) + (0,) for r in pet_replay(spark.createDataFrame(rows, EV)).collect()}
+    assert got == want | {"once": ("once", 24, 24, False, None, 2)}
+    whole = spark.read.parquet(sink).filter("whole = 1").groupBy("batch_id").count().collect()
+    assert {r.batch_id for r in whole} == {0, 2, 4}
 
 
 def test_batch_game_loop_equals_loop_ticks_in_the_log(spark):
