@@ -6,8 +6,11 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +85,7 @@ def _local_folder(master: str) -> str:
 
 
 _scratch: list[str] = []
+_scopes = threading.local()  # scopes open in this thread
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -94,9 +98,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     fs, jpath = _file_system(spark, path)
     fs.deleteOnExit(jpath)
     _scratch.append(path)
+    for scope in getattr(_scopes, "open", []):
+        scope.append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """On leaving, delete the scratch folders that this thread was handed inside (one micro-batch of a stream)."""
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    own: list[str] = []
+    _scopes.open.append(own)
+    try:
+        yield
+    finally:
+        _scopes.open.pop()
+        for path in own:
+            if path in _scratch:
+                fs, jpath = _file_system(spark, path)
+                fs.delete(jpath, True)
+                _scratch.remove(path)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete every scratch folder this process handed out (their DataFrames cannot be read afterwards)."""
     while _scratch:

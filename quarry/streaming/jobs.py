@@ -45,7 +45,7 @@ def start_append_log(readings: DataFrame, sink: str, checkpoint: str, available_
 
     def write(batch: DataFrame, batch_id: int):
         from quarry.plans.scan import dense_ids
-        from quarry.session import path_exists
+        from quarry.session import path_exists, scratch_scope
 
         spark = batch.sparkSession
         before = 0
@@ -54,9 +54,10 @@ def start_append_log(readings: DataFrame, sink: str, checkpoint: str, available_
             # read fails the batch, as ids would restart otherwise
             before = spark.read.parquet(sink).filter(F.col("batch_id") < batch_id).count()
         rows = batch.select("location", "reading", "reading_date")
-        numbered = dense_ids(rows, ["reading_date", "location", "reading"], start=before + 1, col="id")
-        numbered.select("id", "location", "reading", "reading_date").write.mode("overwrite").parquet(
-            f"{sink}/batch_id={batch_id}")
+        with scratch_scope(spark):
+            numbered = dense_ids(rows, ["reading_date", "location", "reading"], start=before + 1, col="id")
+            numbered.select("id", "location", "reading", "reading_date").write.mode("overwrite").parquet(
+                f"{sink}/batch_id={batch_id}")
 
     w = s.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -185,7 +186,13 @@ def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_no
     ev = events.select("player", "ts", "seq", "action")
 
     def write(batch: DataFrame, batch_id: int):
-        from quarry.session import forget, materialize
+        from quarry.session import scratch_scope
+
+        with scratch_scope(batch.sparkSession):  # a long stream leaves no intermediates behind
+            replay(batch, batch_id)
+
+    def replay(batch: DataFrame, batch_id: int):
+        from quarry.session import materialize
 
         spark = batch.sparkSession
         states = _states(spark, sink, batch_id)
@@ -207,7 +214,6 @@ def start_pet_replay(events: DataFrame, sink: str, checkpoint: str, available_no
         if whole:
             out = out.unionByName(_same_player(states, prior.select("player"), "left_anti"))
         out.write.mode("overwrite").parquet(f"{sink}/whole={whole}/batch_id={batch_id}")
-        forget(marked, prior)
 
     w = ev.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()

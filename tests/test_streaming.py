@@ -111,7 +111,10 @@ def _with_schedule(rows, hours=1):
 
 
 def test_pet_stream_spreads_a_hot_player_and_goes_on_from_whole_states(spark, monkeypatch):
+    from quarry import session
+
     monkeypatch.setattr(sj, "WHOLE_EVERY", 2)
+    scratch = list(session._scratch)
     acts = ["tick", "feed", "tick", "train", "tick", "tick"]
     rows = [("hot" if i % 5 else [None, "a", "b"][i // 5 % 3], T0 + dt.timedelta(minutes=i), i, acts[i * i % 6]) for i in range(400)]
     base = tempfile.mkdtemp(prefix="pet-hot-")
@@ -122,6 +125,7 @@ def test_pet_stream_spreads_a_hot_player_and_goes_on_from_whole_states(spark, mo
     spark.createDataFrame([("once", None, 1, "feed"), ("once", T0, None, "tick")], EV).coalesce(1).write.mode("append").parquet(src)
     stream = spark.readStream.schema(EV).option("maxFilesPerTrigger", 1).parquet(src)
     sj.start_pet_replay(stream, sink, os.path.join(base, "ckpt")).awaitTermination()
+    assert session._scratch == scratch  # every micro-batch removed its intermediates
     got = {r.player: tuple(r) for r in sj.read_pet_states(spark, sink, with_late=True).collect()}
     want = {r.player: tuple(r) + (0,) for r in pet_replay(spark.createDataFrame(rows, EV)).collect()}
     assert got == want | {"once": ("once", 24, 24, False, None, 2)}
