@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import extend_batches, texts_of
+from quarry.llm.common import extend_batches, row_hash, texts_of
 from quarry.llm.components import components
 from quarry.session import materialize
 
@@ -108,6 +108,14 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return stars.select(F.explode("members").alias("u"), F.array_min("members").alias("v")).where("u <> v")
 
 
+def _roots(distinct: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``distinct`` (fingerprints ``fp``) with the ``root`` of their component, and the edges."""
+    edges = materialize(links(distinct.select("fp"), radius).distinct(), "simhash-links")
+    roots = components(edges)
+    labelled = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    return labelled.withColumn("root", F.coalesce("root", "fp")), edges
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text"
                     ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest id reachable), n_links per row of ``docs``.
@@ -118,11 +126,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
     prints = materialize(prints.select("doc_id", "fingerprint"), "simhash")
     distinct = materialize(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first_id")),
                            "simhash-distinct")
-    edges = materialize(links(distinct.select("fp"), radius).distinct(), "simhash-links")
-    roots = components(edges)
+    labelled, edges = _roots(distinct, radius)
     degree = edges.select(F.explode(F.array("u", "v")).alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
-    labelled = (distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-                .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     least = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = labelled.join(least, "root").select("fp", "component_id").join(degree, "fp", "left")
     return (prints.join(materialize(classes, "simhash-classes"), F.col("fingerprint") == F.col("fp"))
@@ -132,22 +137,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """One row of each component: that with the smallest id (of rows with that id, one with the smallest text).
+    """One row of each component: that with the smallest id (of its rows with that id, the one whose text hashes lowest).
 
-    Rows without an id stay only where no row of their component has one.
+    Components are those of texts: rows that share an id, or have none, but are not linked all stay.  Rows
+    without an id stay only where no row of their component has one.
     """
-    same = near_duplicates(docs, shingle, radius, id_col, text_col)
+    # a row is known by its id and 128 bits of its text: rows that agree in them are copies, in one component
+    key = [F.col(id_col).alias("__id"), row_hash(text_col).alias("__h"), F.xxhash64(F.lit(1), text_col).alias("__g")]
+    prints = add_fingerprints(docs.select(*key, F.col(text_col).alias("text")), shingle)
+    prints = materialize(prints.select("__id", "__h", "__g", "fingerprint"), "simhash")
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__h", "__g"))
+    distinct = materialize(prints.groupBy(F.col("fingerprint").alias("fp")).agg(first.alias("first")), "simhash-distinct")
+    labelled, _ = _roots(distinct, radius)
+    keep = materialize(labelled.groupBy("root").agg(F.min("first").alias("first"))
+                       .select("first.__id", "first.__h", "first.__g"), "simhash-kept")
+
+    def rows_of(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        same = left["__id"].eqNullSafe(right["__id"]) & (left["__h"] == right["__h"]) & (left["__g"] == right["__g"])
+        return left.join(right, same, how)
+
     out = [F.struct(F.col(f"`{c}`")).getField(c).alias(c) for c in docs.columns]
-    keep = same.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col("doc_id").alias("__id")).distinct()
-    stay = docs.join(keep, docs[id_col].eqNullSafe(keep["__id"]), "left_semi")
-    # equal ids are rare: only their rows are looked at again
-    twice = materialize(docs.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                        .select("__id"), "repeated-ids")
-    if not twice.head(1):
+    stay = rows_of(docs.select("*", *key), keep, "left_semi")
+    # copies under one id are rare: only their rows are looked at again
+    copies = prints.groupBy("__id", "__h", "__g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    copies = materialize(rows_of(copies, keep, "left_semi"), "repeated-rows")
+    if not copies.head(1):
         return stay.select(*out)
-    single = stay.join(twice, stay[id_col].eqNullSafe(twice["__id"]), "left_anti")
-    again = stay.join(twice, stay[id_col].eqNullSafe(twice["__id"]), "left_semi")
-    again = again.groupBy(id_col).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
-                                               F.coalesce(F.col(text_col), F.lit(""))).alias("__row")).select("__row.*")
+    single = rows_of(stay, copies, "left_anti")
+    again = rows_of(stay, copies, "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = again.groupBy("__id", "__h", "__g").agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
     return single.select(*out).unionByName(again.select(*docs.columns))

@@ -132,6 +132,20 @@ def test_op3_one_row_of_each_component_stays(spark, rows):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(same, key=str)
 
 
+def test_op3_unlinked_rows_without_an_id_or_under_one_id_stay(spark):
+    say = lambda k: " ".join(f"{k}{j}" for j in range(30))
+    rows = [(None, say("a"), "a"), (None, say("b"), "b"), (None, say("c"), "a"), (None, say("c"), "a"), (None, say("d"), "a"),
+            (7, say("d"), "a"), (8, say("e"), "a"), (8, say("f"), "b"), (9, say("f"), "a"), (10, say("g"), "b"),
+            (10, say("g"), "b"), (11, None, "a"), (11, say("h"), "a")]
+    want = Counter([(None, say("a")), (None, say("b")), (None, say("c")), (7, say("d")), (8, say("e")), (8, say("f")),
+                    (10, say("g")), (11, None), (11, say("h"))])
+    prints = {simhash.simhash(t.encode()) for _, t, _ in rows if t}
+    assert all(x == y or bin(x ^ y).count("1") > 2 for x in prints | {0} for y in prints | {0})
+    for order in (rows, rows[::-1]):
+        kept = simhash.drop_near_duplicates(table(spark, order)).collect()
+        assert Counter((r["doc_id"], r["text"]) for r in kept) == want
+
+
 @pytest.mark.parametrize("min_docs", [2, 10])
 def test_op8_lines(spark, rows, min_docs):
     key = lambda x: "".join(c.lower() if c.isascii() else c for c in x.strip(" \t\n\v\f\r"))
