@@ -2,12 +2,13 @@
 
 A text is cut into paragraphs (at newlines) and each paragraph, where it is long, into pieces at spaces
 that its own bytes choose, so an edit moves no cut but those beside it.  Every piece is hashed to 256
-lanes of +1 or -1 (BLAKE2b), and a document's fingerprint is the sum of its pieces' vectors modulo 2^16
-a lane.  Sums commute, so equal multisets of pieces have equal fingerprints in any order, and pieces
+lanes of +1 or -1 (BLAKE2b), and a document's fingerprint is the sum of its pieces' vectors modulo 2^32
+a lane.  A text has fewer than 2^31 bytes, so no lane of one wraps, however often a piece repeats.  Sums commute, so equal multisets of pieces have equal fingerprints in any order, and pieces
 are inserted or deleted by adding or subtracting their vectors without reading the rest.
 
 Lanes read as signed numbers form a tug-of-war sketch: the product of two fingerprints estimates the
-pieces they share, repeats counted, and likeness is twice that over the sum of their own sizes.
+pieces they share, each weighed by the product of its two counts, and likeness is twice that over the
+sum of their own sizes.  In memory a lane is two 16-bit halves, the low one first.
 
 Defined cases: a null text counts as empty; an empty text has one empty piece; equal ids are in
 order of a hash of their texts, null ids are last; a table of one row has itself as its next row.
@@ -48,7 +49,7 @@ def pieces(text: bytes) -> list[bytes]:
 
 
 def vector(parts: Iterable[bytes]) -> np.ndarray:
-    """The sum of the pieces' vectors modulo 2^16, as LANES unsigned numbers."""
+    """The sum of the pieces' vectors modulo 2^32, as LANES pairs of unsigned 16-bit halves."""
     total = np.zeros(LANES, np.int64)
     digests = bytearray()
 
@@ -63,7 +64,15 @@ def vector(parts: Iterable[bytes]) -> np.ndarray:
             add()
     if digests:
         add()
-    return total.astype(np.uint16)  # the low 16 bits: modulo 2^16
+    return _halves(total.astype(np.uint32))  # the low 32 bits: modulo 2^32
+
+
+def _halves(lanes: np.ndarray) -> np.ndarray:
+    return lanes.astype("<u4").view("<u2")
+
+
+def _lanes(print_: np.ndarray) -> np.ndarray:
+    return print_.view("<u4")
 
 
 def fingerprint(text: bytes) -> np.ndarray:
@@ -71,23 +80,23 @@ def fingerprint(text: bytes) -> np.ndarray:
 
 
 def inserted(print_: np.ndarray, parts: Iterable[bytes]) -> np.ndarray:
-    return print_ + vector(parts)
+    return _halves(_lanes(print_) + _lanes(vector(parts)))
 
 
 def deleted(print_: np.ndarray, parts: Iterable[bytes]) -> np.ndarray:
-    return print_ - vector(parts)
+    return _halves(_lanes(print_) - _lanes(vector(parts)))
 
 
 def to_hex(print_: np.ndarray) -> str:
-    return print_.astype(">u2").tobytes().hex()
+    return _lanes(print_).astype(">u4").tobytes().hex()
 
 
 def from_hex(digits: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(digits), ">u2").astype(np.uint16)
+    return _halves(np.frombuffer(bytes.fromhex(digits), ">u4"))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    x, y = a.view(np.int16).astype(np.float64), b.view(np.int16).astype(np.float64)
+    x, y = a.view("<i4").astype(np.float64), b.view("<i4").astype(np.float64)
     size = x @ x + y @ y
     return float(min(1.0, max(0.0, 2.0 * (x @ y) / size))) if size else 1.0
 

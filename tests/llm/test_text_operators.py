@@ -273,6 +273,18 @@ def test_op6_multisets():
     assert multiset_hash.likeness(f(b"x"), f(b"x")) == 1.0 and (f(b"x") != f(b"x\nx")).any()
 
 
+def test_op6_lanes_hold_many_equal_pieces(spark):
+    f, empty = multiset_hash.fingerprint, multiset_hash.fingerprint(b"")
+    assert (f(b"x\n" * 65536) != empty).any()
+    assert (multiset_hash.deleted(f(b"x\n" * 100000), [b"x"] * 99999) == f(b"x\n")).all()
+    assert (multiset_hash.inserted(f(b"x\n" * 50000), [b"x"] * 50000) == f(b"x\n" * 100000)).all()
+    assert multiset_hash.to_hex(f(b"x\n" * 100000)) != multiset_hash.to_hex(f(b"x\n" * 34464))
+    whole = "x\n" * 100000
+    got = {r["doc_id"]: r for r in multiset_hash.edit_likeness(table(spark, [(2, whole, "a"), (1, "", "a")])).collect()}
+    # the last third goes and nothing comes in: counts c and 2c / 3 of one piece, 2 * 2/3 / (1 + 4/9) alike
+    assert abs(got[2]["near_edited"] - 12 / 13) < 1e-3 and got[2]["near_next"] < 0.001
+
+
 def held(i, folds, fold):
     return i is not None and zlib.crc32(str(i).encode()) % folds == fold
 
