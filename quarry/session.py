@@ -143,6 +143,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder on its (Hadoop) file system; a path that is missing raises."""
+    fs, jpath = _file_system(spark, path)
+    return fs.getFileStatus(jpath).isDirectory()
+
+
 def _file_system(spark: SparkSession, path: str):
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath

@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import is_folder
 
 BASE_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -49,11 +50,19 @@ class TestTables:
         # base tables can be replaced, e.g. by a streaming DataFrame over the same files
         self._cache: dict[str, DataFrame] = dict(overrides or {})
 
-    def stream(self, name: str, max_files: int = 1) -> DataFrame:
-        """A base table as a file stream (same schema, files picked up as they appear)."""
-        schema = self.base(name).schema
-        return (self.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-                .option("maxFilesPerTrigger", max_files).parquet(self.sf_dir))
+    def stream(self, name: str, max_files: int | None = None) -> DataFrame:
+        """A base table as a file stream (same schema, files picked up as they appear).
+
+        The table is one file, or a folder of part files.  Part files are in no order of time, so those
+        that are there make one micro-batch, unless ``max_files`` cuts it.
+        """
+        reader = self.spark.readStream.schema(self.base(name).schema)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        path = f"{self.sf_dir}/{name}.parquet"
+        if is_folder(self.spark, path):
+            return reader.parquet(path)
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
 
     def base(self, name: str) -> DataFrame:
         if name not in self._cache:
