@@ -210,3 +210,87 @@ k AS (SELECT t.r, count(g.at) AS n_removed, string_agg(word, ' ' ORDER BY t.at)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (r)
 """
+
+
+@_query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.vector_codes import codebooks_sha256, compress, label_errors
+
+    coded, books = compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return (label_errors(coded).withColumn("codebooks_sha256", F.lit(codebooks_sha256(books)))
+            .select("vec_id", "code", "error", "label_error", "codebooks_sha256"))
+
+
+def _vector_codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """One assignment and one mean a round, as chained common table expressions."""
+    steps = []
+    for i in range(rounds + 1):
+        # doubles hold these whole numbers exactly
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT x.r, x.p, min(((x.xx + c.cc - 2 * list_inner_product(x.x, c.x))::BIGINT) * {entries} + c.e) AS best
+  FROM x JOIN c{i} c ON c.p = x.p GROUP BY x.r, x.p)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS MATERIALIZED (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY pos)::DOUBLE[] AS x FROM (
+    SELECT p, e, pos, sum(v)::BIGINT AS s, count(*) AS n FROM (
+      SELECT x.p, a.best % {entries} AS e, unnest(x.x)::BIGINT AS v, generate_subscripts(x.x, 1) AS pos
+      FROM x JOIN a{i} a ON a.r = x.r AND a.p = x.p) GROUP BY p, e, pos) GROUP BY p, e),
+c{i + 1} AS MATERIALIZED (
+  SELECT p, e, x, list_inner_product(x, x) AS cc FROM (
+    SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.p = c.p AND m.e = c.e))""")
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda y: floor(1024 * y::DOUBLE)) AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+x AS MATERIALIZED (
+  SELECT r, p, w[p * len(w) // {parts} + 1 : (p + 1) * len(w) // {parts}] AS x, list_inner_product(x, x) AS xx
+  FROM (SELECT r, w, unnest(range({parts})) AS p FROM v)),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x, xx AS cc FROM x WHERE r <= {entries}),
+{", ".join(steps)},
+d AS (SELECT r, string_agg(lpad(lower(to_hex(best % {entries})), 2, '0'), '' ORDER BY p) AS code,
+             sum(best // {entries})::BIGINT AS error FROM a{rounds} GROUP BY r),
+h AS (SELECT sha256(string_agg(v::BIGINT::VARCHAR, ',' ORDER BY p, e, pos)) AS codebooks_sha256
+      FROM (SELECT p, e, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM c{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM v JOIN d ON d.r = v.r, h
+"""
+
+
+ORACLE["op13_vector_codes"] = _vector_codes_sql()
+
+
+@_query
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.source_audit import divergence
+
+    return divergence(_documents(spark, sf_dir).select("text", "lang", "source"))
+
+
+ORACLE["op12_source_audit"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(DISTINCT r) AS docs, count(*) AS n FROM t GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (
+  SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(c.n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN l USING (lang)
+  LEFT JOIN (SELECT c.* FROM c JOIN k USING (lang, term)) c USING (lang, source) GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * g.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v) AS q
+  FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(any_value(s.value), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source AS l, y.source AS r, sum(abs(x.p - y.p)) AS value
+             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) s
+    ON s.lang = a.lang AND s.l = a.source AND s.r = b.source GROUP BY ALL),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+      FROM (FROM pair UNION ALL FROM term))
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
+"""
