@@ -294,3 +294,27 @@ r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
       FROM (FROM pair UNION ALL FROM term))
 SELECT * FROM r WHERE part = 'pair' OR rank <= 50
 """
+
+
+@_query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quarry.llm.html_wrappers import extract_main_text
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+#: The given pages mark the article by its element, which SQL can cut out; the operator knows more layouts than that.
+ORACLE["op11_html_text"] = r"""
+WITH a AS (
+  SELECT row_number() OVER () AS r, page_id, url, coalesce(regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1), '') AS inner_html
+  FROM pages),
+b AS (SELECT r, unnest(string_split(regexp_replace(inner_html, '</?(?:p|h[1-6]|div|ul|ol|li|section|blockquote)(?:\s[^>]*)?>', chr(1), 'g'), chr(1))) AS piece,
+             generate_subscripts(string_split(regexp_replace(inner_html, '</?(?:p|h[1-6]|div|ul|ol|li|section|blockquote)(?:\s[^>]*)?>', chr(1), 'g'), chr(1)), 1) AS i
+      FROM a),
+t AS (SELECT r, i, regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(piece, '<br[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g'),
+                 '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#x27;', chr(39)), '&amp;?', '&', 'g') AS piece FROM b),
+k AS (SELECT r, i, trim(regexp_replace(piece, '\s+', ' ', 'g')) AS piece FROM t),
+j AS (SELECT r, string_agg(piece, chr(10) ORDER BY i) FILTER (WHERE piece <> '') AS text FROM k GROUP BY r)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM a LEFT JOIN j USING (r)
+"""

@@ -32,6 +32,7 @@ from quarry.session import forget, materialize
 
 COUNTED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("docs", pa.int64()),
                      ("n", pa.int64())])
+SMALL = 256
 TERM_BYTE = np.array([0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A or c >= 0x80 for c in range(256)])
 LOWER = np.array([c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)], np.uint8)
 
@@ -78,6 +79,12 @@ def sort_terms(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple
         if not len(places):
             break
         pointers = order[places]
+        if len(places) < SMALL:  # few pointers left: compare what is left of their terms at once
+            rest = [data[start[p] + depth:start[p] + length[p]].tobytes() for p in pointers.tolist()]
+            sub = sorted(range(len(places)), key=lambda i: (run[i], rest[i]))
+            order[places] = pointers[sub]
+            head[places[1:]] |= [run[i] != run[j] or rest[i] != rest[j] for j, i in zip(sub, sub[1:])]
+            break
         left = np.maximum(length[pointers] - depth, 0)  # terms that end here have key 0 and sort first
         key = _eight(data, np.minimum(start[pointers] + depth, len(data) - 8), left)
         sub = np.lexsort((key, run))
