@@ -182,13 +182,15 @@ def _pair_sums(block: int):
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         a, b = key[1].as_py(), key[2].as_py()
-        number, p, zero = (table.column(c).to_numpy() for c in ("number", "p", "zero"))
-        terms, column = np.unique(table.column("term").combine_chunks().dictionary_encode().indices.to_numpy(), return_inverse=True)
+        number, zero = table.column("number").to_numpy(), table.column("zero").to_numpy()
         numbers, row = np.unique(number, return_inverse=True)
         base = np.zeros(len(numbers), np.int64)
         base[row] = zero
+        seen = np.flatnonzero(pc.is_valid(table.column("term")).to_numpy())
+        terms, column = np.unique(table.column("term").take(pa.array(seen)).combine_chunks().dictionary_encode().indices.to_numpy(),
+                                  return_inverse=True)
         rates = np.repeat(base[:, None], len(terms), axis=1)
-        rates[row, column] = p
+        rates[row[seen], column] = table.column("p").to_numpy()[seen]
         left, right = numbers // block == a, numbers // block == b
         lefts, rights, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in np.flatnonzero(left):
@@ -235,11 +237,15 @@ def divergence(docs: DataFrame, min_docs: int = 30, smooth: int = 5, scale: int
                 _rate(F.col("lang_n"), F.col("lang_total"), F.col("v"), smooth, scale).alias("q")), "term-rates")
     forget(counts, in_lang, kept)
 
-    # pairs: every row goes to the pairs of its block with each block of the language
+    # pairs: every row goes to the pairs of its block with each block of the language; every bucket has a row without a
+    # term for each of its sources, as one that has none of the bucket's terms has their zero rates
     own = F.floor(F.col("number") / block)
     buckets = F.ceil(F.col("v") * F.lit(2 * block) / F.lit(bucket_cells))
-    dealt = (rated.withColumn("bucket", F.pmod(F.xxhash64("term"), buckets))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    placed = ["lang", "blocks", "bucket", "term", "number", "zero", "p"]
+    present = rated.withColumn("bucket", F.pmod(F.xxhash64("term"), buckets)).select(*placed)
+    groups = (stats.where("v > 0").withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), buckets - 1)))
+              .withColumn("term", F.lit(None).cast("binary")).withColumn("p", F.col("zero")).select(*placed))
+    dealt = (present.unionByName(groups).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("lang", F.least(own, "other").alias("a"), F.greatest(own, "other").alias("b"), "bucket", "term", "number",
                      "zero", "p"))
     sums = (dealt.groupBy("lang", "a", "b", "bucket").applyInArrow(_pair_sums(block), "lang string, l long, r long, value long")

@@ -13,7 +13,7 @@ partitions.
 
 Defined cases: rows whose vector is null, or holds a null, NaN or infinity (1024 x beyond a double counts as one),
 take no part, and neither do vectors whose length is not that of the smallest id's; null ids sort last; a repeated
-id is as many rows; a length that ``parts`` does not divide gives the first parts one component more; an error
+id is as many rows, which start codebooks in the order of their packed bytes; a length that ``parts`` does not divide gives the first parts one component more; an error
 beyond a long is null.  An empty table gives no rows.
 """
 
@@ -110,7 +110,7 @@ class Grid:
         for a, z in bounds:
             b = max(1, min(8, 64 // max(z - a, 1)))
             at = np.arange(1, 1 << b) / (1 << b)
-            cuts.append(np.quantile(start[:, a:z], at, axis=0).T if z > a else np.zeros((0, len(at))))
+            cuts.append(np.quantile(start[:, a:z], at, axis=0).T if z > a and len(start) else np.zeros((0, len(at))))
             bits.append(b)
         return cls(bounds, cuts, bits)
 
@@ -174,7 +174,7 @@ class Codebook:
 
     def __init__(self, entries: list[list[int]]):
         self.entries = entries
-        self.near = np.array(entries, dtype=np.float64).reshape(len(entries), -1)  # for box distances
+        self.near = np.array(entries, dtype=np.float64).reshape(len(entries), len(entries[0]))  # for box distances
         self.most = max((abs(v) for e in entries for v in e), default=0)
 
     def shortlist(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -318,18 +318,18 @@ def compress(vectors: DataFrame, parts: int = 4, entries: int = 256, rounds: int
     whole = slim.mapInArrow(_whole_vectors(factor), f"dim int, vec binary, vec_id {kinds['vec_id']}, label {kinds['label']}")
     index = materialize(whole.withColumn("row", F.monotonically_increasing_id()), "vector-index")
     first = index.orderBy(F.col("vec_id").asc_nulls_last(), "vec").select("dim", "vec").limit(entries).collect()  # at most 256
-    dim = first[0]["dim"] if first else 0
-    start = np.array([_unpack(bytes(r["vec"]), dim) for r in first if r["dim"] == dim]).reshape(-1, dim)
-    if first and len(start) < entries:  # other lengths stood among the smallest ids
+    if not first:
+        none = index.select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error"))
+        return none, [[] for _ in range(parts)]
+    dim = first[0]["dim"]
+    start = np.array([_unpack(bytes(r["vec"]), dim) for r in first if r["dim"] == dim])
+    if len(start) < entries:  # other lengths stood among the smallest ids
         same = index.where(F.col("dim") == dim).orderBy(F.col("vec_id").asc_nulls_last(), "vec").select("vec").limit(entries)
-        start = np.array([_unpack(bytes(r["vec"]), dim) for r in same.collect()]).reshape(-1, dim)
+        start = np.array([_unpack(bytes(r["vec"]), dim) for r in same.collect()])
     sizes = [dim // parts + (1 if p < dim % parts else 0) for p in range(parts)]
     bounds = [(sum(sizes[:p]), sum(sizes[:p + 1])) for p in range(parts)]
     books = [Codebook([[int(v) for v in r[a:z]] for r in start]) for a, z in bounds]
     kept = index.where(F.col("dim") == dim)
-    if not first:
-        empty = kept.select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error"))
-        return empty, [b.entries for b in books]
 
     cut = kept.select("dim", "vec", "row").mapInArrow(_cut(Grid.of(start, bounds)), "part int, key binary, row long, sub binary")
     order = ["part", "key", "row"]
