@@ -549,6 +549,21 @@ def q_vector_topk_lsh(t):
     return _r6(rv.vector_topk_lsh(t.in_embeddings, _question_vector(t)))
 
 
+# the vectors whose id is divisible by 50 ask: their 10 nearest, found over a proximity graph.  The SQL gives the exact
+# answer; the search is approximate, and finds all of it at the sizes where the SQL is compared (recall in the README)
+@query("vector_topk_graph", W("""
+SELECT * FROM (
+  SELECT q.embedding_id AS qid, e.embedding_id, e.article_id,
+         round(list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS distance,
+         CAST(row_number() OVER (PARTITION BY q.embedding_id ORDER BY list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), e.embedding_id) AS INTEGER) AS rank
+    FROM in_embeddings q, in_embeddings e WHERE q.embedding_id % 50 = 0) WHERE rank <= 10""", "in_embeddings"))
+def q_vector_topk_graph(t):
+    from quarry.operators.graph_index import vector_topk_graph
+
+    qs = t.in_embeddings.where("embedding_id % 50 = 0").select(F.col("embedding_id").alias("qid"), F.col("embedding").alias("qvec"))
+    return _r6(vector_topk_graph(t.in_embeddings.select("embedding_id", "article_id", "embedding"), qs)).drop("compared")
+
+
 @query("index_vectors", W(f'WITH {_LSH_SQL} SELECT embedding_id, "table", bucket FROM lsh_buckets', "in_embeddings"))
 def q_index_vectors(t):
     model, v = rv.index_vectors(t.in_embeddings)
