@@ -718,6 +718,22 @@ def q_append_log_ids(t):
     return sj.read_log(t.spark, sink)
 
 
+# the same log written as units: ids come from the manifest, a batch counts once
+@query("append_log_units", ORACLE["append_log_ids"])
+def q_append_log_units(t):
+    from quarry.session import scratch_path
+    from quarry.sources.unit_log import append_unit, read_units
+
+    sink, ckpt = scratch_path(t.spark, "unit-log"), scratch_path(t.spark, "unit-log-ckpt")
+
+    def write(batch, batch_id):
+        append_unit(batch, sink, ["reading_date", "location", "reading"], producer="sensors", batch=batch_id)
+
+    readings = _streamed(t, "events").in_sensor_log.select("location", "reading", "reading_date")
+    _run(readings.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    return read_units(t.spark, sink, readings.schema)
+
+
 @query("auth_audit", W(f"""SELECT c_name AS username, c_name IN ({_MEMBERS_SQL} AND NOT u.rolsuper) AS allowed FROM customer""",
                        "in_authid", "in_auth_members"))
 def q_auth_audit(t):
@@ -745,6 +761,35 @@ def q_embed_incremental(t):
     return sj.read_embeddings(t.spark, sink)
 
 
+# the whole corpus inserted, every 5th chunk revised, every 7th deleted; compaction; every 35th back under a new text
+@query("embed_table", W("WITH edited AS (SELECT chunk_id, article_id, CASE WHEN chunk_id % 35 = 0 THEN 'back ' || coalesce(chunk, '') "
+                         "WHEN chunk_id % 5 = 0 THEN coalesce(chunk, '') || ' revised' ELSE chunk END AS chunk, "
+                         "CASE WHEN chunk_id % 35 = 0 THEN last_updated + INTERVAL 3 DAY WHEN chunk_id % 5 = 0 THEN last_updated + INTERVAL 1 DAY "
+                         "ELSE last_updated END AS last_updated FROM in_chunks WHERE chunk_id % 7 <> 0 OR chunk_id % 35 = 0), "
+                         + embed_sql("edited", ["chunk_id"], "chunk", cp.EMBED_DIM)
+                         + "\nSELECT c.chunk_id, c.article_id, c.last_updated, e.embedding FROM edited c "
+                         "JOIN embedded e USING (chunk_id)", "in_chunks"))
+def q_embed_table(t):
+    from quarry.session import scratch_path
+    from quarry.sources import embedding_table as et
+
+    path = scratch_path(t.spark, "embedding-table")
+    chunk, at = F.coalesce("chunk", F.lit("")), F.col("last_updated")
+    here, gone = F.lit(False), F.lit(True)
+
+    def changes(rows, text, days, deleted):
+        return rows.select("chunk_id", "article_id", text.alias("chunk"), (at + F.expr(f"INTERVAL {days} DAY")).alias("last_updated"),
+                           deleted.alias("deleted"))
+
+    c = t.in_chunks
+    et.apply_changes(changes(c, F.col("chunk"), 0, here), path, 0)
+    et.apply_changes(changes(c.where("chunk_id % 5 = 0"), F.concat(chunk, F.lit(" revised")), 1, here), path, 1)
+    et.apply_changes(changes(c.where("chunk_id % 7 = 0"), F.col("chunk"), 2, gone), path, 2)
+    et.compact(t.spark, path)
+    et.apply_changes(changes(c.where("chunk_id % 35 = 0"), F.concat(F.lit("back "), chunk), 3, here), path, 3)
+    return et.read_embedding_table(t.spark, path)
+
+
 @query("pet_replay_stream", ORACLE["pet_replay"])
 def q_pet_replay_stream(t):
     from quarry.session import scratch_path

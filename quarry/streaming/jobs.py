@@ -125,11 +125,16 @@ def start_embed_incremental(chunks: DataFrame, sink: str, checkpoint: str, dim:
 
 
 def read_embeddings(spark: SparkSession, sink: str) -> DataFrame:
-    """Current embeddings: newest ``last_updated`` (then latest batch) per chunk_id."""
-    e = spark.read.parquet(sink)
-    latest = F.max_by(F.struct("article_id", "last_updated", "embedding"), F.struct("last_updated", "batch_id"))
-    return e.groupBy("chunk_id").agg(latest.alias("_r")).select("chunk_id", "_r.article_id", "_r.last_updated",
-                                                                  "_r.embedding")
+    """Current embeddings: newest ``last_updated`` (then latest batch) per chunk_id.
+
+    The newest version of a chunk is found on two numbers (hash aggregation); only its row
+    then brings its vector along.  Equal versions of a chunk within a batch count once.
+    """
+    e = spark.read.parquet(sink).withColumn("_version", _event_key(F.col("last_updated"), F.col("batch_id")))
+    newest = e.groupBy("chunk_id").agg(F.max("_version").alias("_newest")).withColumnRenamed("chunk_id", "_chunk")
+    same = e["chunk_id"].eqNullSafe(newest["_chunk"]) & e["_version"].eqNullSafe(newest["_newest"])
+    return (e.join(newest, same, "left_semi").dropDuplicates(["chunk_id"])
+            .select("chunk_id", "article_id", "last_updated", "embedding"))
 
 
 # ---- pet replay --------------------------------------------------------------------------------
