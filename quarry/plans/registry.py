@@ -603,6 +603,33 @@ _ARTICLES_SQL = """SELECT path, headers['author'] AS author, headers['title'] AS
        CAST(timezone('UTC', CAST(headers['date'] AS TIMESTAMPTZ)) AS DATE) AS publish_date FROM kv"""
 
 
+# documents under a nested header, read back by typed paths
+@query("parse_front_matter_yaml", """
+SELECT doc_id, source AS author, [lang, 'x: y'] AS langs, CAST(doc_id % 100 AS INTEGER) AS rank, n_chars AS chars, doc_id % 2 = 0 AS draft,
+       DATE '2024-03-29' AS published, 'first line' || chr(10) || '  second of ' || source || chr(10) AS note,
+       'n' || doc_id AS second_tag, sha256('Text' || chr(10) || '> ' || translate(coalesce(text, ''), chr(13) || chr(10), '  ')) AS content_sha256
+  FROM documents""")
+def q_parse_front_matter_yaml(t):
+    from quarry.operators.front_matter import header_get, parse_front_matter_yaml
+
+    body = F.concat(F.lit("> "), F.translate(F.coalesce("text", F.lit("")), "\r\n", "  "))  # one line, so no fence in it
+    lines = ["author: &who", "  name: {source}", "  langs: [{lang}, 'x: y']", "tags:", "- {lang}", "- label: n{doc_id}", "  rank: {rank}",
+             "stats: {chars: {n_chars}, draft: {draft}} # counted", "published: 2024-03-29", "note: |", "  first line", "    second of {source}", "editor: *who"]
+    header = F.lit("\n".join(lines))
+    values = {"source": F.col("source"), "lang": F.col("lang"), "doc_id": F.col("doc_id").cast("string"), "n_chars": F.col("n_chars").cast("string"),
+              "rank": (F.col("doc_id") % 100).cast("string"), "draft": F.when(F.col("doc_id") % 2 == 0, "yes").otherwise("no")}
+    for name, value in values.items():
+        header = F.replace(header, F.lit("{" + name + "}"), value)
+    text = F.concat(F.lit("---\n"), header, F.lit("\n---\nText\n"), body)
+    parsed = parse_front_matter_yaml(t.base("documents").select("doc_id", text.alias("text")))
+    meta = F.col("meta")
+    return parsed.select("doc_id", header_get(meta, "$.editor.name", "string").alias("author"), header_get(meta, "$.author.langs", "array<string>").alias("langs"),
+                         header_get(meta, "$.tags[1].rank", "int").alias("rank"), header_get(meta, "$.stats.chars", "bigint").alias("chars"),
+                         header_get(meta, "$.stats.draft", "boolean").alias("draft"), header_get(meta, "$.published", "date").alias("published"),
+                         header_get(meta, "$.note", "string").alias("note"), header_get(meta, "$.tags[1].label", "string").alias("second_tag"),
+                         F.sha2(F.col("content").cast("binary"), 256).alias("content_sha256"))
+
+
 @query("articles", W(f"WITH {_FM_SQL} {_ARTICLES_SQL}", "in_markdown"))
 def q_articles(t):
     ok, _bad = cp.articles(cp.parse_front_matter(t.in_markdown))
