@@ -242,6 +242,40 @@ def q_recursive_table_privileges(t):
     return ax.recursive_table_privileges(ax.recursive_groups(t.in_authid, t.in_auth_members, expand=False), t.in_table_privileges)
 
 
+# memberships over the parts: runs of ten keys, each a member of the next two; in every third run the last is a member of the first
+_RUNS_SQL = """edges AS (
+  SELECT 'role_' || a.p_partkey AS u, 'role_' || b.p_partkey AS v, a.p_partkey // 10 AS run
+    FROM part a JOIN part b ON b.p_partkey // 10 = a.p_partkey // 10 AND b.p_partkey - a.p_partkey IN (1, 2)
+  UNION ALL SELECT 'role_' || p_partkey, 'role_' || (p_partkey - 9), p_partkey // 10 FROM part WHERE p_partkey % 10 = 9 AND p_partkey // 10 % 3 = 0 AND p_partkey > 9)"""
+
+
+def _run_edges(t: TestTables) -> DataFrame:
+    k = F.col("p_partkey")
+    run = F.floor(k / 10)
+    forward = t.base("part").select(k, F.explode(F.array(k + 1, k + 2)).alias("to")).where((F.floor(F.col("to") / 10) == run))
+    forward = forward.join(t.base("part").select(k.alias("to")), "to").select("p_partkey", "to")
+    back = t.base("part").where((k % 10 == 9) & (run % 3 == 0) & (k > 9)).select(k, (k - 9).alias("to"))
+    return forward.unionByName(back).select(F.concat(F.lit("role_"), k).alias("member_name"), F.concat(F.lit("role_"), F.col("to")).alias("group_name"))
+
+
+@query("role_cycles", f"""WITH RECURSIVE {_RUNS_SQL},
+reach AS (SELECT u, v FROM edges UNION SELECT r.u, e.v FROM reach r JOIN edges e ON e.u = r.v)
+SELECT a.u AS role, min(a.v) AS cycle, count(*) AS size FROM reach a JOIN reach b ON a.u = b.v AND a.v = b.u GROUP BY a.u""")
+def q_role_cycles(t):
+    from quarry.operators.closure import membership_cycles
+
+    return membership_cycles(_run_edges(t))
+
+
+@query("role_closure", f"""WITH RECURSIVE {_RUNS_SQL},
+walks AS (SELECT u, v FROM edges WHERE run % 3 <> 0 OR run = 0 UNION ALL SELECT w.u, e.v FROM walks w JOIN edges e ON e.u = w.v)
+SELECT u AS user_name, v AS group_name, count(*) AS paths FROM walks GROUP BY u, v""")
+def q_role_closure(t):
+    from quarry.operators.closure import membership_closure
+
+    return membership_closure(_run_edges(t))
+
+
 _MEMBERS_SQL = """SELECT u.rolname AS username FROM in_authid g JOIN in_auth_members m ON m.roleid = g.oid
   JOIN in_authid u ON u.oid = m.member WHERE g.rolname = '%s'""" % PROXY_ROLE
 
@@ -827,6 +861,19 @@ def q_pet_replay_stream(t):
     return sj.read_pet_states(t.spark, sink)
 
 
+# the log arrives in three parts that overlap in time; the last one brings events from before all others
+@query("pet_replay_any_order", ORACLE["pet_replay"])
+def q_pet_replay_any_order(t):
+    from quarry.session import scratch_path
+    from quarry.streaming.pet_late import apply_events, read_late_states
+
+    path = scratch_path(t.spark, "pets-any-order")
+    e = t.in_pet_events
+    for n in range(3):
+        apply_events(e.where(F.pmod(F.xxhash64("seq"), F.lit(3)) == n), path, n, lateness="36500 days", fold_every=2)
+    return read_late_states(t.spark, path)
+
+
 # ---------------------------------------------------------------- sources
 @query("scan_snapshot", W("SELECT * FROM in_class", "in_class"))
 def q_scan_snapshot(t):
