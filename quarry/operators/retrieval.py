@@ -6,6 +6,7 @@ Distances are Euclidean (L2), nearest first; ties broken by embedding_id.
 
 from __future__ import annotations
 
+from itertools import chain, groupby
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import l2_distance
+from quarry.session import materialize
 
 # Candidates, references kept and the prompt template.
 TOP_K = 10
@@ -34,10 +36,11 @@ Produce thorough and insightful answers whenever possible, and do not answer any
 <|im_start|>assistant
 """
 
-# Questions per broadcast block in the batched top-k (block x dim floats per task), and the
-# byte bound that shrinks the block for wide vectors.
-QUESTION_BLOCK = 20000
-QUESTION_BLOCK_BYTES = 256 << 20
+# Questions that a task of the batched top-k holds at once, the byte bound that shrinks that for wide
+# vectors, and the rows of a shard of embeddings, which are streamed.
+QUESTION_BLOCK = 4096
+QUESTION_BLOCK_BYTES = 64 << 20
+SHARD_ROWS = 1 << 20
 
 
 def vector_topk(embeddings: DataFrame, query: Sequence[float], k: int = TOP_K) -> DataFrame:
@@ -116,8 +119,12 @@ def retrieve_batch(embeddings: DataFrame, articles: DataFrame, questions: DataFr
     scored = top.withColumn("score", F.count(F.lit(1)).over(Window.partitionBy("qid", "article_id")))
     order = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("distance").asc_nulls_last(), "embedding_id")
     winners = scored.withColumn("ref_no", F.row_number().over(order)).filter(F.col("ref_no") <= keep)
-    ctx = (winners.select("qid", "embedding_id", "article_id", "ref_no")
-           .join(embeddings.select("embedding_id", "article_id", "chunk"), ["embedding_id", "article_id"])
+    # written, so that the size of the winners is known when the chunks are joined: broadcast below Spark's threshold;
+    # above it the chunk rows that no question needs go before their text is shuffled
+    winners = materialize(winners.select("qid", "embedding_id", "article_id", "ref_no"), "winners")
+    chunks = embeddings.select("embedding_id", "article_id", "chunk").join(
+        winners.select("embedding_id", "article_id").distinct(), ["embedding_id", "article_id"], "left_semi")
+    ctx = (winners.join(chunks, ["embedding_id", "article_id"])
            .join(articles.select("article_id", "title"), "article_id"))
     refs = build_references(ctx.select("qid", "ref_no", "title", "chunk"), group_cols=["qid"])
     return build_prompt(refs.join(questions.select("qid", "question"), "qid"), F.col("question")).select(
@@ -250,52 +257,86 @@ def _partial_topk(bq, k: int):
     return run
 
 
-def _topk_block(embeddings: DataFrame, block_questions: DataFrame, k: int, dim: int) -> DataFrame:
-    """Exact top-k of one question block: broadcast block, per-task numpy top-k, merge per question."""
-    sc = embeddings.sparkSession.sparkContext
-    pdf = block_questions.toPandas()  # at most ``block`` rows, cut by consecutive numbers
-    ids = sc.broadcast(pdf["qid"].to_numpy(dtype=np.int64))
-    bq = sc.broadcast((np.arange(len(pdf)), _matrix(pdf["qvec"].to_numpy(), dim)))
+class _Block:
+    """The questions of a task's block, as the kernel reads them."""
+
+    def __init__(self, rows: list, dim: int):
+        self.value = (np.arange(len(rows)), _matrix([r["vector"] for r in rows], dim))
+
+
+def _runs(batches: Iterator[pd.DataFrame]):
+    """Sorted rows of (shard, block, asks) -> ((shard, block), asks, rows), in pieces."""
+    for b in batches:
+        if b.empty:
+            continue
+        keys = b[["_shard", "_block", "_asks"]].to_numpy()
+        cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, len(b)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield (int(keys[lo, 0]), int(keys[lo, 1])), bool(keys[lo, 2]), b.iloc[lo:hi]
+
+
+def _topk_pairs(k: int, dim: int):
+    """One (shard, block) after another: hold the block's questions, stream the shard's vectors past them."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # the kernel knows questions by their row in the block, as several may share a qid
-        for best in _partial_topk(bq, k)(batches):
-            yield best.rename(columns={"qid": "_no"}).assign(qid=ids.value[best["qid"].to_numpy()])
+        for _, pieces in groupby(_runs(batches), key=lambda r: r[0]):
+            asked: list = []
+            first = None
+            for _, asks, rows in pieces:
+                if not asks:
+                    first = rows
+                    break
+                asked += rows[["id", "_h", "_n", "vector"]].to_dict("records")
+            if not asked or first is None:
+                continue
+            stream = chain([first], (rows for _, _, rows in pieces))
+            named = (r.rename(columns={"id": "embedding_id", "vector": "embedding"}) for r in stream)
+            for best in _partial_topk(_Block(asked, dim), k)(named):
+                of = best["qid"].to_numpy()
+                yield best.assign(qid=[asked[i]["id"] for i in of], _h=[asked[i]["_h"] for i in of], _n=[asked[i]["_n"] for i in of])[
+                    ["qid", "_h", "_n", "embedding_id", "article_id", "distance"]]
 
-    cand = embeddings.mapInPandas(run, "_no long, embedding_id long, article_id long, distance double, qid long")
-    w = Window.partitionBy("_no").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("_no")
+    return run
 
 
-def vector_topk_batch(embeddings: DataFrame, questions: DataFrame, k: int = TOP_K,
-                      block: int = QUESTION_BLOCK) -> DataFrame:
+def vector_topk_batch(embeddings: DataFrame, questions: DataFrame, k: int = TOP_K, block: int = QUESTION_BLOCK,
+                      shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Exact k nearest embeddings for every question: (qid, embedding_id, article_id, distance, rank).
 
-    questions(qid, qvec).  The questions are numbered consecutively and run in blocks of
-    ``block`` numbers, or fewer where that many of the widest vector would pass
-    ``QUESTION_BLOCK_BYTES``.  A block is broadcast; each task scans its slice of the
-    embeddings with numpy, keeps k per question and emits block x k rows; a row_number per
-    question merges the partial lists (k x tasks rows per question).  No question x embedding
-    pair table is formed.  Every block, also an only one, is its own job and one pass over the
-    embeddings, writing its top-k to a folder of its own under the shared checkpoint folder
-    (overwritten if run again); the result reads them all, so the plan does not grow with the
-    number of blocks.  Questions that share a qid each get their own k rows.  A NULL question
+    questions(qid, qvec).  Embeddings are dealt into shards of about ``shard_rows`` and questions into blocks of up to
+    ``block`` (fewer where the widest vector would pass ``QUESTION_BLOCK_BYTES``), both by hash; one job brings every
+    block to every shard.  A task holds a block's questions and streams the shard's vectors past them with numpy, keeping k per
+    question; a ``row_number`` per question merges the shards' lists.  Nothing passes
+    through the driver, and no question x embedding pair table is formed.  What is shuffled are the vectors times the number of
+    blocks and the questions times the number of shards, so larger blocks and shards cost memory and save shuffle.
+
+    Questions that share a qid each get their own k rows.  A NULL question
     vector, or one of another width than the widest, has NULL distances: its k smallest ids.
     """
-    from quarry.plans.scan import dense_ids
-    from quarry.session import scratch_path
-
-    qs = questions.select(F.col("qid").cast("bigint").alias("qid"), "qvec", F.xxhash64("qvec").alias("_h"))
-    numbered = dense_ids(qs, ["qid", "_h"], start=0, col="_no").select("_no", "qid", "qvec")
-    e = embeddings.select("embedding_id", "article_id", "embedding")
-    n, dim = numbered.agg(F.count(F.lit(1)), F.max(F.size("qvec"))).first()
+    sc = embeddings.sparkSession.sparkContext
+    # equal questions are asked once and answered as often as they came
+    asked = questions.select(F.col("qid").cast("bigint").alias("id"), F.col("qvec").alias("vector")).groupBy("id", "vector").agg(
+        F.count(F.lit(1)).alias("_n"))
+    n, dim = questions.agg(F.count(F.lit(1)), F.max(F.size("qvec"))).first()
     dim = max(dim or 0, 1)
     block = max(1, min(block, QUESTION_BLOCK_BYTES // (8 * dim)))
-    out = scratch_path(embeddings.sparkSession, "topk-batch")
-    for i in range(max(1, -(-n // block))):
-        qb = numbered.filter((F.col("_no") >= i * block) & (F.col("_no") < (i + 1) * block))
-        _topk_block(e, qb, k, dim).write.mode("overwrite").parquet(f"{out}/blk={i}")
-    return embeddings.sparkSession.read.parquet(out).select("qid", "embedding_id", "article_id", "distance", "rank")
+    shards = max(1, -(-embeddings.count() // shard_rows))
+    blocks = min(max(-(-n // block), -(-2 * sc.defaultParallelism // shards), 1), max(n, 1))
+    wide = F.col("vector").cast("array<double>")
+    e = embeddings.select(F.col("embedding_id").cast("bigint").alias("id"), F.col("article_id").cast("bigint").alias("article_id"),
+                          F.col("embedding").alias("vector"))
+    e = e.withColumn("_shard", F.pmod(F.xxhash64("id", "vector"), F.lit(shards)).cast("int")).select(
+        "_shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"), F.lit(False).alias("_asks"), "id", "article_id",
+        wide.alias("vector"), F.lit(0).cast("bigint").alias("_h"), F.lit(0).cast("bigint").alias("_n"))
+    q = asked.withColumn("_h", F.xxhash64("id", "vector")).select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"), F.pmod("_h", F.lit(blocks)).cast("int").alias("_block"),
+        F.lit(True).alias("_asks"), "id", F.lit(None).cast("bigint").alias("article_id"), wide.alias("vector"), "_h", "_n")
+    dealt = (q.unionByName(e).repartition("_shard", "_block")
+             .sortWithinPartitions("_shard", "_block", F.col("_asks").desc()))
+    found = dealt.mapInPandas(_topk_pairs(k, dim), "qid long, _h long, _n long, embedding_id long, article_id long, distance double")
+    w = Window.partitionBy("qid", "_h").orderBy(F.col("distance").asc_nulls_last(), "embedding_id")
+    best = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return best.select("qid", "embedding_id", "article_id", "distance", "rank", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_i")).drop("_i")
 
 
 # ---- approximate top-k (LSH) -----------------------------------------------------------------
