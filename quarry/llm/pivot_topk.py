@@ -11,8 +11,11 @@ Query rows are sent to every shard of their dimension and stream through it in b
 a query, and those are ranked once more.  Memory is one shard and one block, whatever the number
 of queries.
 
-Defined cases: rows with a null id, or a vector that is null or holds a null, NaN or infinity, take no part; so
-do vectors whose squared norm is above 2^62 (their scores would not fit a long); vectors of different lengths
+Scores are exact whatever the numbers: by the norms of a query and of the shard, its products are taken in doubles that
+hold every partial sum, in 64-bit integers, or in Python's integers.
+
+Defined cases: rows with a null id, or a vector that is null or holds a null, NaN or infinity (1024 x beyond a double
+counts as one), take no part; a score that does not fit a long is left out; vectors of different lengths
 do not compare; rows that share a query's id are its own; of equal query ids the smallest vector asks; equal rows
 are candidates each.
 """
@@ -33,7 +36,7 @@ FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", p
 
 
 def quantized(batches: Iterator[pa.RecordBatch], factor: float = 1024.0) -> Iterator[pa.RecordBatch]:
-    """(vec_id, vector) batches -> dim, vec_id and the integers, packed in 2, 4 or 8 bytes each."""
+    """(vec_id, vector) batches -> dim, vec_id and the integers, packed in 2 or 4 bytes each, or as doubles that hold them."""
     for b in batches:
         ids, lists = b.column(0).cast(pa.int64()).to_pylist(), b.column(1)
         dims, out_ids, packed = [], [], []
@@ -41,11 +44,12 @@ def quantized(batches: Iterator[pa.RecordBatch], factor: float = 1024.0) -> Iter
             v = lists[i]
             if doc is None or not v.is_valid or v.values.null_count:
                 continue
-            x = np.floor(factor * v.values.to_numpy(zero_copy_only=False).astype(np.float64))
-            if not np.isfinite(x).all() or x @ x > 2.0 ** 62:
+            with np.errstate(over="ignore", invalid="ignore"):
+                x = np.floor(factor * v.values.to_numpy(zero_copy_only=False).astype(np.float64))
+            if not np.isfinite(x).all():
                 continue
             most = np.abs(x).max(initial=0.0)
-            kind = "<i2" if most < 1 << 15 else "<i4" if most < 1 << 31 else "<i8"
+            kind = "<i2" if most < 1 << 15 else "<i4" if most < 1 << 31 else "<f8"
             dims.append(len(x))
             out_ids.append(doc)
             packed.append(x.astype(kind).tobytes())
@@ -54,24 +58,36 @@ def quantized(batches: Iterator[pa.RecordBatch], factor: float = 1024.0) -> Iter
 
 
 def unpack(packed: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(packed, f"<i{len(packed) // dim}" if dim else "<i8").astype(np.int64)
+    kind = {2: "<i2", 4: "<i4", 8: "<f8"}[len(packed) // dim] if dim else "<f8"
+    return np.frombuffer(packed, kind).astype(np.float64)
+
+
+def exact_products(rows: np.ndarray, query: np.ndarray, reach: float) -> list[int] | np.ndarray:
+    """Inner products of whole numbers held as doubles; ``reach`` bounds their size and that of every partial sum."""
+    if reach < 2.0 ** 52:
+        return (rows @ query).astype(np.int64)
+    most = max(float(np.abs(query).max(initial=0.0)), float(np.abs(rows).max(initial=0.0)))
+    if reach < 2.0 ** 61 and most < 2.0 ** 62:
+        return rows.astype(np.int64) @ query.astype(np.int64)
+    whole = [int(v) for v in query]
+    return np.array([sum(int(a) * b for a, b in zip(r, whole)) for r in rows], object)
 
 
 class Shard:
-    """Rows of one shard and their pivot table."""
+    """Rows of one shard and their pivot table; vectors are whole numbers held as doubles."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: int):
         order = np.argsort(ids, kind="stable")
-        self.ids, x = ids[order], vectors[order]
-        self.norm = (x * x).sum(axis=1)  # at most 2^62
-        self.exact = bool(self.norm.max(initial=0) < 1 << 51)  # then float64 products are exact
-        self.x = x.astype(np.float64) if self.exact else x
-        self.far = self._choose(x, pivots)
-        self.table = self._distances(x.astype(np.float64), self.norm.astype(np.float64))
+        self.ids, self.x = ids[order], vectors[order]
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.norm = (self.x * self.x).sum(axis=1)  # rounded: they bound, they do not score
+            self.longest = float(np.sqrt(self.norm.max(initial=0.0))) * (1 + 1e-9)
+            self.far = self._choose(self.x, pivots)
+            self.table = self._distances(self.x, self.norm)
 
     def _choose(self, x: np.ndarray, pivots: int) -> np.ndarray:
         """Farthest-first among at most 2,048 rows evenly spread over the shard."""
-        pool = x[np.unique(np.linspace(0, len(x) - 1, min(len(x), 2048)).astype(np.int64))].astype(np.float64)
+        pool = x[np.unique(np.linspace(0, len(x) - 1, min(len(x), 2048)).astype(np.int64))]
         chosen = [0]
         gap = ((pool - pool[0]) ** 2).sum(axis=1)
         while len(chosen) < pivots and gap.max() > 0:
@@ -85,27 +101,33 @@ class Shard:
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int, block: int = 256) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query id, ids, scores) of each query's k best rows here, best first."""
-        norms = (queries * queries).sum(axis=1)
-        to_pivots = self._distances(queries.astype(np.float64), norms.astype(np.float64))
+        with np.errstate(over="ignore", invalid="ignore"):
+            norms = (queries * queries).sum(axis=1)
+            to_pivots = self._distances(queries, norms)
         for query_id, q, norm, near in zip(ids.tolist(), queries, norms.tolist(), to_pivots):
-            low = np.abs(self.table - near).max(axis=1)
-            size = norm + self.norm.astype(np.float64)
-            # distances are rounded: their squares are off by far less than this part of the norms
-            bound = (size - low * low) / 2 + 1e-6 * size + 1e-3
+            with np.errstate(over="ignore", invalid="ignore"):
+                low = np.abs(self.table - near).max(axis=1)
+                size = norm + self.norm
+                # distances are rounded: their squares are off by far less than this part of the norms
+                bound = (size - low * low) / 2 + 1e-6 * size + 1e-3
+            bound[np.isnan(bound)] = np.inf  # beyond doubles nothing is known: evaluate
             bound[self.ids == query_id] = -np.inf
+            reach = float(np.sqrt(norm)) * (1 + 1e-9) * self.longest  # no partial sum is larger
             best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            left = np.arange(len(bound))
-            left = left[np.isfinite(bound)]
-            q = q.astype(np.float64) if self.exact else q
+            left = np.flatnonzero(bound > -np.inf)
             while len(left):
                 if len(left) > block:  # the rows with the highest bounds left
                     part = np.argpartition(-bound[left], block)
                     now, left = left[part[:block]], left[part[block:]]
                 else:
                     now, left = left, left[:0]
-                scores = (self.x[now] @ q).astype(np.int64)
+                scores = exact_products(self.x[now], q, reach)
+                if scores.dtype == object:
+                    fits = np.array([-(1 << 63) <= v < 1 << 63 for v in scores], bool)
+                    now, scores = now[fits], np.array([int(v) for v in scores[fits]], np.int64)
                 best_ids, best = np.r_[best_ids, self.ids[now]], np.r_[best, scores]
-                top = np.lexsort((best_ids, -best))[:k]
+                # -1 - score orders like -score, and has no overflow
+                top = np.lexsort((best_ids, -1 - best))[:k]
                 best_ids, best = best_ids[top], best[top]
                 if len(best) == k:
                     left = left[bound[left] >= best[-1]]
