@@ -226,34 +226,54 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", train: Column | None = None, per_class: int = 4000,
-        lexicon_size: int = 5000, min_docs: int = 3, windows: int = 20_000, cut: float = 0.3) -> Tagger | None:
-    """A tagger from ``docs`` (doc_id, text) and ``labels`` (doc_id, label); ``train`` picks label rows."""
+        lexicon_size: int = 5000, min_docs: int = 3, windows: int = 20_000, per_text: int = 8, cut: float = 0.3) -> Tagger | None:
+    """A tagger from ``docs`` (doc_id, text) and ``labels`` (doc_id, label); ``train`` picks label rows.
+
+    Learned from at most ``per_class`` labelled ids of each kind (by the hash of the id); repeated ids bring at most
+    4 x ``per_class`` texts to the field.  Of a text the field sees up to ``per_text`` windows of its classed words and one
+    without, of all texts ``windows``, both picked by hash over their whole length.  The lexicon is learned from one half
+    of the texts and the field from the other; with a kind missing in a half both learn from all.  None, which scores 0
+    everywhere, where a kind of label is missing, or the toxic texts hold no word that tells them apart.
+    """
     some = sample_labels(labels, label_col, F.lit(True) if train is None else train, per_class)
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")  # 2 x per_class ids
     rows = rows.withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)))
     rows = materialize(rows, "toxic-sample")
     sizes = {(r["half"], r["label"]): r["n"] for r in rows.groupBy("half", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 4:
+    if {label for _, label in sizes} != {0, 1}:
         return None
-    n1, n0 = sizes[0, 1], sizes[0, 0]
+    split = len(sizes) == 4
+    n1, n0 = (sizes[0, label] if split else sum(n for (_, own), n in sizes.items() if own == label) for label in (1, 0))
     odds = (F.log((F.col("toxic") + 0.5) / (n1 + 1 - F.col("toxic"))) - F.log((F.col("clean") + 0.5) / (n0 + 1 - F.col("clean"))))
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    counted = (_word_counts(rows.where("half = 0")).where(F.col("toxic") >= min_docs)
+    counted = (_word_counts(rows.where("half = 0") if split else rows).where(F.col("toxic") >= min_docs)
                .withColumn("bound", odds - spread).where("bound > 0.5")
                .orderBy(F.col("bound").desc(), "word").limit(lexicon_size).collect())
     lexicon = {bytes(r["word"]): 1 + min(CLASSES - 2, int((r["bound"] - 0.5) / 0.6)) for r in counted}
-    found = _fit_rows(rows.where("half = 1"), lexicon)
+    found = _fit_rows(rows.where("half = 1") if split else rows, lexicon)
     sample = found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(4 * per_class).toPandas()
-    tables = [_windows(np.array(c, np.int64), np.array(g, np.int64), n, y)
-              for c, g, n, y in zip(sample["classes"], sample["at"], sample["n_words"], sample["label"])]
-    table = np.concatenate([t for t in tables if len(t)])[:windows]
+    tables = [t for c, g, n, y in zip(sample["classes"], sample["at"], sample["n_words"], sample["label"])
+              if len(t := _windows(np.array(c, np.int64), np.array(g, np.int64), n, y, per_text))]
+    if not tables:
+        return None
+    table = np.concatenate(tables)
+    table = table[np.argsort(_mixed(np.arange(len(table))), kind="stable")[:windows]]
     classes, tags = table[:, 0], table[:, 1]
+    if not tags.any():
+        return None
     field = fit_field(classes, tags, np.ones(len(classes)))
     marks = [field.marginals(_spread(c, g, n))[1] for c, g, n in zip(sample["classes"], sample["at"], sample["n_words"])]
     x = np.stack([aggregate(p) for p in marks])
     return Tagger(lexicon, field, _fit_logistic(x, sample["label"].to_numpy().astype(float), cut), cut)
 
 
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """A fixed scrambling of numbers, to pick some of them as if by lot."""
+    h = numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h * np.uint64(0xBF58476D1CE4E5B9)
+
+
 def _fit_rows(rows: DataFrame, lexicon: dict[bytes, int]) -> DataFrame:
     """doc_id, label, n_words, and class and position of each classed word."""
     def make():
@@ -279,18 +299,27 @@ def _spread(classes, at, n: int) -> np.ndarray:
     return out
 
 
-def _windows(classes: np.ndarray, at: np.ndarray, n: int, label: int) -> np.ndarray:
-    """(windows, 2, length): classes (-1 pads) and tags of up to 8 disjoint windows and one from the start."""
+def _windows(classes: np.ndarray, at: np.ndarray, n: int, label: int, per_text: int = 8) -> np.ndarray:
+    """(windows, 2, length): classes (-1 pads) and tags of up to ``per_text`` disjoint windows and one more.
+
+    Windows around classed words are found over the whole text and picked by a hash of their place; the one more
+    starts at a hashed place, unless that lies in one of them.
+    """
     length = 2 * WINDOW + 1
     full = _spread(classes, at, n)
     tags = (full > 0) & (label == 1)
     starts, upto = [], 0
     for a in at.tolist():
-        if a >= upto and len(starts) < 8:
+        if a >= upto:
             starts.append(max(0, a - WINDOW))
             upto = starts[-1] + length
-    if n and (not starts or starts[0] >= length):
-        starts.append(0)
+    if len(starts) > per_text:
+        order = np.argsort(_mixed(np.array(starts) + 977 * n), kind="stable")[:per_text]
+        starts = sorted(starts[i] for i in order)
+    if n:
+        anywhere = int(_mixed(np.array([n]))[0] % np.uint64(max(1, n - length + 1)))
+        if all(abs(anywhere - s) >= length for s in starts):
+            starts.append(anywhere)
     out = np.full((len(starts), 2, length), 0, np.int64)
     out[:, 0] = -1
     for i, s in enumerate(starts):

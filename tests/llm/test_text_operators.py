@@ -343,6 +343,77 @@ def test_op9_forward_backward_equals_enumeration():
         assert np.allclose(p, (weight[:, 1] / weight.sum(axis=1))[at])
 
 
+def test_op9_gradient_is_that_of_the_enumerated_likelihood():
+    """At the fitted field the seen counts equal those expected over all paths (the ridge aside)."""
+    import itertools
+
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    classes = r.integers(0, toxicity.CLASSES, (12, 5))
+    classes[3, 3:] = -1  # a short one
+    tags = ((classes > 2) & (r.random(classes.shape) < 0.8) & (classes >= 0)).astype(int)
+    field = toxicity.fit_field(classes, tags, np.ones(len(classes)), steps=3000, rate=0.05, ridge=1e-3)
+
+    def counts(row, path):
+        out = np.zeros(toxicity.CLASSES + 6)
+        for c, t in zip(row, path):
+            out[c] += t
+        for a, b in zip(path, path[1:]):
+            out[toxicity.CLASSES + 2 * a + b] += 1
+        out[toxicity.CLASSES + 4 + path[0]] += 1
+        return out
+
+    theta = np.r_[field.emission, field.move.ravel(), field.start]
+    gradient = np.zeros_like(theta)
+    for row, own in zip(classes, tags):
+        row = row[row >= 0]
+        every = [counts(row, path) for path in itertools.product((0, 1), repeat=len(row))]
+        weight = np.exp([c @ theta for c in every])
+        gradient += counts(row, own[:len(row)]) - (weight[:, None] * every).sum(axis=0) / weight.sum()
+    assert np.abs(gradient / len(classes) - 1e-3 * theta).max() < 2e-3
+
+
+LABELLED = "doc_id long, text string, lang string"
+
+
+def tagger_of(spark, texts, toxic, **options):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], LABELLED).withColumn("score", F.lit("x")).withColumn("label", F.lit(2))
+    labels = spark.createDataFrame([(i, y) for i, y in enumerate(toxic)], "doc_id long, toxic int")
+    tagger = toxicity.fit(docs, labels, **options)
+    scored = toxicity.tag_documents(docs, tagger).collect()
+    assert all(0 <= r["score"] <= 1 for r in scored) and len(scored) == len(texts)
+    return tagger, [r["score"] for r in scored]
+
+
+def test_op9_labels_that_teach_nothing(spark):
+    clean = [f"some plain words {i}" for i in range(40)]
+    for texts, toxic in (([None, ""] * 20, [0, 1] * 20), (clean, [0] * 40), ([], []), (clean, [int(i % 2) for i in range(40)]), (["a", None], [1, 0])):
+        tagger, scores = tagger_of(spark, texts, toxic)
+        assert tagger is None and not any(scores)
+
+
+def test_op9_few_labels_use_all_texts(spark):
+    # four toxic texts that share words, among many clean ones: a half may lack a kind
+    for n in range(3):
+        texts = ["you vile rotten fool again"] * (3 + n) + [f"a kind and quiet note {i}" for i in range(60)] + [None, ""]
+        tagger, scores = tagger_of(spark, texts, [1] * (3 + n) + [0] * 62, min_docs=1)
+        assert tagger is not None and min(scores[:3 + n]) > max(scores[3 + n:])
+
+
+def test_op9_windows_come_from_the_whole_text():
+    import numpy as np
+
+    at = np.arange(0, 100_000, 50)
+    table = toxicity._windows(np.ones(len(at), np.int64), at, 100_000, 1, per_text=40)
+    assert len(table) in (40, 41) and table.shape[1:] == (2, 2 * toxicity.WINDOW + 1)
+    late = np.arange(90_000, 90_100)
+    table = toxicity._windows(np.full(100, 2), late, 100_000, 1)
+    assert (table[:, 0] == 2).sum() and len(table) <= 9
+    assert len(toxicity._windows(np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0)) == 0
+    assert len(toxicity._windows(np.zeros(0, np.int64), np.zeros(0, np.int64), 3, 0)) == 1
+
+
 def test_op9_offsets():
     import numpy as np
 
