@@ -3,7 +3,7 @@
 Each source gets a target number of words: weights are shared out by water filling, no
 target above ``max_copies`` times its source.  A source whose target is r times its size
 takes floor(r) whole copies of every document; the remainder is a Pareto sample: every
-document draws a fixed uniform u and is ranked by its random odds u/(1-u) over its
+document draws a fixed uniform u (from its id and text) and is ranked by its random odds u/(1-u) over its
 inclusion odds (those of the fraction still needed, times the document's own weight), and
 the lowest ranks are taken until the words reach the target.
 
@@ -13,9 +13,12 @@ that bin in order; the sums combine before their shuffle, so a source with a thi
 rows costs no more than another.  The cut is one number per source, so documents are
 joined to a table of one row per source and are not shuffled.
 
+Rows that agree in id and text draw equally.  Where the cut falls among such rows, as many of them are taken as bring
+the words nearest to the target: those rows alone are written with a number each, and the cut among them is found
+on a hash of it in the same way, so any number of equal rows is parted.
+
 Defined cases: a null text has size 0; a null source is a source of its own, last in order;
-a null id draws as an id of its own; equal rows draw equally and are taken or left
-together; a source of size 0 has target 0; an empty table gives an empty mix.
+a null id draws as an id of its own, with its text; a source of size 0 has target 0; an empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -33,10 +36,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _uniform(doc_id: Column, seed: int) -> Column:
-    """52 bits of the id's MD5 as a number in (0, 1); the same in every run and on every executor."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null"))).cast("binary"))
-    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+def _unit(text: Column) -> Column:
+    """52 bits of a text's MD5 as a number in (0, 1); the same in every run and on every executor."""
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+
+
+def _uniform(doc_id: Column, text: Column, seed: int) -> Column:
+    own = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return _unit(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), own))
 
 
 def source_targets(sized: DataFrame, weights: tuple[float, ...], share: float, max_copies: float) -> DataFrame:
@@ -88,48 +95,80 @@ def _same_source(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.join(b, a["source"].eqNullSafe(b["__source"])).drop("__source")
 
 
-def plan_mix(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_copies: float = 2
-             ) -> DataFrame:
-    """One row per source: its targets and ``cut``; a document joins the sample if its rank is below it.
+def _cut(rows: DataFrame, needs: DataFrame, name: str) -> DataFrame:
+    """source, v, words, before: the rank at which each source's running words reach its need.
 
-    ``sized`` holds source, size, u and weight per document and is read a few times.  The
-    document at the cut is taken if that brings the words nearer to the target.
+    ``rows`` holds source, v in [0, 1] and size; ``words`` are those of all rows of that rank, ``before`` those below it.
     """
-    targets = materialize(source_targets(sized, weights, share, max_copies), "mix-targets")
-    asked = targets.where(F.col("need") > 0).select("source", "fraction", "need")
     fine = F.least(F.floor(F.col("v") * float(1 << 2 * BINS)), F.lit((1 << 2 * BINS) - 1))
-    ranked = (_same_source(sized, asked).withColumn("v", _rank(F.col("u"), F.col("fraction"), F.col("weight")))
-              .withColumn("fine", fine).withColumn("coarse", F.shiftright("fine", BINS)))
-
-    coarse = ranked.groupBy("source", "need", "coarse").agg(F.sum("size").alias("words"))
+    ranked = rows.select("source", "v", "size", fine.alias("fine"), F.shiftright(fine, BINS).alias("coarse"))
+    binned = _same_source(ranked, needs.select("source", "need"))
+    coarse = binned.groupBy("source", "need", "coarse").agg(F.sum("size").alias("words"))
     first = materialize(_same_source(_first_reaching(coarse, "coarse").withColumnRenamed("coarse", "at"),
-                                     asked.select("source", "need")), "mix-coarse")
-    inner = _same_source(ranked.drop("need"), first.select("source", "at", (F.col("need") - F.col("before")).alias("need"))
+                                     needs.select("source", "need")), f"{name}-coarse")
+    inner = _same_source(ranked, first.select("source", "at", (F.col("need") - F.col("before")).alias("need"))
                          ).where(F.col("coarse") == F.col("at"))
     bins = inner.groupBy("source", "need", "fine").agg(F.sum("size").alias("words"))
-    needs = first.select("source", (F.col("need") - F.col("before")).alias("need"))
-    second = materialize(_same_source(_first_reaching(bins, "fine").withColumnRenamed("fine", "at"), needs), "mix-fine")
-    last = _same_source(ranked.drop("need"), second.select("source", "at", (F.col("need") - F.col("before")).alias("need"))
-                        ).where(F.col("fine") == F.col("at")).where(F.col("size") > 0)
-    w = Window.partitionBy("source").orderBy("v")
-    edge = (F.col("fine") + 1) / float(1 << 2 * BINS)
-    # rows of equal rank count as one, for a cut cannot part them
-    last = last.groupBy("source", "need", "fine", "v").agg(F.sum("size").alias("words"))
-    last = (last.withColumn("upto", F.sum("words").over(w)).withColumn("next", F.coalesce(F.lead("v").over(w), edge))
-            .where(F.col("upto") >= F.col("need"))
-            .withColumn("cut", F.when(F.col("upto") - F.col("need") <= F.col("need") - F.col("upto") + F.col("words"),
-                                      F.col("next")).otherwise(F.col("v"))))
-    cuts = (last.groupBy("source").agg(F.min(F.struct("v", "cut")).alias("m"))
-            .select(F.col("source").alias("__cut_source"), F.col("m.cut").alias("cut")))
+    left = first.select("source", (F.col("need") - F.col("before")).alias("need"), F.col("before").alias("below"))
+    second = materialize(_same_source(_first_reaching(bins, "fine").withColumnRenamed("fine", "at"), left), f"{name}-fine")
+    last = _same_source(ranked, second.select("source", "at", (F.col("need") - F.col("before")).alias("need"),
+                                              (F.col("below") + F.col("before")).alias("below"))
+                        ).where((F.col("fine") == F.col("at")) & (F.col("size") > 0))
+    last = last.groupBy("source", "need", "below", "v").agg(F.sum("size").alias("words"))  # equal ranks as one
+    upto = F.sum("words").over(Window.partitionBy("source").orderBy("v"))
+    found = (last.withColumn("upto", upto).where(F.col("upto") >= F.col("need")).groupBy("source")
+             .agg(F.min(F.struct("v", "words", (F.col("below") + F.col("upto") - F.col("words")).alias("before"))).alias("m")))
+    return found.select("source", "m.v", "m.words", "m.before")
+
+
+def plan_mix(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_copies: float = 2
+             ) -> DataFrame:
+    """One row per source: its targets, ``cut`` and ``ties``; a document joins the sample if its rank is below the cut.
+
+    ``sized`` holds source, size, u and weight per document and is read a few times.  Of the rows at the cut, which
+    agree in id and text, ``ties`` join: as many as bring the words nearest to the target.
+    """
+    targets = materialize(source_targets(sized, weights, share, max_copies), "mix-targets")
+    asked = targets.where(F.col("need") > 0).select("source", "fraction", "need")
+    ranked = _same_source(sized, asked).select("source", "size", _rank(F.col("u"), F.col("fraction"), F.col("weight")).alias("v"))
+    cuts = materialize(_cut(ranked, asked, "mix"), "mix-cuts")
+    # rows of one rank have one text, hence one size
+    sizes = (_same_source(ranked, cuts.select("source", F.col("v").alias("cut"))).where((F.col("v") == F.col("cut")) & (F.col("size") > 0))
+             .groupBy("source").agg(F.max("size").alias("each"), F.count(F.lit(1)).alias("rows")))
+    cuts = _same_source(cuts.withColumnRenamed("v", "cut"), sizes)
+    cuts = cuts.select(F.col("source").alias("__cut_source"), "cut", "before", "each", "rows")
     joined = targets.join(cuts, targets["source"].eqNullSafe(cuts["__cut_source"]), "left")
     # a target that rounding leaves a hair above all words of its source has no row that reaches it
     cut = F.when(F.col("need") > 0, F.coalesce("cut", F.lit(1.0))).otherwise(F.lit(0.0))
-    return materialize(joined.select("source", "source_size", "target", "copies", "fraction", cut.alias("cut")), "mix-plan")
-
-
-def _copies(u: Column, weight: Column) -> Column:
-    taken = _rank(u, F.col("fraction"), weight) < F.col("cut")
-    return (F.col("copies") + taken.cast("long")).cast("long")
+    nearest = F.floor((F.col("need") - F.col("before")) / F.col("each") + 0.5)
+    ties = F.when(F.col("need") > 0, F.least(nearest, F.col("rows")))
+    return materialize(joined.select("source", "source_size", "target", "copies", "fraction", cut.alias("cut"),
+                                     F.coalesce(ties, F.lit(0)).cast("long").alias("ties"), F.coalesce("rows", F.lit(0)).alias("rows")), "mix-plan")
+
+
+def _take(planned: DataFrame, u: Column, weight: Column, size: Column) -> DataFrame:
+    """``planned`` (rows beside their source's plan in ``__mix``) with ``__take``: how often each row is taken."""
+    rank = _rank(u, F.col("__mix.fraction"), weight)
+    at_cut = (rank == F.col("__mix.cut")) & (size > 0)
+    parted = at_cut & (F.col("__mix.ties") > 0) & (F.col("__mix.ties") < F.col("__mix.rows"))
+    rows = planned.withColumn("__rank", rank).withColumn("__parted", F.coalesce(parted, F.lit(False)))
+    joins = (F.col("__rank") < F.col("__mix.cut")) | (at_cut & (F.col("__mix.ties") > 0))
+    whole = rows.where("NOT __parted").withColumn("__take", (F.col("__mix.copies") + joins.cast("long")).cast("long"))
+    # equal rows that the cut parts: numbered once they are written, the first by a hash of the number join
+    ties = materialize(rows.where("__parted").withColumn("__row", F.monotonically_increasing_id()), "mix-ties")
+    lot = ties.select(F.col("__mix.source").alias("source"), F.col("__mix.ties").alias("need"),
+                      _unit(F.col("__row").cast("string")).alias("v"), F.lit(1).cast("long").alias("size"))
+    last = materialize(_cut(lot, lot.select("source", "need").distinct(), "mix-ties"), "mix-tie-cuts")
+    last = last.select(F.col("source").alias("__cut_source"), F.col("v").alias("__last"))
+    chosen = ties.join(last, F.col("__mix.source").eqNullSafe(F.col("__cut_source")))
+    chosen = chosen.withColumn("__take", (F.col("__mix.copies") + (_unit(F.col("__row").cast("string")) <= F.col("__last")).cast("long")).cast("long"))
+    return whole.unionByName(chosen.drop("__row", "__cut_source", "__last"))
+
+
+def _beside_plan(rows: DataFrame, source: Column, plan: DataFrame) -> DataFrame:
+    """``rows`` joined to their source's plan, one row per source, as the struct ``__mix``."""
+    p = plan.select(F.struct(*plan.columns).alias("__mix"))
+    return rows.join(p, source.eqNullSafe(F.col("__mix.source")))
 
 
 def mix_table(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_copies: float = 2,
@@ -140,28 +179,28 @@ def mix_table(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: fl
     ``weight`` (a column of ``docs``, positive) multiplies a document's inclusion odds.
     """
     sized = materialize(_sized(docs, weight, seed, id_col, text_col, source_col), "mix-sizes")
-    return _same_source(sized, plan_mix(sized, weights, share, max_copies)).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("u"), F.col("weight"))).alias("taken"),
-        _copies(F.col("u"), F.col("weight")).alias("copies"))
+    planned = _beside_plan(sized, F.col("source"), plan_mix(sized, weights, share, max_copies))
+    taken = _take(planned, F.col("u"), F.col("weight"), F.col("size"))
+    return taken.select("doc_id", "size", F.col("__mix.source_size").alias("source_size"), F.col("__mix.target").alias("target"),
+                        (F.col("size") * F.col("__take")).alias("taken"), F.col("__take").alias("copies"))
 
 
 def _sized(docs: DataFrame, weight: Column | None, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     own = F.lit(1.0) if weight is None else F.coalesce(weight.cast("double"), F.lit(1.0))
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       word_count(F.col(text_col)).alias("size"), _uniform(F.col(id_col), seed).alias("u"),
+                       word_count(F.col(text_col)).alias("size"), _uniform(F.col(id_col), F.col(text_col), seed).alias("u"),
                        own.alias("weight"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_copies: float = 2,
         seed: int = 20, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: rows of ``docs`` (same columns), each as often as it is taken; no row is shuffled."""
+    """The mix itself: rows of ``docs`` (same columns), each as often as it is taken; only rows that tie at a cut are written first."""
     sized = materialize(_sized(docs, None, seed, id_col, text_col, source_col).select("source", "size", "u", "weight"),
                         "mix-sizes")
-    plan = plan_mix(sized, weights, share, max_copies).select(
-        F.col("source").alias("__mix_source"), "copies", "fraction", "cut")
-    plan = plan.select("__mix_source", F.struct("copies", "fraction", "cut").alias("__mix"))
-    out = docs.join(plan, docs[source_col].eqNullSafe(plan["__mix_source"]))
-    rank = _rank(_uniform(F.col(id_col), seed), F.col("__mix.fraction"), F.lit(1.0))
-    times = (F.col("__mix.copies") + (rank < F.col("__mix.cut")).cast("long")).cast("int")
-    return (out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times)))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    plan = plan_mix(sized, weights, share, max_copies)
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), F.col(id_col).alias("__id"),
+                       F.col(text_col).alias("__text"), F.col(source_col).alias("__source"))
+    planned = _beside_plan(kept, F.col("__source"), plan)
+    out = _take(planned, _uniform(F.col("__id"), F.col("__text"), seed), F.lit(1.0), word_count(F.col("__text")))
+    out = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__take").cast("int"))))
+    return out.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])

@@ -67,8 +67,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op10_mix_sources"] = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5)
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         (('0x' || substr(md5('20:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT::DOUBLE + 0.5)
            / 4503599627370496.0 AS u
   FROM documents),
 s AS (
@@ -94,9 +94,7 @@ q AS (
          CASE WHEN f > 0 THEN (u / (1 - u)) / (f / (1 - f)) / (1 + (u / (1 - u)) / (f / (1 - f))) ELSE 1 END AS v
   FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
 c AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY v), 0) AS upto,
-         coalesce(sum(size) OVER (PARTITION BY source ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-         - sum(size) OVER (PARTITION BY source, v), 0) AS before FROM q)
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY v, r ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto, upto - size AS before FROM q)
 SELECT doc_id, size, source_size, target,
        (size * taken)::BIGINT AS taken, taken::BIGINT AS copies
 FROM (SELECT *, whole + CASE WHEN need > 0 AND (upto < need OR (before < need AND upto - need <= need - before)) THEN 1 ELSE 0 END AS taken

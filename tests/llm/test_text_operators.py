@@ -461,6 +461,34 @@ def test_op10_mix_repeats_rows_as_planned(spark, rows):
     assert Counter(r["doc_id"] for r in mixed.collect()) == +plan
 
 
+@pytest.mark.parametrize("rows", [
+    [(None, f"w{i} " * 10, "hot") for i in range(600)] + [(i, f"x{i} " * 10, "hot") for i in range(1000)],  # null ids, own texts
+    [(7, "w " * 10, "hot") for i in range(640)] + [(100 + i, f"x{i} " * 10, "hot") for i in range(960)],  # equal rows: 40 % of the words
+    [(None, "w " * 10, "hot")] * 1600, [(7, f"w{i % 2} " * 10, None) for i in range(1600)], [(1, "w " * 10, "hot")],
+], ids=["null ids", "equal rows", "all equal", "two texts", "one row"])
+def test_op10_equal_rows_are_parted(spark, rows):
+    """Null and repeated ids: every source within one document of its target, in the table and in the mix."""
+    others = [(5000 + i, f"y{i} z", s) for i in range(400) for s in ("a", "b", "c")]
+    docs = table(spark, rows + others)
+    source = rows[0][2]
+    planned = mixing.mix_table(docs).where(F.col("source_size") == 10 * len(rows)).collect()
+    assert len(planned) == len(rows) and sum(r["taken"] for r in planned) == sum(r["copies"] * r["size"] for r in planned)
+    assert abs(sum(r["taken"] for r in planned) - planned[0]["target"]) <= 10 and max(r["taken"] for r in planned) <= 20
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert sum(len(r["text"].split()) for r in mixed.where(F.col("source").eqNullSafe(F.lit(source))).collect()) == sum(r["taken"] for r in planned)
+
+
+def test_op10_weights_make_probabilities_unequal(spark):
+    """Documents of weight 9 are sampled at about nine times the odds of the others."""
+    docs = spark.createDataFrame([(i, f"w{i} x", "s" if i < 4000 else "t", 9.0 if i % 2 else 1.0) for i in range(8000)],
+                                 "doc_id long, text string, source string, w double")
+    got = mixing.mix_table(docs, weights=(1, 3), share=0.5, weight=F.col("w")).where("doc_id < 4000").collect()
+    heavy, light = (sum(r["copies"] for r in got if r["doc_id"] % 2 == odd) / 2000 for odd in (1, 0))
+    want = got[0]["target"] / got[0]["source_size"]
+    assert abs((heavy + light) / 2 - want) < 0.01 and 5 < (heavy / (1 - heavy)) / (light / (1 - light)) < 14
+
+
 def test_empty_tables(spark):
     docs = table(spark, [])
     assert simhash.near_duplicates(docs).count() == simhash.drop_near_duplicates(docs).count() == 0
