@@ -894,3 +894,15 @@ def q_scan_corpus(t):
     root = scratch_path(t.spark, "corpus")
     export_markdown(t.in_markdown, root)
     return scan_corpus(t.spark, root, glob="part-*", recursive=True, logical_names=True)
+
+
+# the same corpus as one ``*.md`` file a document, read by the data source
+@query("scan_markdown", W("SELECT path, text FROM in_markdown", "in_markdown"))
+def q_scan_markdown(t):
+    from quarry.session import scratch_path, ship_package
+    from quarry.sources.markdown import export_markdown_files, scan_markdown
+
+    ship_package(t.spark)
+    folder = scratch_path(t.spark, "markdown")
+    export_markdown_files(t.in_markdown, folder)
+    return scan_markdown(t.spark, folder).select("path", "text")
