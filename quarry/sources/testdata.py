@@ -3,7 +3,7 @@
 The test data holds no system catalogs, so every operator input (a snapshot of a
 catalog or statistics view, the pet table, the sensor log, the article corpus) is
 derived from the TPC-H-like tables with plain column expressions.  The same
-derivations exist as DuckDB SQL in ``quarry.plans.oracle`` so both engines see the
+derivations exist as DuckDB SQL in ``quarry.plans.oracle_inputs`` so both engines see the
 same rows.  Every input reads a whole base table; nothing is filtered down.
 """
 
