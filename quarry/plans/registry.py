@@ -94,13 +94,14 @@ def q_table_read_activity(t):
     return fx.table_read_activity(t.in_table_reads, t.in_class)
 
 
+# fixed values: the relation kinds of each report, and the schemas left out of the layout
 @query("needs_vacuum", W(f"""
 SELECT first(relname) AS table_name, max(frozen_age) AS age
   FROM (SELECT oid, relname, relkind, frozen_age FROM in_class
         UNION ALL
         SELECT owner.oid, owner.relname, owner.relkind, side.frozen_age
           FROM in_class side JOIN in_class owner ON owner.reltoastrelid = side.oid) candidate
- WHERE relkind NOT IN ('i', 't', 'S', 'v', 'c', 'f', 'I')
+ WHERE relkind IN ('r', 'm', 'p')
  GROUP BY oid HAVING max(frozen_age) * 10 > {MAX_FREEZE_AGE} * 9""", "in_class"))
 def q_needs_vacuum(t):
     return fx.needs_vacuum(t.in_class, MAX_FREEZE_AGE)
@@ -164,12 +165,12 @@ def q_snapshot_delta(t):
 @query("column_layout", W("""
 WITH shown AS (
   SELECT oid, relname FROM in_class
-   WHERE (relkind = 'p' OR relkind = 'r')
-     AND relnamespace IN (SELECT oid FROM in_namespace WHERE nspname <> 'information_schema' AND nspname <> 'pg_catalog')),
+   WHERE relkind IN ('r', 'p')
+     AND relnamespace IN (SELECT oid FROM in_namespace WHERE nspname NOT IN ('pg_catalog', 'information_schema'))),
 kinds AS (SELECT oid AS atttypid, typname, typalign, typlen FROM in_type)
 SELECT (SELECT relname FROM shown WHERE shown.oid = col.attrelid) AS table_name, col.attname AS column_name,
        kinds.typname AS column_type, kinds.typalign AS alignment, kinds.typlen AS type_length
-  FROM (SELECT * FROM in_attribute WHERE NOT attnum < 0) col JOIN kinds USING (atttypid)
+  FROM (SELECT * FROM in_attribute WHERE attnum >= 0) col JOIN kinds USING (atttypid)
  WHERE col.attrelid IN (SELECT oid FROM shown)""", "in_class", "in_attribute", "in_type", "in_namespace"))
 def q_column_layout(t):
     return fx.column_layout(t.in_class, t.in_attribute, t.in_type, t.in_namespace)
@@ -401,6 +402,26 @@ def q_pet_validate_update(t):
     return lc.pet_validate_update(t.in_pet, _updates(t))
 
 
+# two producers offer pets (events of even number first), then every pet that was there is updated
+@query("pet_write_path", f"""
+SELECT player, pet_name, mood, food, is_dead, birth_date, death_date FROM ({ORACLE["pet_validate_update"]}) kept
+UNION ALL
+SELECT player, min_by(pet_name, (seq % 2, seq)), 24, 24, false, {NOW_SQL}, CAST(NULL AS TIMESTAMP)
+  FROM ({W("SELECT player, 'pet_' || seq AS pet_name, seq FROM in_pet_events WHERE player NOT IN (SELECT player FROM in_pet)", "in_pet_events", "in_pet")}) offered
+ GROUP BY player""")
+def q_pet_write_path(t):
+    from quarry.session import scratch_path
+    from quarry.sources import pet_table as pt
+
+    path = scratch_path(t.spark, "pet-table")
+    pt.start_pet_table(t.in_pet, path)
+    offers = _candidates(t)
+    pt.submit_inserts(offers.where("ord % 2 = 0"), path, 0, "even", now=NOW, order_col="ord")
+    pt.submit_inserts(offers.where("ord % 2 <> 0"), path, 0, "odd", now=NOW, order_col="ord")
+    pt.submit_updates(_updates(t), path, 0, "updates")
+    return pt.read_pets(t.spark, path)
+
+
 # the fold of an ordered log, one row per event: ev(player, ts, seq, action, rn) -> final state per player
 _FOLD_SQL = """st AS (
   SELECT player, CAST(0 AS BIGINT) AS rn, 24 AS food, 24 AS mood, false AS is_dead, CAST(NULL AS TIMESTAMP) AS death_date
