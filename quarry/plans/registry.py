@@ -764,6 +764,18 @@ def q_log_lookup(t):
     return sn.log_lookup(t.in_sensor_log, SENSOR)
 
 
+# a week of every location, from a log in Z-order of location and time
+@query("log_window", W("SELECT id, location, reading, reading_date FROM in_sensor_log "
+                       "WHERE reading_date >= TIMESTAMP '2024-01-08' AND reading_date < TIMESTAMP '2024-01-15'", "in_sensor_log"))
+def q_log_window(t):
+    from quarry.session import scratch_path
+    from quarry.sources.clustered_log import write_log_clustered
+
+    path = scratch_path(t.spark, "clustered-log")
+    write_log_clustered(t.in_sensor_log, path)
+    return sn.log_window(t.spark.read.parquet(path), since="2024-01-08", until="2024-01-15")
+
+
 # ---------------------------------------------------------------- streaming
 from quarry.streaming import jobs as sj  # noqa: E402
 
