@@ -268,6 +268,36 @@ def test_op6_neighbours(spark, rows):
     assert multiset_hash.edit_likeness(table(spark, single[:1])).first()["near_next"] == 1.0
 
 
+def test_op6_missing_and_repeated_ids_are_spread_and_ordered(spark):
+    def order_of(row):
+        i, t, _ = row
+        h = 42 if t is None else xxhash.xxh64_intdigest(t.encode(), seed=42)
+        return (i is None, -(i or 0), h - (1 << 64) if h >> 63 else h)
+
+    def result(i, t, nxt):
+        edited = t[:len(t) - len(t) // 3] + nxt[:len(t) // 3]
+        a, e, b = (multiset_hash.fingerprint(x.encode()) for x in (t, edited, nxt))
+        return (i, len(t), hashlib.sha256(edited.encode()).hexdigest(), multiset_hash.likeness(a, e), multiset_hash.likeness(a, b))
+
+    texts = [f"row {n} " + " ".join(str(n * k % 89) for k in range(n % 13)) for n in range(1500)]
+    ids = [None if n % 3 else 7 if n % 5 == 0 else n for n in range(1500)]  # two thirds missing, a fifteenth repeated
+    many = [(i, t, "a") for i, t in zip(ids, texts, strict=True)] + [(None, None, "b"), (None, "", "b"), (7, None, "a")]
+    cases = [(many, 16), (many, 1), ([(None, t, "a") for t in texts[:200]], 8), ([(5, t, "a") for t in texts[:200]], 8),
+             ([(5, "same", "a")] * 50 + [(4, "x y z", "a")] * 50 + [(None, "same", "a")] * 50, 4), ([(None, "one", "a")], 4), ([], 4)]
+    for rows, number in cases:
+        docs = table(spark, rows).select("doc_id", "text")
+        laid = multiset_hash.with_next(docs, number)
+        sizes = [r["count"] for r in laid.where("tail = 0").groupBy("bucket").count().collect()]
+        assert sum(sizes) == len(rows) and laid.where("tail = 1").count() == len(sizes)  # one row a bucket is sent twice
+        if len({(i, t) for i, t, _ in rows}) > 100 and number > 1:
+            assert max(sizes) <= 2.2 * len(rows) / number, sorted(sizes)
+        line = sorted(rows, key=order_of)
+        want = Counter(result(i, t or "", nxt or "") for (i, t, _), (_, nxt, _) in zip(line, line[1:] + line[:1], strict=True))
+        kinds = multiset_hash.edit_likeness(docs).schema
+        got = multiset_hash.paired(laid, kinds).collect()
+        assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], r["near_edited"], r["near_next"]) for r in got) == want
+
+
 def test_op6_multisets():
     import numpy as np
 
