@@ -167,4 +167,4 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_
     again = rows_of(stay, copies, "left_semi")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     again = again.groupBy("__id", "__h", "__g").agg(F.min_by(row, F.to_json(row)).alias("__row")).select("__row.*")
-    return single.select(*out).unionByName(again.select(*docs.columns))
+    return single.select(*out).unionByName(again.select(*[F.col(f"`{c}`") for c in docs.columns]))

@@ -5,6 +5,9 @@ import re
 import sys
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
@@ -64,3 +67,40 @@ def test_stages(spark, tmp_path):
     got = Counter((r["doc_id"], bytes(r["ids"])) for r in corpus_pipeline.run(spark, SF).collect())
     assert got == Counter((r["doc_id"], bytes(r["ids"])) for r in rows[5])
     assert all(re.fullmatch(r"[a-z_]+", n) for n in names)
+
+
+@pytest.fixture
+def odd(spark):
+    """Documents with missing and repeated ids, missing and empty texts, repeated rows and columns of awkward names."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    none = docs.where("doc_id < 20").withColumn("doc_id", F.lit(None).cast("long"))
+    same = docs.where("doc_id BETWEEN 20 AND 39").withColumn("doc_id", F.lit(5).cast("long"))
+    bare = docs.where("doc_id IN (1, 2, 3)").withColumn("text", F.when(F.col("doc_id") > 1, "")).withColumn("source", F.lit(None).cast("string"))
+    rows = docs.unionByName(none).unionByName(none).unionByName(same).unionByName(bare)
+    return (rows.withColumn("a.b", F.concat_ws("/", "lang", "doc_id")).withColumn("n_lines", F.lit(-1)).withColumn("n_dropped", F.lit(9))
+            .withColumn("row", F.lit("mine")).withColumn("score", F.lit(2.0)).withColumn("fingerprint", F.lit("f")))
+
+
+def test_stages_of_odd_rows(spark, odd, tmp_path):
+    kept = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = kept
+        stage(spark, before, SF).write.parquet(str(tmp_path / name))
+        kept = spark.read.parquet(str(tmp_path / name))
+        assert kept.columns == odd.columns
+        for r in kept.select("doc_id", "lang", "`a.b`", "n_lines", "n_dropped", "row", "score", "fingerprint").collect():
+            at = "/".join(str(x) for x in (r["lang"], r["doc_id"]) if x is not None)
+            assert tuple(r)[2:] == (at, -1, 9, "mine", 2.0, "f")
+        if name == "line_dedup":
+            assert kept.count() == before.count()
+        elif name != "mix":
+            assert kept.exceptAll(before).isEmpty()
+        else:
+            assert kept.dropDuplicates().exceptAll(before.dropDuplicates()).isEmpty()
+    last = corpus_pipeline.STAGES[-1][1](spark, kept, SF)
+    assert last.count() == kept.count() > 0 and last.where("ids IS NULL").isEmpty()
+
+
+def test_stages_of_an_empty_table(spark, odd):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.limit(0), SF).isEmpty()
