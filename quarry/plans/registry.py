@@ -926,7 +926,7 @@ def q_scan_corpus(t):
 
     root = scratch_path(t.spark, "corpus")
     export_markdown(t.in_markdown, root)
-    return scan_corpus(t.spark, root, glob="part-*", recursive=True, logical_names=True)
+    return scan_corpus(t.spark, root, recursive=True, logical_names=True)
 
 
 # the same corpus as one ``*.md`` file a document, read by the data source

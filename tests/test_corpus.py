@@ -177,3 +177,22 @@ def test_articles_reject_bad_dates_and_empty_values(spark):
     assert [(r.path, r.author) for r in ok.collect()] == [("q.md", "")]
     reasons = {r.path: r.reason for r in bad.collect()}
     assert "date" in reasons["d.md"] and reasons["e.md"].endswith(": author") and set(reasons) == {"d.md", "e.md", "0.md"}
+
+
+def test_export_writes_one_file_a_document_in_few_folders(spark):
+    from quarry.session import scratch_path
+    from quarry.sources.corpus import EXPORT_FOLDERS, export_markdown
+
+    docs = [(f"corpus/{i}.md", f"---\ntitle: é{i}\n---\n\nline\n" if i % 3 else "") for i in range(600)]
+    odd = [("twice.md", "b"), ("twice.md", "a"), ("null.md", None), (None, "x"), ("", "y"), ("crlf.md", "1\r\n2\r3\n\n")]
+    root = scratch_path(spark, "export")
+    export_markdown(spark.createDataFrame([("old.md", "gone")], "path string, text string"), root)
+    assert export_markdown(spark.createDataFrame(docs + odd, "path string, text string").repartition(5), root) == 606
+    local = root.removeprefix("file:")
+    files = [f for _, _, names in os.walk(local) for f in names]
+    assert len(files) == 604 and all(f.endswith(".md") for f in files) and len(os.listdir(local)) <= EXPORT_FOLDERS
+    got = scan_corpus(spark, root, recursive=True, logical_names=True).collect()
+    want = docs + [("twice.md", "a\nb"), ("null.md", ""), ("", "x\ny"), ("crlf.md", "1\n2\n3\n\n")]
+    assert sorted((r.path, r.text) for r in got) == sorted(want)
+    empty = spark.createDataFrame([], "path string, text string")
+    assert export_markdown(empty, root) == 0 and scan_corpus(spark, root, recursive=True, logical_names=True).count() == 0
