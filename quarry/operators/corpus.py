@@ -2,7 +2,7 @@
 
 The whole corpus is one DataFrame job: front matter is parsed with JVM regex/array
 functions; chunking (a recursive character splitter) runs per document in
-``mapInPandas``; embeddings are a hashing encoder built from Spark ML transformers, or a
+``mapInArrow``; embeddings are a hashing encoder built from Spark ML transformers, or a
 pluggable batch encoder in a ``pandas_udf``.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 from typing import Iterator, List, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ CHUNK_OVERLAP = 20
 SEPARATORS = ["\n\n", "\n", " ", ".", "```"]
 REQUIRED_KEYS = ("author", "title", "date")
 EMBED_DIM = 384
+# Characters of chunks that a task hands on at once.
+CHUNK_BATCH = 1 << 20
 
 # A line whose strip() is '---' toggles header mode and is dropped with its newline.
 _FENCE = r"(?m)^[^\S\n]*---[^\S\n]*(?:\n|$)"
@@ -164,22 +167,37 @@ def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 def chunk_text(df: DataFrame, id_col: str = "article_id", text_col: str = "content",
                size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """One row per chunk: (id, chunk_no, chunk).  Each document is split in the task that
-    reads it (no shuffle); documents are independent, so the work spreads with the data."""
+    reads it (no shuffle); documents are independent, so the work spreads with the data.
+
+    A task takes a few texts at a time out of their Arrow batch and hands its chunks on in batches of
+    ``CHUNK_BATCH`` characters, so a Python worker's memory does not grow with the rows of a batch."""
+    names = [id_col, "chunk_no", "chunk"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, nos, chunks, held = [], [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()),
+                                               pa.array(chunks, pa.string())], names)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids, nos, chunks = [], [], []
-            for i, t in zip(b[id_col].tolist(), b[text_col].tolist()):
-                if t is None:
-                    continue
-                for n, c in enumerate(split_text(t, size, overlap)):
-                    ids.append(i)
-                    nos.append(n)
-                    chunks.append(c)
-            yield pd.DataFrame({id_col: pd.Series(ids, dtype="int64"), "chunk_no": pd.Series(nos, dtype="int32"),
-                                "chunk": pd.Series(chunks, dtype="object")})
-
-    return df.select(F.col(id_col).cast("bigint").alias(id_col), text_col).mapInPandas(
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
+                for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if t is None:
+                        continue
+                    for n, c in enumerate(split_text(t, size, overlap)):
+                        ids.append(i)
+                        nos.append(n)
+                        chunks.append(c)
+                        held += len(c)
+                        if held >= CHUNK_BATCH:
+                            yield batch()
+                            ids, nos, chunks, held = [], [], [], 0
+        if ids:
+            yield batch()
+
+    return df.select(F.col(id_col).cast("bigint").alias(id_col), text_col).mapInArrow(
         run, f"{id_col} long, chunk_no int, chunk string")
 
 

@@ -196,3 +196,18 @@ def test_export_writes_one_file_a_document_in_few_folders(spark):
     assert sorted((r.path, r.text) for r in got) == sorted(want)
     empty = spark.createDataFrame([], "path string, text string")
     assert export_markdown(empty, root) == 0 and scan_corpus(spark, root, recursive=True, logical_names=True).count() == 0
+
+
+def test_chunks_leave_a_task_in_bounded_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    docs = spark.createDataFrame([(1, "x")], "article_id long, content string")
+    caught = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, fn, schema: caught.append(fn))
+    cp.chunk_text(docs)
+    texts = [f"word{i} " * 2500 for i in range(400)] + [None, ""]
+    whole = pa.RecordBatch.from_arrays([pa.array([None, *range(1, 402)], pa.int64()), pa.array(texts)], ["article_id", "content"])
+    made = list(caught[0](iter([whole])))
+    assert len(made) > 3 and max(sum(map(len, b.column(2).to_pylist())) for b in made) <= cp.CHUNK_BATCH + cp.CHUNK_SIZE
+    got = [row for b in made for row in zip(*(c.to_pylist() for c in b.columns))]
+    assert got == [(i or None, n, c) for i, t in enumerate(texts) if t for n, c in enumerate(cp.split_text(t))]
