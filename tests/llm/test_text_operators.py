@@ -354,6 +354,34 @@ def test_op7_op9_awkward_rows(spark, rows):
     assert len(scored) == len(tagged) == len(rows) and all(0 <= r["score"] <= 1 for r in scored + tagged)
 
 
+def test_op7_learns_from_every_labelled_row_in_any_order(spark):
+    # 9,000 rows of one label and 1,000 of the other, and the quantile that parts them is that of all rows
+    docs = spark.range(10_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 > 0, F.concat(F.lit("A plain line no. "), "id"))
+                                      .otherwise(F.concat(F.lit("#$% | "), "id")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 10 > 0).cast("int").alias("quality"))
+    one, other = (quality.fit(docs.repartition(n), labels) for n in (1, 7))
+    assert one.quantile == 0.1 and one.threshold == other.threshold and (one.weights == other.weights).all()
+    assert quality.score_documents(docs, one).join(labels, "doc_id").where("predicted != quality").count() == 0
+
+
+def test_op7_loss_is_that_of_all_pairs(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x, label = rng.random((300, quality.FEATURES)), np.arange(300) % 3 // 2
+    rows = spark.createDataFrame([(int(y), v.tolist()) for y, v in zip(label, x)], "label int, features array<double>")
+    width = quality.expand(x).shape[1]
+    mean, scale = quality._moments(rows, width)
+    assert np.allclose(mean, quality.expand(x).mean(axis=0)) and np.allclose(scale, quality.expand(x).std(axis=0), atol=1e-4)
+    w, z = rng.normal(0, 0.1, width), quality.standardise(x, mean, scale)
+    pair = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, width)
+    wrong = 1 / (1 + np.exp(pair @ w))
+    found = quality._Pairs(rows, mean, scale, w, 1e-3)
+    assert abs(found.loss - np.logaddexp(0, -(pair @ w)).mean() - 1e-3 * w @ w) < 1e-3
+    assert np.allclose(found.gradient, -(pair * wrong[:, None]).mean(axis=0) + 2e-3 * w, atol=3e-3)
+    assert np.allclose(found.curvature(), (pair * (wrong * (1 - wrong))[:, None]).T @ pair / len(pair) + 2e-3 * np.eye(width), atol=1e-2)
+
+
 def test_op9_forward_backward_equals_enumeration():
     import itertools
 
