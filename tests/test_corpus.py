@@ -211,3 +211,45 @@ def test_chunks_leave_a_task_in_bounded_batches(spark, monkeypatch):
     assert len(made) > 3 and max(sum(map(len, b.column(2).to_pylist())) for b in made) <= cp.CHUNK_BATCH + cp.CHUNK_SIZE
     got = [row for b in made for row in zip(*(c.to_pylist() for c in b.columns))]
     assert got == [(i or None, n, c) for i, t in enumerate(texts) if t for n, c in enumerate(cp.split_text(t))]
+
+
+def test_scan_lists_files_in_tasks_and_keeps_spark_names(spark, tmp_path):
+    names = ["a.md", "sub dir/b %1+é#;=&~.md", "sub dir/deep/c.md", "_k=v/x.md", "_a=b.md", "_metadata/m.md", "é/q{1}.md", "　w\x85😀.md",
+             "u.MD", "_d.md", ".z.md", ".h/x.md", "_x/x.md", "_metadata.md", "x.md._COPYING_", "sub dir/empty.md"]
+    root = str(tmp_path / "docs")
+    for name in names:
+        os.makedirs(os.path.dirname(os.path.join(root, name)), exist_ok=True)
+        with open(os.path.join(root, name), "wb") as f:
+            f.write(b"" if "empty" in name else b"\xff\r\n" + name.encode())
+    os.symlink("nothing", os.path.join(root, "link.md"))
+
+    def by_index(folder, glob, recursive):
+        df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", recursive).load(folder)
+        return sorted((r.p, r.t) for r in df.selectExpr("_metadata.file_path AS p", r"regexp_replace(cast(content AS string), '\r', '') AS t").collect())
+
+    for folder, glob, recursive in ((root, "*.md", True), (root, "*.{MD,m?}", True), (root + "/sub dir", "[!c].md", True), ("file:" + root + "/é/", "*.md", False)):
+        scan = scan_corpus(spark, folder, glob, recursive)
+        assert not [f for f in scan.inputFiles() if "/docs/" in f]  # no document's file is listed in the driver
+        assert sorted((r.path, r.text) for r in scan.collect()) == by_index(folder, glob, recursive)
+    assert scan_corpus(spark, root, recursive=True).count() == 8
+    # without recursive, folders below are not read; patterns and single files are
+    flat = str(tmp_path / "flat")
+    os.makedirs(flat + "/below")
+    for name in ("a.md", "below/b.md"):
+        with open(f"{flat}/{name}", "w") as f:
+            f.write(name)
+    for path in (flat, flat + "/a.md", flat + "/*.md"):
+        assert [r.text for r in scan_corpus(spark, path).collect()] == ["a.md"]
+
+
+def test_scan_reads_files_that_were_there_in_few_partitions(spark, tmp_path):
+    import pytest
+
+    for i in range(300):
+        (tmp_path / f"{i}.md").write_text(f"{i}")
+    scan = scan_corpus(spark, str(tmp_path))
+    (tmp_path / "late.md").write_text("late")
+    assert sorted(int(r.text) for r in scan.collect()) == list(range(300))
+    assert scan.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism  # not one for a few files each
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan_corpus(spark, str(tmp_path / "none"), recursive=True)
